@@ -1,0 +1,161 @@
+"""Whole streaming jobs over message logs. Each is safe to stop, lose executors and run again."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
+
+from tidelog.functions.offsets import decode_offsets, encode_offset
+from tidelog.operators.checkpoints import consumer_checkpoint, last_value, merge_checkpoints
+from tidelog.schema import CHECKPOINT
+from tidelog.sinks.publish import Publisher, batch_path, publish, publish_stream
+
+WAIT_SECONDS = 3600
+
+
+def run_available(writer: DataStreamWriter, wait: int = WAIT_SECONDS) -> None:
+    """Process all that is there now, in the bounded batches the source was opened with."""
+    query = writer.trigger(availableNow=True).start()
+    try:
+        if not query.awaitTermination(wait):
+            raise TimeoutError(f"stream did not finish in {wait} s")
+    finally:
+        query.stop()
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of a per-batch output folder with their ``batch_id``; empty if no batch ran yet."""
+    with_batch = T.StructType(
+        [f for f in schema.fields if f.name != "batch_id"]
+        + [T.StructField("batch_id", T.LongType())]
+    )
+    if not _exists(spark, path):
+        return spark.createDataFrame([], with_batch)
+    return spark.read.schema(with_batch).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(hadoop_path)
+
+
+def land_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Queue to append-only Parquet, exactly once."""
+    return (
+        stream.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+
+
+def stream_to_stream(
+    stream: DataFrame, path: str, checkpoint: str, topic: str | None = None, **publisher: object
+) -> DataStreamWriter:
+    """Queue to queue: publish a (transformed) stream to another log."""
+    return publish_stream(stream, path, checkpoint, Publisher(topic=topic, **publisher))
+
+
+def foreach_batch_publish(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    publisher: Publisher = Publisher(),
+    rejects_path: str | None = None,
+) -> DataStreamWriter:
+    """Every micro-batch through the batch publisher; a repeated batch replaces its own folder."""
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        publish(rows, path, publisher, batch_id, rejects_path)
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+
+
+def count_batches(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """One row with the size of every micro-batch."""
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        counted = rows.agg(F.count("*").alias("messages"))
+        counted.write.mode("overwrite").parquet(batch_path(path, batch_id))
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+
+
+def probe_batches(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Probe each micro-batch for emptiness, then read it twice: every read sees the whole batch."""
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        empty = rows.isEmpty()
+        first, second = (rows.agg(F.count("*").alias(n)) for n in ("first_read", "second_read"))
+        seen = first.withColumn("second_read", second.scalar()).withColumn("empty", F.lit(empty))
+        seen.write.mode("overwrite").parquet(batch_path(path, batch_id))
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+
+
+def commit_publish(
+    stream: DataFrame,
+    rows_path: str,
+    state_path: str,
+    checkpoint: str,
+    partition: str = "consumer",
+    message_id: str = "Id",
+    order: str = "spool_seq",
+) -> DataStreamWriter:
+    """Write each micro-batch, then publish what it processed as state messages.
+
+    State is one JSON line per partition that moved, keyed by batch; :func:`committed_state` folds
+    them. Rows come first: a batch lost between the two writes runs again and replaces both.
+    """
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(batch_path(rows_path, batch_id))
+        written = rows.sparkSession.read.schema(rows.schema).parquet(
+            batch_path(rows_path, batch_id)
+        )
+        moved = consumer_checkpoint(written, partition, message_id, order)
+        moved.select(encode_offset(F.lit(batch_id).cast("bigint")).alias("json")).write.mode(
+            "overwrite"
+        ).parquet(batch_path(state_path, batch_id))
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+
+
+def committed_state(spark: SparkSession, state_path: str) -> DataFrame:
+    """The newest checkpoint of every partition in a state folder."""
+    lines = read_batches(spark, state_path, T.StructType([T.StructField("json", T.StringType())]))
+    decoded = decode_offsets(lines.select("json", "batch_id")).select(
+        "partitionId", F.col("messageId").alias("messageIDs"), "batch_id"
+    )
+    return merge_checkpoints(decoded).select(*CHECKPOINT.names)
+
+
+def last_value_stream(
+    stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: str = "spool_seq"
+) -> DataStreamWriter:
+    """Append the last value of every key that a micro-batch touched.
+
+    :func:`read_last_value` folds the batches with the same rule. Batches commute, so arrival order
+    does not matter.
+    """
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        last_value(rows, keys, order).write.mode("overwrite").parquet(batch_path(path, batch_id))
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+
+
+def read_last_value(
+    spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: str = "spool_seq"
+) -> DataFrame:
+    return last_value(read_batches(spark, path, schema), keys, order).drop("batch_id")
+
+
+def update_as_append(aggregate: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Append every changed row of a streaming aggregate; readers take the newest per key."""
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(batch_path(path, batch_id))
+
+    return (
+        aggregate.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(handle)
+    )

@@ -1,0 +1,132 @@
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import START, frame, message
+from tidelog.functions import messages as m
+from tidelog.schema import envelope_schema
+
+
+def test_envelope_schema_has_five_or_six_columns(hundred):
+    for headers in (False, True):
+        env = m.envelope(hundred, include_headers=headers)
+        want = envelope_schema(headers)
+        assert env.columns == want.names
+        assert [f.dataType for f in env.schema] == [f.dataType for f in want]
+
+
+def test_every_body_form_gives_the_same_text(hundred):
+    texts = m.envelope(hundred).select(m.payload_text().alias("t")).groupBy("t").count().collect()
+    assert [(r["t"], r["count"]) for r in texts] == [("Hello Spark!", 100)]
+
+
+@pytest.mark.parametrize(("is_text", "text", "content", "attachment", "want"), [
+    (True, "t", b"c", b"a", b"t"),
+    (True, "", b"c", b"a", b""),
+    (True, None, b"c", b"a", b"c"),
+    (True, None, b"", b"a", b"a"),
+    (True, None, None, None, b""),
+    (False, "t", b"c", b"a", b"a"),
+    (False, None, b"c", b"", b"c"),
+    (False, None, b"c", None, b"c"),
+    (False, None, None, None, b""),
+])
+def test_payload_precedence(spark, is_text, text, content, attachment, want):
+    row = message(0, is_text=is_text, text_body=text, content=content, attachment=attachment)
+    assert bytes(frame(spark, [row]).select(m.payload()).first()[0]) == want
+
+
+def test_id_by_indicator(hundred):
+    wanted = {
+        m.MESSAGE_ID: "rmid1:000000000000000042",
+        m.CORRELATION_ID: "corr-42",
+        m.APPLICATION_MESSAGE_ID: "app-42",
+        "custom-sequence": "42",
+    }
+    row = hundred.where("spool_seq = 42")
+    for indicator, want in wanted.items():
+        assert m.envelope(row, offset_indicator=indicator).first()["Id"] == want
+
+
+@pytest.mark.parametrize(("indicator", "problem"), [
+    ("null-custom-property", "empty"),
+    ("empty-custom-property", "empty"),
+    ("no-such-property", "missing"),
+])
+def test_bad_indicator_fails_the_query(hundred, indicator, problem):
+    with pytest.raises(Exception, match=f"{indicator} is {problem}"):
+        m.envelope(hundred, offset_indicator=indicator).collect()
+    ids = m.envelope(hundred, offset_indicator=indicator, strict=False).select("Id").distinct()
+    assert [r["Id"] for r in ids.collect()] == [None]
+
+
+def test_null_correlation_id_fails_the_query(spark):
+    log = frame(spark, [message(0, correlation_id=None)])
+    with pytest.raises(Exception, match="CORRELATION_ID is empty"):
+        m.envelope(log, offset_indicator=m.CORRELATION_ID).collect()
+
+
+def test_indicator_must_be_named(hundred):
+    with pytest.raises(ValueError):
+        m.envelope(hundred, offset_indicator="")
+
+
+def test_time_falls_back_to_receipt(spark):
+    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    log = frame(spark, [message(0), message(1, sender_ts=None), message(2, sender_ts=epoch)])
+    micros = int(START.timestamp()) * 1_000_000
+    got = log.orderBy("spool_seq").select(F.unix_micros(m.event_time())).collect()
+    assert [r[0] - micros for r in got] == [0, 2_000_000, 3_000_000]
+
+
+def test_partition_key_presence(spark):
+    cases = [{}, {"JMSXGroupID": ""}, {"JMSXGroupID": None}, {"JMSXGroupID": "k"}, None]
+    log = frame(spark, [message(i, user_props=p) for i, p in enumerate(cases)])
+    got = log.orderBy("spool_seq").select(m.has_partition_key(), m.partition_key()).collect()
+    assert [tuple(r) for r in got] == [
+        (False, ""), (True, ""), (True, ""), (True, "k"), (False, "")
+    ]
+
+
+def test_system_headers_win_and_nulls_go(spark):
+    props = {"mq_priority": "99", "mq_sequenceNumber": "7", "none": None, "empty": "", "a": "b"}
+    log = frame(spark, [
+        message(0, user_props=props, sequence_number=5, redelivered=True),
+        message(1, user_props=props),
+        message(2, user_props=None, time_to_live=30, expiration=None),
+    ])
+    got = [
+        {k: bytes(v).decode() for k, v in r["Headers"].items()}
+        for r in m.envelope(log, True, keep=("spool_seq",)).orderBy("spool_seq").collect()
+    ]
+    system = {"mq_expiration": "0", "mq_timeToLive": "0", "mq_priority": "1",
+              "mq_redelivered": "false"}
+    user = {"empty": "", "a": "b"}
+    assert got[0] == {**system, **user, "mq_sequenceNumber": "5", "mq_redelivered": "true"}
+    # Without a sequence number of its own the message keeps the user's property of that name.
+    assert got[1] == {**system, **user, "mq_sequenceNumber": "7"}
+    assert got[2] == {"mq_timeToLive": "30", "mq_priority": "1", "mq_redelivered": "false"}
+
+
+def test_header_prefix_is_the_brokers(hundred):
+    keys = m.envelope(hundred, True, header_prefix="broker_").select(
+        F.explode(F.map_keys("Headers")).alias("k")).distinct().collect()
+    assert {r["k"] for r in keys if r["k"].startswith("broker_")} == {
+        "broker_expiration", "broker_timeToLive", "broker_priority", "broker_redelivered"}
+
+
+def test_equal_messages_ignore_ids_and_times(spark):
+    props = {"a": "1", "b": None}
+    same = [message(0, user_props=props), message(9, user_props={"b": None, "a": "1"})]
+    other = [
+        message(1, user_props=props, priority=2),
+        message(2, user_props=props, text_body="x"),
+        message(3, user_props=props, destination="d"),
+        message(4, user_props=props, redelivered=True),
+        message(5, user_props=props, expiration=1),
+        message(6, user_props={"a": "1"}),
+        message(7, user_props=None),
+    ]
+    counts = frame(spark, same + other).groupBy(m.fingerprint().alias("f")).count().collect()
+    assert sorted(r["count"] for r in counts) == [1] * 7 + [2]

@@ -26,11 +26,15 @@ def _text(name: str, headers: str) -> Column:
     return F.decode(_bytes(name, headers), "UTF-8")
 
 
+def _number(text: Column, kind: str) -> Column:
+    return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast(_SQL_TYPES[kind]))
+
+
 def _parse(header: Header, prefix: str, headers: str) -> Column:
     name = prefix + header.name
     text = _text(name, headers)
     if header.type in ("long", "int"):
-        return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast(_SQL_TYPES[header.type]))
+        return _number(text, header.type)
     if header.type == "boolean":
         # Anything but "true" is false; an absent header stays null.
         value = F.lower(text) == "true"
@@ -41,18 +45,26 @@ def _parse(header: Header, prefix: str, headers: str) -> Column:
 
 
 def header_problem(prefix: str = DEFAULT_HEADER_PREFIX, headers: str = "Headers") -> Column:
-    """Name of the first header that cannot be set from its bytes, or null when all can."""
-    checks = []
-    for header in SYSTEM_HEADERS:
-        if not header.writable:
-            continue
-        present = _bytes(prefix + header.name, headers).isNotNull()
-        if header.type == "destination":
-            checks.append(F.when(present, header.name))
-        elif header.type in ("long", "int"):
-            bad = present & _parse(header, prefix, headers).isNull()
-            checks.append(F.when(bad, header.name))
-    return F.coalesce(*checks)
+    """Name of the first header, by name, that cannot be set from its bytes; null when all can.
+
+    One pass over the entries. The map appears once in the expression, so that a filter pushed below
+    the projection that builds it does not build it once per header.
+    """
+    writable = [h for h in SYSTEM_HEADERS if h.writable]
+
+    def named(kind: str) -> list[str]:
+        return [prefix + h.name for h in writable if h.type == kind]
+
+    def bad(entry: Column) -> Column:
+        text = F.decode(entry["value"], "UTF-8")
+        return (
+            (entry["key"].isin(named("long")) & _number(text, "long").isNull())
+            | (entry["key"].isin(named("int")) & _number(text, "int").isNull())
+            | entry["key"].isin(named("destination"))
+        )
+
+    names = F.transform(F.filter(F.map_entries(headers), bad), lambda entry: entry["key"])
+    return F.substring(F.array_min(names), F.lit(len(prefix) + 1), F.lit(2**31 - 1))
 
 
 def typed_headers(

@@ -112,8 +112,10 @@ def headers(prefix: str = DEFAULT_HEADER_PREFIX) -> Column:
     sequence = F.when(
         has_sequence, F.create_map(F.lit(sequence_key), F.col("sequence_number").cast("string"))
     ).otherwise(none)
+    # No value is null by now; the coalesce states it in the schema.
     return F.transform_values(
-        F.map_concat(user, fixed, sequence), lambda _, v: v.cast("binary")
+        F.map_concat(user, fixed, sequence),
+        lambda _, v: F.coalesce(v.cast("binary"), F.lit(b"")),
     )
 
 

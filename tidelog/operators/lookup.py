@@ -9,8 +9,17 @@ from pyspark.sql import functions as F
 
 from tidelog.session import stage
 
-# A lookup row is a key and a few scalars, so this many rows stay far below an executor's memory.
-BROADCAST_ROWS = 500_000
+# What one executor may hold of a lookup table, before hashing.
+BROADCAST_BYTES = 64 * 1024 * 1024
+_FIXED_WIDTH = 16
+
+
+def stored_bytes(lookup: DataFrame) -> int:
+    """Size of a stored table of scalars in memory: fixed-width slots plus the bytes of its text."""
+    text = [f.name for f in lookup.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text]
+    rows, *sums = lookup.agg(F.count("*"), *lengths).first()
+    return rows * _FIXED_WIDTH * len(lookup.columns) + sum(sums)
 
 
 def same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
@@ -23,16 +32,16 @@ def lookup_join(
     lookup: DataFrame,
     on: Column | list[str] | str,
     how: str = "left",
-    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Join a large table to a narrow stored one, broadcasting only when its row count allows.
+    """Join a large table to a narrow stored one, broadcasting only when its measured size allows.
 
-    ``lookup`` must be a stored table (see :func:`tidelog.session.stage`), so counting it reads file
-    footers. Above the bound the join shuffles; the lookup has one row per key, so a hot key is
-    heavy on the facts side alone, which adaptive execution splits for every join type used here.
+    ``lookup`` must be a stored table (see :func:`tidelog.session.stage`), so that measuring it is
+    one short pass. Above the bound the join shuffles; the lookup has one row per key, so a hot key
+    is heavy on the facts side alone, which adaptive execution splits for the join types used here.
     """
-    bound = BROADCAST_ROWS if max_rows is None else max_rows
-    side = F.broadcast(lookup) if lookup.count() <= bound else lookup
+    bound = BROADCAST_BYTES if max_bytes is None else max_bytes
+    side = F.broadcast(lookup) if stored_bytes(lookup) <= bound else lookup
     return facts.join(side, on, how)
 
 
@@ -41,7 +50,7 @@ def pick_by(
     keys: list[str],
     order: str,
     last: bool = True,
-    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Whole rows holding the highest (or lowest) ``order`` of each key.
 
@@ -55,4 +64,4 @@ def pick_by(
     )
     edge = winners.agg((F.min if last else F.max)(order)).scalar()
     reach = df.where(F.col(order) >= edge if last else F.col(order) <= edge)
-    return lookup_join(reach, winners, same(reach, winners, [*keys, order]), "left_semi", max_rows)
+    return lookup_join(reach, winners, same(reach, winners, [*keys, order]), "left_semi", max_bytes)

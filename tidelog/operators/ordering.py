@@ -4,6 +4,9 @@ A plain ``Window.partitionBy(group)`` sends a whole consumer to one task. Here t
 cut into blocks of at most ``BLOCK`` positions. Windows run inside a block, and what a block needs
 from the blocks before it comes from a summary with one row per block, itself folded in two levels
 so that no window ever sees more than ``BLOCK`` rows of a dense group.
+
+The group is one struct column, which is never null itself: joins are plain equality on the columns
+the windows partition by, so the rows shuffle once for both.
 """
 
 from __future__ import annotations
@@ -14,22 +17,17 @@ from pyspark.sql import functions as F
 BLOCK = 65_536
 
 
-def _blocks(df: DataFrame, order: str, block: int) -> DataFrame:
-    return df.withColumn("_block", F.expr(f"`{order}` div {block}"))
-
-
-def _super(block: int):
-    return F.expr(f"_block div {block}").alias("_super")
+def _blocks(df: DataFrame, group: list[str], order: str, block: int) -> DataFrame:
+    return df.withColumns({
+        "_group": F.struct(*group), "_block": F.expr(f"`{order}` div {block}")
+    })
 
 
-def _rename(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-
-
-def _attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    right = _rename(right, keys)
-    on = [left[k].eqNullSafe(right[f"_r_{k}"]) for k in keys]
-    return left.join(right, on, "left").drop(*[f"_r_{k}" for k in keys])
+def _attach(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join on the group and one more key."""
+    right = right.withColumnsRenamed({"_group": "_rg", key: "_rk"})
+    on = (left["_group"] == right["_rg"]) & (left[key] == right["_rk"])
+    return left.join(right, on, "left").drop("_rg", "_rk")
 
 
 def number_rows(
@@ -37,35 +35,34 @@ def number_rows(
 ) -> DataFrame:
     """Add ``into``: the exact 0-based position of each row in its group by ``order``.
 
-    ``order`` is a whole number that is unique inside a group.
+    ``order`` is a whole number, not null and unique inside a group.
     """
-    rows = _blocks(df, order, block)
-    counts = rows.groupBy(*group, "_block").agg(F.count("*").alias("_n")).withColumn(
-        "_super", _super(block)
-    )
-    in_super = (
-        Window.partitionBy(*group, "_super").orderBy("_block").rowsBetween(
-            Window.unboundedPreceding, -1)
-    )
-    across = (
-        Window.partitionBy(*group).orderBy("_super").rowsBetween(Window.unboundedPreceding, -1)
+    rows = _blocks(df, group, order, block)
+    counts = (
+        rows.groupBy("_group", "_block").agg(F.count("*").alias("_n"))
+        .withColumn("_super", F.expr(f"_block div {block}"))
     )
+
+    def before(by: str, *partition: str):
+        """Sum of the counts of all earlier rows."""
+        w = Window.partitionBy(*partition).orderBy(by)
+        return F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
     supers = (
-        counts.groupBy(*group, "_super").agg(F.sum("_n").alias("_n"))
-        .select(*group, "_super", F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_far"))
+        counts.groupBy("_group", "_super").agg(F.sum("_n").alias("_n"))
+        .select("_group", "_super", before("_super", "_group").alias("_far"))
     )
     near = counts.select(
-        *group, "_super", "_block",
-        F.coalesce(F.sum("_n").over(in_super), F.lit(0)).alias("_near"),
+        "_group", "_super", "_block", before("_block", "_group", "_super").alias("_near")
     )
-    starts = _attach(near, supers, [*group, "_super"]).select(
-        *group, "_block", (F.col("_near") + F.col("_far")).alias("_start")
+    starts = _attach(near, supers, "_super").select(
+        "_group", "_block", (F.col("_near") + F.col("_far")).alias("_start")
     )
-    inside = Window.partitionBy(*group, "_block").orderBy(order)
+    place = F.row_number().over(Window.partitionBy("_group", "_block").orderBy(order))
     return (
-        _attach(rows, starts, [*group, "_block"])
-        .withColumn(into, F.col("_start") + F.row_number().over(inside) - F.lit(1).cast("bigint"))
-        .drop("_block", "_start")
+        _attach(rows, starts, "_block")
+        .withColumn(into, F.col("_start") + place - F.lit(1).cast("bigint"))
+        .drop("_group", "_block", "_start")
     )
 
 
@@ -73,28 +70,30 @@ def previous_value(
     df: DataFrame, group: list[str], order: str, value: str, into: str, block: int = BLOCK
 ) -> DataFrame:
     """Add ``into``: ``value`` of the row just before, by ``order``, in the same group (or null)."""
-    rows = _blocks(df, order, block)
+    rows = _blocks(df, group, order, block)
     # The value sits in a struct so that a null value differs from "no row before".
+    held = F.struct(F.col(value).alias("v"))
     tails = (
-        rows.groupBy(*group, "_block")
-        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.col(order)).alias("_tail"))
-        .withColumn("_super", _super(block))
+        rows.groupBy("_group", "_block").agg(F.max_by(held, F.col(order)).alias("_tail"))
+        .withColumn("_super", F.expr(f"_block div {block}"))
     )
-    supers = tails.groupBy(*group, "_super").agg(F.max_by("_tail", "_block").alias("_tail")).select(
-        *group, "_super",
-        F.lag("_tail").over(Window.partitionBy(*group).orderBy("_super")).alias("_far"),
+
+    def last(by: str, *partition: str):
+        return F.lag("_tail").over(Window.partitionBy(*partition).orderBy(by))
+
+    supers = (
+        tails.groupBy("_group", "_super").agg(F.max_by("_tail", "_block").alias("_tail"))
+        .select("_group", "_super", last("_super", "_group").alias("_far"))
     )
     near = tails.select(
-        *group, "_super", "_block",
-        F.lag("_tail").over(Window.partitionBy(*group, "_super").orderBy("_block")).alias("_near"),
+        "_group", "_super", "_block", last("_block", "_group", "_super").alias("_near")
     )
-    carried = _attach(near, supers, [*group, "_super"]).select(
-        *group, "_block", F.coalesce("_near", "_far").alias("_carried")
+    carried = _attach(near, supers, "_super").select(
+        "_group", "_block", F.coalesce("_near", "_far").alias("_carried")
     )
-    inside = Window.partitionBy(*group, "_block").orderBy(order)
-    here = F.lag(F.struct(F.col(value).alias("v"))).over(inside)
+    here = F.lag(held).over(Window.partitionBy("_group", "_block").orderBy(order))
     return (
-        _attach(rows, carried, [*group, "_block"])
+        _attach(rows, carried, "_block")
         .withColumn(into, F.coalesce(here, F.col("_carried"))["v"])
-        .drop("_block", "_carried")
+        .drop("_group", "_block", "_carried")
     )

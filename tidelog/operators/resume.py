@@ -34,23 +34,23 @@ def resume_unkeyed(raw: DataFrame, checkpoints: DataFrame, message_id: str = "rg
 
 
 def _keyed(
-    raw: DataFrame, floors: DataFrame, message_id: str, otherwise: Column, max_rows: int | None
+    raw: DataFrame, floors: DataFrame, message_id: str, otherwise: Column, max_bytes: int | None
 ) -> DataFrame:
     lookup = floors.withColumnRenamed("partitionId", "_key")
     # An empty key never meets a checkpoint: its join key is null.
     key = F.when(has_partition_key() & (partition_key() != ""), partition_key())
     keyed = raw.withColumn("_at", key)
-    joined = lookup_join(keyed, lookup, keyed["_at"] == lookup["_key"], "left", max_rows)
+    joined = lookup_join(keyed, lookup, keyed["_at"] == lookup["_key"], "left", max_bytes)
     keep = F.col("_floor").isNull() | (F.col(message_id) > F.col("_floor"))
     rule = F.when(~has_partition_key(), otherwise).otherwise(keep)
     return joined.where(rule).select(*raw.columns)
 
 
 def resume_keyed(
-    raw: DataFrame, checkpoints: DataFrame, message_id: str = "rgmid", max_rows: int | None = None
+    raw: DataFrame, checkpoints: DataFrame, message_id: str = "rgmid", max_bytes: int | None = None
 ) -> DataFrame:
     """Keyed rule: a message is compared with its own key's checkpoint; without one it stays."""
-    return _keyed(raw, _floors(checkpoints), message_id, F.lit(True), max_rows)
+    return _keyed(raw, _floors(checkpoints), message_id, F.lit(True), max_bytes)
 
 
 def resume_filter(
@@ -58,7 +58,7 @@ def resume_filter(
     checkpoints: DataFrame,
     message_id: str = "rgmid",
     replay: bool = False,
-    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """The whole restart rule. Replay turns it off.
 
@@ -69,7 +69,7 @@ def resume_filter(
     if replay:
         return raw
     floors = _floors(checkpoints)
-    return _keyed(raw, floors, message_id, _after(message_id, _lowest(floors)), max_rows)
+    return _keyed(raw, floors, message_id, _after(message_id, _lowest(floors)), max_bytes)
 
 
 def locate_ids(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.functions.messages import MESSAGE_ID, envelope
-from tidelog.operators.replay import AFTER_MESSAGE, BEGINNING, TIMEBASED, replay
+from tidelog.operators.replay import AFTER_MESSAGE, BEGINNING, TIMEBASED, replay, start_instant
 from tidelog.operators.resume import resume_filter
 from tidelog.schema import DEFAULT_HEADER_PREFIX
 from tidelog.sinks.publish import Publisher, publish, publish_stream
@@ -81,6 +81,8 @@ class QueueReader:
         strategy = o["replayStrategy"]
         if strategy not in (None, BEGINNING, TIMEBASED, AFTER_MESSAGE):
             raise ValueError(f"unsupported replay strategy {strategy}")
+        if strategy == TIMEBASED:
+            start_instant(o["replayStartTime"], o["replayStartTimeTimezone"])
         if strategy == AFTER_MESSAGE and not o["replayReplicationGroupMessageId"]:
             raise ValueError("replay after a message needs its id")
         if _flag(o["ackLastProcessedMessages"]) and not o["state"]:

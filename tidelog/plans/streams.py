@@ -130,9 +130,9 @@ def restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stop after half the log, add the rest, restart on the same checkpoint."""
     raw = fx.raw_messages(spark, sf_dir)
     first, last = raw.agg(F.min("spool_seq"), F.max("spool_seq")).first()
-    layout = SpoolLayout.for_rows(last - first + 1)
-    step = layout.batch_size * layout.partitions
-    half = first + (last - first + 1) // 2 // step * step
+    rows = last - first + 1
+    layout = SpoolLayout.for_rows(rows)
+    half = first + max(1, rows // 2 // layout.batch_size) * layout.batch_size
     path, out, checkpoint = (workspace(spark, n) for n in ("spool", "out", "checkpoint"))
     for start, stop in ((first, half), (half, last + 1)):
         write_spool(raw, path, layout, start, stop)

@@ -108,24 +108,20 @@ def test_strict_publish_fails_on_a_bad_header(spark, envelope):
     with pytest.raises(Exception, match="invalid header priority"):
         publish(rows, workspace(spark, "never"), Publisher(include_headers=True))
     out = workspace(spark, "some")
-    publish(rows, out, Publisher(include_headers=True, mode="report"), rejects_path=out + "-r")
+    counts = publish(
+        rows, out, Publisher(include_headers=True, mode="report"), rejects_path=out + "-r")
+    assert counts == {"published": 100, "acknowledged": 99, "failed": 1}
     assert spark.read.parquet(out).count() == 99
     assert [r.reason for r in spark.read.parquet(out + "-r").collect()] == ["invalid header priority"]
 
 
-def test_a_repeated_batch_replaces_itself(spark, envelope):
-    out = workspace(spark, "batches")
-    for _ in range(2):
-        publish(envelope, out, batch_id=0)
-    publish(envelope.limit(10), out, batch_id=1)
-    assert spark.read.parquet(out).count() == 110
-
-
-def test_without_batch_id_publishing_appends(spark, envelope):
+def test_publishing_appends_or_replaces(spark, envelope):
     out = workspace(spark, "appends")
     for _ in range(2):
         publish(envelope, out)
     assert spark.read.parquet(out).count() == 200
+    publish(envelope, out, save_mode="overwrite")
+    assert spark.read.parquet(out).count() == 100
 
 
 def test_round_trip_keeps_headers(spark):

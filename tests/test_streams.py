@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +19,12 @@ from tidelog.sources.spool import (
     write_spool,
 )
 from tidelog.streaming import pipelines as p
+from tidelog.streaming.batches import (
+    batch_path,
+    read_batches,
+    read_since_snapshot,
+    write_batch,
+)
 
 LAYOUT = SpoolLayout(batch_size=25, partitions=2)
 
@@ -47,8 +55,8 @@ def test_a_spool_needs_positions_without_gaps(spark, hundred):
 
 def test_layout_grows_files_then_consumers():
     assert SpoolLayout.for_rows(1_000) == SpoolLayout(250, 4)
-    assert SpoolLayout.for_rows(100_000) == SpoolLayout(3125, 4)
-    assert SpoolLayout.for_rows(10**11) == SpoolLayout(1_000_000, 12_500)
+    assert SpoolLayout.for_rows(100_000) == SpoolLayout(6250, 4)
+    assert SpoolLayout.for_rows(10**11) == SpoolLayout(1_000_000, 25_000)
 
 
 @pytest.mark.parametrize(("options", "sizes"), [
@@ -88,27 +96,68 @@ def test_same_checkpoint_starts_no_batch_until_messages_come(spark, hundred):
     assert run() == list(range(100))
 
 
-def test_lost_checkpoint_recovers_from_published_state(spark, hundred):
-    """Half the log, the stream's own checkpoint is lost, the rest: every message once."""
-    path, rows, state = (workspace(spark, n) for n in ("spool", "rows", "state"))
+def dealt(spark, path, **options):
+    stream = open_queue(spark, path, partitions=1, batch_size=25, keep=("spool_seq",), **options)
+    return batching.assign_consumer(stream, 2)
 
-    def run(**options):
-        stream = open_queue(spark, path, partitions=2, batch_size=25, keep=("spool_seq",), **options)
-        dealt = batching.assign_consumer(stream, 2)
-        p.run_available(p.commit_publish(dealt, rows, state, workspace(spark, "cp")))
-        return dealt
 
-    write_spool(hundred, path, LAYOUT, 0, 50)
-    schema = run().schema
-    first = seqs(p.read_batches(spark, rows, schema))
-    assert first == list(range(50))
+@pytest.mark.parametrize("every", [100, 2])
+def test_lost_checkpoint_recovers_from_published_state(spark, hundred, monkeypatch, every):
+    """Three quarters of the log, the stream's own checkpoint is lost, then the rest."""
+    monkeypatch.setattr("tidelog.streaming.batches.SNAPSHOT_EVERY", every)
+    path, rows, state = (workspace(spark, n) for n in ("spool", "rows", "state"))
+    write_spool(hundred, path, LAYOUT, 0, 75)
+    stream = dealt(spark, path)
+    p.run_available(p.commit_publish(stream, rows, state, workspace(spark, "cp")))
     committed = p.committed_state(spark, state)
-    assert sorted(r.messageIDs[-2:] for r in committed.collect()) == ["48", "49"]
-    write_spool(hundred, path, LAYOUT, 50, 100)
-    rows = workspace(spark, "rows")
-    run(checkpoints=committed)
-    # The unkeyed rule keeps what is after the lowest checkpoint: 49 comes a second time.
-    assert seqs(p.read_batches(spark, rows, schema)) == list(range(49, 100))
+    assert sorted((r.partitionId, r.messageIDs[-2:]) for r in committed.collect()) == [
+        ("0", "74"), ("1", "73")]
+    write_spool(hundred, path, LAYOUT, 75, 100)
+    again = dealt(spark, path, checkpoints=committed)
+    p.run_available(p.commit_publish(again, rows, state, workspace(spark, "cp")))
+    # The new stream counts from batch 0 in an epoch of its own. The unkeyed rule keeps what is
+    # after the lowest checkpoint, so 74 comes a second time.
+    written = read_batches(spark, rows, stream.schema)
+    assert seqs(written.where("epoch = 0")) == list(range(75))
+    assert seqs(written.where("epoch = 1")) == list(range(74, 100))
+    latest = p.committed_state(spark, state).collect()
+    assert sorted((r.partitionId, r.messageIDs[-2:]) for r in latest) == [("0", "98"), ("1", "99")]
+
+
+def test_snapshots_hold_the_whole_state(spark, hundred, monkeypatch):
+    monkeypatch.setattr("tidelog.streaming.batches.SNAPSHOT_EVERY", 2)
+    path, out = workspace(spark, "spool"), workspace(spark, "last")
+    keyed = hundred.withColumn("destination", F.col("spool_seq").cast("string"))
+    write_spool(keyed, path, LAYOUT)
+    p.run_available(p.last_value_stream(
+        stream_raw(spark, path, 1, 25), out, workspace(spark, "cp"), ["destination"]))
+    sizes = read_batches(spark, out, RAW_MESSAGE).groupBy("batch_id").count().collect()
+    assert sorted(tuple(r) for r in sizes) == [(0, 25), (1, 25), (2, 75), (3, 25)]
+    newest = p.read_last_value(spark, out, RAW_MESSAGE, ["destination"])
+    assert seqs(newest) == list(range(100))
+
+
+def test_a_batch_cut_short_is_not_state(spark, hundred):
+    out = workspace(spark, "state")
+    rows = hundred.select("spool_seq")
+    for batch_id in (0, 1):
+        write_batch(rows.where(F.col("spool_seq") % 2 == batch_id), out, 0, batch_id)
+    (Path(batch_path(out, 0, 1)) / "_SUCCESS").unlink()
+    assert read_since_snapshot(spark, out, rows.schema).count() == 50
+
+
+def test_late_repeats_are_dropped(spark, hundred):
+    path, out = workspace(spark, "spool"), workspace(spark, "out")
+    hot = hundred.withColumn(
+        "rgmid", F.when(F.col("spool_seq") % 3 == 0, "hot").otherwise(F.col("rgmid")))
+    write_spool(hot, path, LAYOUT)
+    stream = open_queue(spark, path, partitions=1, batch_size=25, keep=("spool_seq",))
+    twice = stream.withColumn("attempt", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "delivery", F.col("spool_seq") * 2 + F.col("attempt"))
+    p.run_available(p.dedup_append(twice, out, workspace(spark, "cp")))
+    got = read_batches(spark, out, twice.schema).collect()
+    want = [0] + [i for i in range(100) if i % 3]
+    assert sorted(r.delivery for r in got) == [2 * i for i in want]
 
 
 def test_a_failed_batch_runs_again_and_replaces_itself(spark, spool):
@@ -180,6 +229,18 @@ def test_reader_replay_and_resume_by_options(spark, spool):
         assert QueueReader(spark).options(**base, **options).loadBatch().count() == want
 
 
+def test_resume_with_another_indicator_compares_positions(spark, spool):
+    state = spark.createDataFrame([("c-0", "app-29")], "partitionId string, messageIDs string")
+    options = {"queue": spool, "offsetIndicator": "APPLICATION_MESSAGE_ID",
+               "ackLastProcessedMessages": "true", "state": state}
+    ids = QueueReader(spark).options(**options).loadBatch().select("Id").collect()
+    assert sorted(r.Id for r in ids) == sorted(f"app-{i}" for i in range(30, 100))
+    out = workspace(spark, "out")
+    stream = QueueReader(spark).options(**options).load()
+    p.run_available(p.land_parquet(stream, out, workspace(spark, "cp")))
+    assert spark.read.parquet(out).count() == 70
+
+
 @pytest.mark.parametrize("options", [
     {},
     {"queue": ""},

@@ -155,6 +155,6 @@ def fingerprint() -> Column:
         F.col("redelivered"),
         F.col("expiration"),
         F.col("priority"),
-        F.base64(payload()).alias("payload"),
+        F.sha2(payload(), 256).alias("payload"),
     )
     return F.sha2(F.to_json(parts, {"ignoreNullFields": "false"}), 256)

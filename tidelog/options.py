@@ -7,10 +7,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.functions.messages import MESSAGE_ID, envelope
 from tidelog.operators.replay import AFTER_MESSAGE, BEGINNING, TIMEBASED, replay, start_instant
-from tidelog.operators.resume import resume_filter
 from tidelog.schema import DEFAULT_HEADER_PREFIX
 from tidelog.sinks.publish import Publisher, publish, publish_stream
-from tidelog.sources.spool import open_queue, read_queue
+from tidelog.sources.spool import open_queue, read_queue, resume
 
 # Option names and defaults. `queue` is the log's folder, `headerPrefix` the broker's
 # prefix for system headers; `state` names a table of checkpoints for ackLastProcessedMessages.
@@ -117,8 +116,9 @@ class QueueReader:
     def loadBatch(self) -> DataFrame:
         """The same rows as a bounded table."""
         o = self._checked()
+        log = read_queue(self._spark, o["queue"])
         raw = replay(
-            read_queue(self._spark, o["queue"]),
+            log,
             o["replayStrategy"],
             o["replayStartTime"],
             o["replayStartTimeTimezone"],
@@ -126,7 +126,7 @@ class QueueReader:
         )
         state = self._state(o)
         if state is not None:
-            raw = resume_filter(raw, state, replay=o["replayStrategy"] is not None)
+            raw = resume(raw, state, log, o["offsetIndicator"], o["replayStrategy"] is not None)
         return envelope(
             raw, _flag(o["includeHeaders"]), o["offsetIndicator"], header_prefix=o["headerPrefix"]
         )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import messages as m
-from tidelog.operators import batching, checkpoints, delivery
+from tidelog.operators import batching, delivery
 from tidelog.operators.publishing import as_raw
 from tidelog.operators.replay import TIMEBASED
 from tidelog.plans import fixtures as fx
@@ -36,10 +36,11 @@ from tidelog.sources.spool import (
     write_spool,
 )
 from tidelog.streaming import pipelines as p
+from tidelog.streaming.batches import read_batches
 
 # The layout of SpoolLayout.for_rows in SQL: `step` positions make one micro-batch.
-LAYOUT = """layout AS (SELECT per_file * greatest(4, CAST(ceil(ceil(n / per_file) / 8) AS BIGINT))
-  AS step FROM (SELECT n, greatest(250, least(1000000, CAST(ceil(n / 32) AS BIGINT))) AS per_file
+LAYOUT = """layout AS (SELECT per_file * greatest(4, CAST(ceil(ceil(n / per_file) / 4) AS BIGINT))
+  AS step FROM (SELECT n, greatest(250, least(1000000, CAST(ceil(n / 16) AS BIGINT))) AS per_file
   FROM (SELECT count(*) AS n FROM events)))"""
 
 @cache
@@ -95,7 +96,8 @@ def queue_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = workspace(spark, "batches")
     stream = opened(spark, sf_dir)
     p.run_available(p.count_batches(stream, out, workspace(spark, "checkpoint")))
-    return p.read_batches(spark, out, T.StructType([T.StructField("messages", T.LongType())]))
+    counts = T.StructType([T.StructField("messages", T.LongType())])
+    return read_batches(spark, out, counts).drop("epoch")
 
 @query("isempty_then_read", f"""WITH {LAYOUT} SELECT event_id // step AS batch_id, FALSE AS empty,
   count(*) AS first_read, count(*) AS second_read FROM events, layout GROUP BY 1""")
@@ -103,11 +105,11 @@ def isempty_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = workspace(spark, "probes")
     stream = opened(spark, sf_dir)
     p.run_available(p.probe_batches(stream, out, workspace(spark, "checkpoint")))
-    return p.read_batches(spark, out, T.StructType([
+    return read_batches(spark, out, T.StructType([
         T.StructField("first_read", T.LongType()),
         T.StructField("second_read", T.LongType()),
         T.StructField("empty", T.BooleanType()),
-    ]))
+    ])).drop("epoch")
 
 @query("parquet_stream_in", "SELECT event_type, count(*) AS messages FROM events GROUP BY 1")
 def parquet_stream_in(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +194,7 @@ def commit_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     p.run_available(p.commit_publish(
         stream, rows_path, state_path, workspace(spark, "checkpoint")
     ))
-    counts = p.read_batches(spark, rows_path, stream.schema).groupBy(
+    counts = read_batches(spark, rows_path, stream.schema).groupBy(
         F.col("consumer").cast("string").alias("partitionId")
     ).agg(F.count("*").alias("messages"))
     return p.committed_state(spark, state_path).join(counts, "partitionId")
@@ -216,8 +218,8 @@ def update_as_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = workspace(spark, "updates")
     p.run_available(p.update_as_append(totals, out, workspace(spark, "checkpoint")))
-    updates = p.read_batches(spark, out, totals.schema)
-    return checkpoints.last_value(updates, ["Topic"], "batch_id").drop("batch_id")
+    return p.read_updates(spark, out, totals.schema, ["Topic"])
+
 
 @query("dedup_stream", f"WITH {MSG} {ENVELOPE_SQL}")
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,3 +228,15 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "attempt", F.explode(F.array(F.lit(1), F.lit(2)))
     ).drop("attempt")
     return scalar_envelope(landed(delivery.dedup_stream(twice, watermark="40 days")))
+
+
+@query("dedup_append", f"WITH {MSG} {ENVELOPE_SQL}")
+def dedup_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without a watermark, against all that was written before."""
+    stream = opened(spark, sf_dir, keep=("spool_seq",))
+    twice = stream.withColumn("attempt", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "delivery", F.col("spool_seq") * 2 + F.col("attempt")
+    )
+    out = workspace(spark, "once")
+    p.run_available(p.dedup_append(twice, out, workspace(spark, "checkpoint")))
+    return scalar_envelope(read_batches(spark, out, twice.schema))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.operators.publishing import (
+    OK,
     bind_columns,
     publish_envelope,
     publish_validate,
@@ -43,36 +44,40 @@ class Publisher:
         )
         return publish_validate(bound, self.header_prefix, strict=self.mode == "strict")
 
-    def messages(self, df: DataFrame) -> DataFrame:
-        """Outgoing messages of the publishable rows."""
-        good, _ = split_rejects(self.checked(df))
+    def messages(self, df: DataFrame, counts: Observation | None = None) -> DataFrame:
+        """Outgoing messages of the publishable rows; ``counts`` observes how many there were."""
+        checked = self.checked(df)
+        if counts is not None:
+            good = F.col("status") == OK
+            checked = checked.observe(
+                counts,
+                F.count("*").alias("published"),
+                F.count_if(good).alias("acknowledged"),
+                F.count_if(~good).alias("failed"),
+            )
+        good, _ = split_rejects(checked)
         return publish_envelope(good, self.header_prefix, keep=self.keep)
 
     def rejects(self, df: DataFrame) -> DataFrame:
         return reject_report(self.checked(df))
 
 
-def batch_path(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={batch_id}"
-
-
 def publish(
     df: DataFrame,
     path: str,
     publisher: Publisher = Publisher(),
-    batch_id: int | None = None,
+    save_mode: str = "append",
     rejects_path: str | None = None,
-) -> None:
-    """Append ``df`` as messages. With ``batch_id`` a repeated batch replaces itself."""
-    def write(rows: DataFrame, to: str) -> None:
-        if batch_id is None:
-            rows.write.mode("append").parquet(to)
-        else:
-            rows.write.mode("overwrite").parquet(batch_path(to, batch_id))
-
-    write(publisher.messages(df), path)
+) -> dict[str, int]:
+    """Write ``df`` as messages, appended unless ``save_mode`` is ``overwrite``.
+
+    Returns how many rows were published, acknowledged and failed, counted while they were written.
+    """
+    counts = Observation()
+    publisher.messages(df, counts).write.mode(save_mode).parquet(path)
     if rejects_path is not None:
-        write(publisher.rejects(df), rejects_path)
+        publisher.rejects(df).write.mode(save_mode).parquet(rejects_path)
+    return counts.get
 
 
 def publish_stream(

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.messages import MESSAGE_ID, envelope
+from tidelog.functions.messages import MESSAGE_ID, envelope, raw_id
 from tidelog.operators.replay import replay
-from tidelog.operators.resume import resume_filter
+from tidelog.operators.resume import locate_ids, padded, resume_filter
 from tidelog.schema import DEFAULT_HEADER_PREFIX, RAW_MESSAGE
 
 
@@ -22,7 +22,7 @@ class SpoolLayout:
 
     @classmethod
     def for_rows(
-        cls, rows: int, batches: int = 8, partitions: int = 4, file_rows: int = 1_000_000
+        cls, rows: int, batches: int = 4, partitions: int = 4, file_rows: int = 1_000_000
     ) -> SpoolLayout:
         """About ``batches`` micro-batches over ``rows``, with files of ``file_rows`` at most.
 
@@ -33,19 +33,26 @@ class SpoolLayout:
         return cls(per_file, max(partitions, -(-files // batches)))
 
 
-def append_spool(raw: DataFrame, path: str, batch_size: int, order: str = "spool_seq") -> None:
+def append_spool(
+    raw: DataFrame, path: str, batch_size: int, blocks: int | None = None, order: str = "spool_seq"
+) -> None:
     """Append messages as files of at most ``batch_size`` rows, each one block of positions.
 
     One parallel job: rows meet by block, blocks are sorted inside their task, and a file is closed
-    at every ``batch_size`` rows. A dense log gets exactly one block per file.
+    at every ``batch_size`` rows. A dense log gets exactly one block per file. With ``blocks``, how
+    many consecutive ones there are, each has a task of its own.
     """
     if batch_size <= 0:
         raise ValueError("a spool needs a batch size above 0")
     block = F.expr(f"`{order}` div {batch_size}")
+    rows = raw.select(*RAW_MESSAGE.names)
+    met = (
+        rows.repartitionById(blocks, F.pmod(block, F.lit(blocks)).cast("int"))
+        if blocks
+        else rows.repartition(block)
+    )
     (
-        raw.select(*RAW_MESSAGE.names)
-        .repartition(block)
-        .sortWithinPartitions(order)
+        met.sortWithinPartitions(order)
         .write.mode("append")
         .option("maxRecordsPerFile", batch_size)
         .parquet(path)
@@ -72,8 +79,10 @@ def write_spool(
     step = layout.batch_size * layout.partitions
     begin = start - start % step
     for low in range(begin, stop, step):
-        inside = (F.col(order) >= max(low, start)) & (F.col(order) < min(low + step, stop))
-        append_spool(raw.where(inside), path, layout.batch_size, order)
+        here, there = max(low, start), min(low + step, stop)
+        blocks = (there - 1) // layout.batch_size - here // layout.batch_size + 1
+        inside = (F.col(order) >= here) & (F.col(order) < there)
+        append_spool(raw.where(inside), path, layout.batch_size, blocks, order)
 
 
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
@@ -107,6 +116,26 @@ def stream_raw(
     return reader.parquet(path)
 
 
+def resume(
+    raw: DataFrame,
+    checkpoints: DataFrame,
+    log: DataFrame,
+    offset_indicator: str = MESSAGE_ID,
+    replay: bool = False,
+) -> DataFrame:
+    """The restart rule for checkpoints taken with an offset indicator.
+
+    Message ids order as text. The ids of any other indicator are looked up in ``log``, and their
+    positions are compared.
+    """
+    if replay or offset_indicator == MESSAGE_ID:
+        return resume_filter(raw, checkpoints, replay=replay)
+    indicated = log.withColumn("_indicated", raw_id(offset_indicator))
+    located = locate_ids(checkpoints, indicated, "_indicated")
+    placed = raw.withColumn("_place", padded("spool_seq"))
+    return resume_filter(placed, located, "_place").drop("_place")
+
+
 def open_queue(
     spark: SparkSession,
     path: str,
@@ -131,7 +160,8 @@ def open_queue(
     raw = stream_raw(spark, path, partitions, batch_size, bytes_per_trigger)
     raw = replay(raw, replay_strategy, replay_start_time, replay_timezone, replay_message_id)
     if checkpoints is not None:
-        raw = resume_filter(raw, checkpoints, replay=replay_strategy is not None)
+        log = read_queue(spark, path)
+        raw = resume(raw, checkpoints, log, offset_indicator, replay_strategy is not None)
     return envelope(raw, include_headers, offset_indicator, strict, header_prefix, keep)
 
 

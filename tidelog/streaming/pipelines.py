@@ -7,12 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidelog.functions.offsets import decode_offsets, encode_offset
-from tidelog.operators.checkpoints import consumer_checkpoint, last_value, merge_checkpoints
+from tidelog.functions.offsets import encode_offset, migrate_offsets
+from tidelog.operators.checkpoints import consumer_checkpoint, last_value
+from tidelog.operators.delivery import dedup_by_id
+from tidelog.operators.lookup import pick_by
 from tidelog.schema import CHECKPOINT
-from tidelog.sinks.publish import Publisher, batch_path, publish, publish_stream
+from tidelog.sinks.publish import Publisher, publish, publish_stream
+from tidelog.streaming.batches import (
+    batch_path,
+    commit_order,
+    for_each_batch,
+    read_batches,
+    read_since_snapshot,
+    write_batch,
+    write_state,
+)
 
 WAIT_SECONDS = 3600
+STATE_LINE = T.StructType([T.StructField("json", T.StringType())])
 
 
 def run_available(writer: DataStreamWriter, wait: int = WAIT_SECONDS) -> None:
@@ -25,23 +37,6 @@ def run_available(writer: DataStreamWriter, wait: int = WAIT_SECONDS) -> None:
         query.stop()
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of a per-batch output folder with their ``batch_id``; empty if no batch ran yet."""
-    with_batch = T.StructType(
-        [f for f in schema.fields if f.name != "batch_id"]
-        + [T.StructField("batch_id", T.LongType())]
-    )
-    if not _exists(spark, path):
-        return spark.createDataFrame([], with_batch)
-    return spark.read.schema(with_batch).parquet(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
-
-
 def land_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Queue to append-only Parquet, exactly once."""
     return (
@@ -67,30 +62,30 @@ def foreach_batch_publish(
     rejects_path: str | None = None,
 ) -> DataStreamWriter:
     """Every micro-batch through the batch publisher; a repeated batch replaces its own folder."""
-    def handle(rows: DataFrame, batch_id: int) -> None:
-        publish(rows, path, publisher, batch_id, rejects_path)
+    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
+        rejects = rejects_path and batch_path(rejects_path, epoch, batch_id)
+        publish(rows, batch_path(path, epoch, batch_id), publisher, "overwrite", rejects)
 
-    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+    return for_each_batch(stream, checkpoint, handle, path)
 
 
 def count_batches(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """One row with the size of every micro-batch."""
-    def handle(rows: DataFrame, batch_id: int) -> None:
-        counted = rows.agg(F.count("*").alias("messages"))
-        counted.write.mode("overwrite").parquet(batch_path(path, batch_id))
+    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
+        write_batch(rows.agg(F.count("*").alias("messages")), path, epoch, batch_id)
 
-    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+    return for_each_batch(stream, checkpoint, handle, path)
 
 
 def probe_batches(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Probe each micro-batch for emptiness, then read it twice: every read sees the whole batch."""
-    def handle(rows: DataFrame, batch_id: int) -> None:
+    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
         empty = rows.isEmpty()
         first, second = (rows.agg(F.count("*").alias(n)) for n in ("first_read", "second_read"))
         seen = first.withColumn("second_read", second.scalar()).withColumn("empty", F.lit(empty))
-        seen.write.mode("overwrite").parquet(batch_path(path, batch_id))
+        write_batch(seen, path, epoch, batch_id)
 
-    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+    return for_each_batch(stream, checkpoint, handle, path)
 
 
 def commit_publish(
@@ -104,29 +99,34 @@ def commit_publish(
 ) -> DataStreamWriter:
     """Write each micro-batch, then publish what it processed as state messages.
 
-    State is one JSON line per partition that moved, keyed by batch; :func:`committed_state` folds
-    them. Rows come first: a batch lost between the two writes runs again and replaces both.
+    State is one JSON line per partition that moved; :func:`committed_state` reads the newest. Rows
+    come first: a batch lost between the two writes runs again and replaces both. The log must be
+    read in message order (see ``write_spool``), as a checkpoint stands for all before it.
     """
-    def handle(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(batch_path(rows_path, batch_id))
+    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
+        write_batch(rows, rows_path, epoch, batch_id)
         written = rows.sparkSession.read.schema(rows.schema).parquet(
-            batch_path(rows_path, batch_id)
+            batch_path(rows_path, epoch, batch_id)
         )
         moved = consumer_checkpoint(written, partition, message_id, order)
-        moved.select(encode_offset(F.lit(batch_id).cast("bigint")).alias("json")).write.mode(
-            "overwrite"
-        ).parquet(batch_path(state_path, batch_id))
+        lines = moved.select(encode_offset(F.lit(batch_id).cast("bigint")).alias("json"))
+        write_state(lines, state_path, epoch, batch_id, _fold_lines)
+
+    return for_each_batch(stream, checkpoint, handle, state_path)
+
 
-    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+def _fold_lines(lines: DataFrame) -> DataFrame:
+    """Newest state line of every partition, by order of commit."""
+    entries = migrate_offsets(lines).where("readable").withColumn(
+        "partitionId", F.element_at("checkpoints", 1)["partitionId"]
+    )
+    return pick_by(entries.withColumn("_commit", commit_order()), ["partitionId"], "_commit")
 
 
 def committed_state(spark: SparkSession, state_path: str) -> DataFrame:
     """The newest checkpoint of every partition in a state folder."""
-    lines = read_batches(spark, state_path, T.StructType([T.StructField("json", T.StringType())]))
-    decoded = decode_offsets(lines.select("json", "batch_id")).select(
-        "partitionId", F.col("messageId").alias("messageIDs"), "batch_id"
-    )
-    return merge_checkpoints(decoded).select(*CHECKPOINT.names)
+    newest = _fold_lines(read_since_snapshot(spark, state_path, STATE_LINE))
+    return newest.select(F.inline("checkpoints")).select(*CHECKPOINT.names)
 
 
 def last_value_stream(
@@ -137,25 +137,58 @@ def last_value_stream(
     :func:`read_last_value` folds the batches with the same rule. Batches commute, so arrival order
     does not matter.
     """
-    def handle(rows: DataFrame, batch_id: int) -> None:
-        last_value(rows, keys, order).write.mode("overwrite").parquet(batch_path(path, batch_id))
+    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
+        def fold(state: DataFrame) -> DataFrame:
+            return last_value(state, keys, order)
 
-    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+        write_state(last_value(rows, keys, order), path, epoch, batch_id, fold)
+
+    return for_each_batch(stream, checkpoint, handle, path)
 
 
 def read_last_value(
     spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: str = "spool_seq"
 ) -> DataFrame:
-    return last_value(read_batches(spark, path, schema), keys, order).drop("batch_id")
+    state = read_since_snapshot(spark, path, schema)
+    return last_value(state, keys, order).drop("epoch", "batch_id")
 
 
 def update_as_append(aggregate: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Append every changed row of a streaming aggregate; readers take the newest per key."""
-    def handle(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(batch_path(path, batch_id))
+    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
+        write_batch(rows, path, epoch, batch_id)
 
-    return (
-        aggregate.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(handle)
-    )
+    return for_each_batch(aggregate, checkpoint, handle, path, mode="update")
+
+
+def read_updates(
+    spark: SparkSession, path: str, schema: T.StructType, keys: list[str]
+) -> DataFrame:
+    """The newest row per key of an update-mode output."""
+    updates = read_batches(spark, path, schema).withColumn("_commit", commit_order())
+    return pick_by(updates, keys, "_commit").select(*schema.names)
+
+
+def dedup_append(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    message_id: str = "Id",
+    order: str = "delivery",
+) -> DataStreamWriter:
+    """Append the first delivery of every id, however late a repeat comes.
+
+    Repeats inside a micro-batch fall to :func:`dedup_by_id`, which folds a hot id on the map side,
+    where a stateful ``dropDuplicates`` would send all of it to one task. Then both sides of the
+    anti join against earlier batches hold an id once. Only the id column of those is read.
+    """
+    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
+        once = dedup_by_id(rows, message_id, order)
+        before = read_batches(rows.sparkSession, path, rows.schema).where(
+            (F.col("epoch") < epoch) | ((F.col("epoch") == epoch) & (F.col("batch_id") < batch_id))
+        )
+        seen = before.select(F.col(message_id).alias("_seen"))
+        fresh = once.join(seen, once[message_id].eqNullSafe(seen["_seen"]), "left_anti")
+        write_batch(fresh, path, epoch, batch_id)
+
+    return for_each_batch(stream, checkpoint, handle, path)

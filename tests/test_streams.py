@@ -113,6 +113,10 @@ def test_lost_checkpoint_recovers_from_published_state(spark, hundred, monkeypat
     assert sorted((r.partitionId, r.messageIDs[-2:]) for r in committed.collect()) == [
         ("0", "74"), ("1", "73")]
     write_spool(hundred, path, LAYOUT, 75, 100)
+    left = QueueReader(spark).options(
+        queue=path, ackLastProcessedMessages="true", state=state, host="tcp://unused"
+    ).loadBatch()
+    assert left.count() == 26
     again = dealt(spark, path, checkpoints=committed)
     p.run_available(p.commit_publish(again, rows, state, workspace(spark, "cp")))
     # The new stream counts from batch 0 in an epoch of its own. The unkeyed rule keeps what is

@@ -10,9 +10,11 @@ from tidelog.operators.replay import AFTER_MESSAGE, BEGINNING, TIMEBASED, replay
 from tidelog.schema import DEFAULT_HEADER_PREFIX
 from tidelog.sinks.publish import Publisher, publish, publish_stream
 from tidelog.sources.spool import open_queue, read_queue, resume
+from tidelog.streaming.pipelines import committed_state
 
 # Option names and defaults. `queue` is the log's folder, `headerPrefix` the broker's
-# prefix for system headers; `state` names a table of checkpoints for ackLastProcessedMessages.
+# prefix for system headers; `state` is what ackLastProcessedMessages starts from: the folder a
+# commit_publish job keeps its state in, or a data frame of checkpoints.
 READ_DEFAULTS = {
     "queue": None,
     "batchSize": "0",
@@ -27,6 +29,13 @@ READ_DEFAULTS = {
     "headerPrefix": DEFAULT_HEADER_PREFIX,
     "state": None,
 }
+# Accepted and ignored: there is no broker session to configure.
+CONNECTION_OPTIONS = (
+    "host", "vpn", "username", "password", "connectRetries", "reconnectRetries",
+    "connectRetriesPerHost", "reconnectRetryWaitInMillis", "connectIdleTimeoutInMillis",
+    "connectIdleTimeoutCheckInMillis", "queue.receiveWaitTimeout",
+    "closeReceiversOnPartitionClose",
+)
 WRITE_DEFAULTS = {
     "queue": None,
     "topic": None,
@@ -39,6 +48,7 @@ WRITE_DEFAULTS = {
 
 
 def _merge(defaults: dict, options: dict) -> dict:
+    options = {k: v for k, v in options.items() if k not in CONNECTION_OPTIONS}
     unknown = sorted(set(options) - set(defaults))
     if unknown:
         raise ValueError(f"unknown options: {', '.join(unknown)}")
@@ -91,9 +101,8 @@ class QueueReader:
     def _state(self, o: dict) -> DataFrame | None:
         if not _flag(o["ackLastProcessedMessages"]):
             return None
-        return o["state"] if isinstance(o["state"], DataFrame) else self._spark.read.parquet(
-            o["state"]
-        )
+        given = o["state"]
+        return given if isinstance(given, DataFrame) else committed_state(self._spark, given)
 
     def load(self) -> DataFrame:
         """The queue as a stream (see ``stream_raw`` for what bounds a micro-batch)."""

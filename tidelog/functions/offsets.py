@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidelog.schema import LEGACY_PARTITION_ID, OFFSET_ENTRY
+from tidelog.schema import CHECKPOINT, LEGACY_PARTITION_ID, OFFSET_ENTRY
 
 
 def _entry(json: str) -> Column:
@@ -26,26 +27,33 @@ def migrate_offsets(log: DataFrame, json: str = "json", strict: bool = False) ->
     )
     parsed = log.withColumn("_entry", _entry(json))
     readable = F.col("_entry.offset").isNotNull()
-    offset = F.col("_entry.offset")
-    if strict:
-        offset = F.when(
-            ~readable,
-            F.raise_error(F.lit("unreadable offset entry; delete the checkpoint and restart"))
-            .cast("bigint"),
-        ).otherwise(offset)
+
+    def value(column: Column, kind: str) -> Column:
+        """The column of a readable line; else null, or the error."""
+        unreadable = F.lit(None).cast(kind)
+        if strict:
+            unreadable = F.raise_error(
+                F.lit("unreadable offset entry; delete the checkpoint and restart")
+            ).cast(kind)
+        return F.when(readable, column).otherwise(unreadable)
+
+    checkpoints = F.coalesce(F.col("_entry.checkpoints"), legacy)
     return parsed.select(
         *log.columns,
-        offset.alias("offset"),
-        F.when(readable, F.coalesce(F.col("_entry.checkpoints"), legacy)).alias("checkpoints"),
+        value(F.col("_entry.offset"), "bigint").alias("offset"),
+        value(checkpoints, T.ArrayType(CHECKPOINT).simpleString()).alias("checkpoints"),
         readable.alias("readable"),
     )
 
 
 def decode_offsets(log: DataFrame, json: str = "json", strict: bool = False) -> DataFrame:
     """One row per message id of every readable entry; empty ids are dropped."""
-    entries = migrate_offsets(log, json, strict).where("readable")
-    per_partition = entries.withColumn("_c", F.explode("checkpoints"))
+    entries = migrate_offsets(log, json, strict)
     keep = [c for c in log.columns if c != json]
+    # An unreadable line has no checkpoints, so nothing needs filtering. The coalesce keeps the
+    # optimizer from testing the array's size below the projection, which would parse lines again.
+    each = F.explode(F.coalesce("checkpoints", F.array().cast(T.ArrayType(CHECKPOINT))))
+    per_partition = entries.select(*keep, "offset", each.alias("_c"))
     return explode_ids(
         per_partition.select(
             *keep, "offset",

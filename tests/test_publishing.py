@@ -54,6 +54,13 @@ def test_first_header_problem_by_name(spark):
     assert headers_row(spark, expiration=b"1").select(h.header_problem()).first()[0] is None
 
 
+def test_bytes_that_are_not_utf8_do_not_fail(spark):
+    row = typed(spark, senderId=b"a\xff", priority=b"\xff")
+    assert (row.senderId, row.priority) == ("a\ufffd", None)
+    payload = spark.createDataFrame([(bytearray(b"a\xff"),)], "Payload binary")
+    assert payload.select(F.length(m.payload_text())).first()[0] == 2
+
+
 def test_content_type_is_decoded(spark):
     assert typed(spark, **{"content-type": b"text/plain"}).contentType == "text/plain"
 

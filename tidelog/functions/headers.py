@@ -23,7 +23,8 @@ def _bytes(name: str, headers: str) -> Column:
 
 
 def _text(name: str, headers: str) -> Column:
-    return F.decode(_bytes(name, headers), "UTF-8")
+    """A header's bytes as text; numbers and flags are read from it as it is."""
+    return _bytes(name, headers).cast("string")
 
 
 def _number(text: Column, kind: str) -> Column:
@@ -40,7 +41,7 @@ def _parse(header: Header, prefix: str, headers: str) -> Column:
         value = F.lower(text) == "true"
         return value if header.default is None else F.coalesce(value, F.lit(header.default))
     if header.type == "string":
-        return text
+        return F.make_valid_utf8(text)
     return _bytes(name, headers)
 
 
@@ -56,7 +57,7 @@ def header_problem(prefix: str = DEFAULT_HEADER_PREFIX, headers: str = "Headers"
         return [prefix + h.name for h in writable if h.type == kind]
 
     def bad(entry: Column) -> Column:
-        text = F.decode(entry["value"], "UTF-8")
+        text = entry["value"].cast("string")
         return (
             (entry["key"].isin(named("long")) & _number(text, "long").isNull())
             | (entry["key"].isin(named("int")) & _number(text, "int").isNull())
@@ -89,7 +90,7 @@ def typed_headers(
                 present & value.isNull(), problem.cast(_SQL_TYPES[header.type])
             ).otherwise(value)
         fields[header.name] = value
-    fields["contentType"] = _text(CONTENT_TYPE_HEADER, headers)
+    fields["contentType"] = F.make_valid_utf8(_text(CONTENT_TYPE_HEADER, headers))
     if strict:
         reply = _bytes(prefix + "replyTo", headers)
         fields["contentType"] = F.when(

@@ -28,7 +28,8 @@ def payload() -> Column:
 
 
 def payload_text(column: str = "Payload") -> Column:
-    return F.decode(F.col(column), "UTF-8")
+    """Payload as text. Bytes that are not UTF-8 pass as they are rather than fail the query."""
+    return F.col(column).cast("string")
 
 
 def raw_id(indicator: str = MESSAGE_ID) -> Column:

@@ -156,7 +156,9 @@ def as_raw(messages: DataFrame, position: str, received: Column | None = None) -
         "sequence_number": F.col("sequence_number"),
         "is_text": F.lit(False),
         "attachment": F.col("payload"),
-        "user_props": F.transform_values("user_props", lambda _, v: F.decode(v, "UTF-8")),
+        "user_props": F.transform_values(
+            "user_props", lambda _, v: F.make_valid_utf8(v.cast("string"))
+        ),
     }
     return messages.select([
         values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RAW_MESSAGE.fields

@@ -27,6 +27,7 @@ from tidelog.streaming.batches import (
 )
 
 LAYOUT = SpoolLayout(batch_size=25, partitions=2)
+ONE_BY_ONE = SpoolLayout(batch_size=25, partitions=1)
 
 
 @pytest.fixture(scope="module")
@@ -54,9 +55,9 @@ def test_a_spool_needs_positions_without_gaps(spark, hundred):
 
 
 def test_layout_grows_files_then_consumers():
-    assert SpoolLayout.for_rows(1_000) == SpoolLayout(250, 4)
-    assert SpoolLayout.for_rows(100_000) == SpoolLayout(6250, 4)
-    assert SpoolLayout.for_rows(10**11) == SpoolLayout(1_000_000, 25_000)
+    assert SpoolLayout.for_rows(1_000) == SpoolLayout(125, 8)
+    assert SpoolLayout.for_rows(100_000) == SpoolLayout(3125, 8)
+    assert SpoolLayout.for_rows(10**11) == SpoolLayout(250_000, 100_000)
 
 
 @pytest.mark.parametrize(("options", "sizes"), [
@@ -106,13 +107,13 @@ def test_lost_checkpoint_recovers_from_published_state(spark, hundred, monkeypat
     """Three quarters of the log, the stream's own checkpoint is lost, then the rest."""
     monkeypatch.setattr("tidelog.streaming.batches.SNAPSHOT_EVERY", every)
     path, rows, state = (workspace(spark, n) for n in ("spool", "rows", "state"))
-    write_spool(hundred, path, LAYOUT, 0, 75)
+    write_spool(hundred, path, ONE_BY_ONE, 0, 75)
     stream = dealt(spark, path)
     p.run_available(p.commit_publish(stream, rows, state, workspace(spark, "cp")))
     committed = p.committed_state(spark, state)
     assert sorted((r.partitionId, r.messageIDs[-2:]) for r in committed.collect()) == [
         ("0", "74"), ("1", "73")]
-    write_spool(hundred, path, LAYOUT, 75, 100)
+    write_spool(hundred, path, ONE_BY_ONE, 75, 100)
     left = QueueReader(spark).options(
         queue=path, ackLastProcessedMessages="true", state=state, host="tcp://unused"
     ).loadBatch()
@@ -132,7 +133,7 @@ def test_snapshots_hold_the_whole_state(spark, hundred, monkeypatch):
     monkeypatch.setattr("tidelog.streaming.batches.SNAPSHOT_EVERY", 2)
     path, out = workspace(spark, "spool"), workspace(spark, "last")
     keyed = hundred.withColumn("destination", F.col("spool_seq").cast("string"))
-    write_spool(keyed, path, LAYOUT)
+    write_spool(keyed, path, ONE_BY_ONE)
     p.run_available(p.last_value_stream(
         stream_raw(spark, path, 1, 25), out, workspace(spark, "cp"), ["destination"]))
     sizes = read_batches(spark, out, RAW_MESSAGE).groupBy("batch_id").count().collect()
@@ -154,7 +155,7 @@ def test_late_repeats_are_dropped(spark, hundred):
     path, out = workspace(spark, "spool"), workspace(spark, "out")
     hot = hundred.withColumn(
         "rgmid", F.when(F.col("spool_seq") % 3 == 0, "hot").otherwise(F.col("rgmid")))
-    write_spool(hot, path, LAYOUT)
+    write_spool(hot, path, ONE_BY_ONE)
     stream = open_queue(spark, path, partitions=1, batch_size=25, keep=("spool_seq",))
     twice = stream.withColumn("attempt", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
         "delivery", F.col("spool_seq") * 2 + F.col("attempt"))
@@ -164,6 +165,28 @@ def test_late_repeats_are_dropped(spark, hundred):
     assert sorted(r.delivery for r in got) == [2 * i for i in want]
 
 
+def test_batches_without_rows_keep_the_state(spark, hundred, monkeypatch):
+    monkeypatch.setattr("tidelog.streaming.batches.SNAPSHOT_EVERY", 2)
+    path, rows, state = (workspace(spark, n) for n in ("spool", "rows", "state"))
+    write_spool(hundred, path, ONE_BY_ONE)
+    few = dealt(spark, path).where("spool_seq < 30")
+    p.run_available(p.commit_publish(few, rows, state, workspace(spark, "cp")))
+    committed = p.committed_state(spark, state).collect()
+    assert sorted(r.messageIDs[-2:] for r in committed) == ["28", "29"]
+
+
+def test_a_log_out_of_order_commits_no_state(spark, hundred):
+    path, rows, state = (workspace(spark, n) for n in ("spool", "rows", "state"))
+    for start in (50, 25, 75):
+        write_spool(hundred, path, ONE_BY_ONE, start, start + 25)
+    checkpoint = workspace(spark, "cp")
+    for _ in range(2):  # the same after a restart
+        with pytest.raises(Exception, match="position 25 came after 74"):
+            p.run_available(p.commit_publish(dealt(spark, path), rows, state, checkpoint))
+        committed = p.committed_state(spark, state).collect()
+        assert sorted(r.messageIDs[-2:] for r in committed) == ["73", "74"]
+
+
 def test_a_failed_batch_runs_again_and_replaces_itself(spark, spool):
     out, checkpoint = workspace(spark, "out"), workspace(spark, "cp")
     stream = open_queue(spark, spool, partitions=1, batch_size=25, keep=("spool_seq",))

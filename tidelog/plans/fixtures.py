@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.messages import envelope
 from tidelog.operators.batching import assign_consumer
 from tidelog.schema import DEFAULT_HEADER_PREFIX, PARTITION_KEY_PROPERTY, RAW_MESSAGE
+from tidelog.session import stage
 
 CONSUMERS = 2
 BATCH_SIZE = 50
@@ -156,7 +157,7 @@ def checkpoint_history(spark: SparkSession, sf_dir: str) -> DataFrame:
             "batch_id",
         )
     )
-    return consumers.unionByName(keys)
+    return stage(consumers.unionByName(keys), "history")
 
 
 def offset_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,8 +39,8 @@ from tidelog.streaming import pipelines as p
 from tidelog.streaming.batches import read_batches
 
 # The layout of SpoolLayout.for_rows in SQL: `step` positions make one micro-batch.
-LAYOUT = """layout AS (SELECT per_file * greatest(4, CAST(ceil(ceil(n / per_file) / 4) AS BIGINT))
-  AS step FROM (SELECT n, greatest(250, least(1000000, CAST(ceil(n / 16) AS BIGINT))) AS per_file
+LAYOUT = """layout AS (SELECT per_file * greatest(8, CAST(ceil(ceil(n / per_file) / 4) AS BIGINT))
+  AS step FROM (SELECT n, greatest(125, least(250000, CAST(ceil(n / 32) AS BIGINT))) AS per_file
   FROM (SELECT count(*) AS n FROM events)))"""
 
 @cache

@@ -22,13 +22,13 @@ class SpoolLayout:
 
     @classmethod
     def for_rows(
-        cls, rows: int, batches: int = 4, partitions: int = 4, file_rows: int = 1_000_000
+        cls, rows: int, batches: int = 4, partitions: int = 8, file_rows: int = 250_000
     ) -> SpoolLayout:
         """About ``batches`` micro-batches over ``rows``, with files of ``file_rows`` at most.
 
         Beyond that size a micro-batch takes more files rather than larger ones.
         """
-        per_file = max(250, min(file_rows, -(-rows // (batches * partitions))))
+        per_file = max(125, min(file_rows, -(-rows // (batches * partitions))))
         files = -(-rows // per_file)
         return cls(per_file, max(partitions, -(-files // batches)))
 

@@ -100,17 +100,33 @@ def commit_publish(
     """Write each micro-batch, then publish what it processed as state messages.
 
     State is one JSON line per partition that moved; :func:`committed_state` reads the newest. Rows
-    come first: a batch lost between the two writes runs again and replaces both. The log must be
-    read in message order (see ``write_spool``), as a checkpoint stands for all before it.
+    come first: a batch lost between the two writes runs again and replaces both.
+
+    A checkpoint stands for all messages before it, so the log must be read in message order: open
+    it with the layout ``write_spool`` wrote. A batch that reaches back before an earlier one of the
+    same checkpoint fails the stream, ahead of its state.
     """
+    reached: list[int | None] = []
+
     def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
+        spark = rows.sparkSession
         write_batch(rows, rows_path, epoch, batch_id)
-        written = rows.sparkSession.read.schema(rows.schema).parquet(
-            batch_path(rows_path, epoch, batch_id)
-        )
+        written = spark.read.schema(rows.schema).parquet(batch_path(rows_path, epoch, batch_id))
+        if not reached:  # first batch of this run: one narrow pass over what earlier runs wrote
+            earlier = read_batches(spark, rows_path, rows.schema).where(
+                (F.col("epoch") == epoch) & (F.col("batch_id") < batch_id)
+            )
+            reached.append(earlier.agg(F.max(order)).first()[0])
+        first, last = written.agg(F.min(order), F.max(order)).first()
+        if None not in (first, reached[0]) and first <= reached[0]:
+            raise ValueError(
+                f"position {first} came after {reached[0]}: the log is not read in message order"
+            )
         moved = consumer_checkpoint(written, partition, message_id, order)
         lines = moved.select(encode_offset(F.lit(batch_id).cast("bigint")).alias("json"))
         write_state(lines, state_path, epoch, batch_id, _fold_lines)
+        if last is not None:
+            reached[0] = last
 
     return for_each_batch(stream, checkpoint, handle, state_path)
 
@@ -176,7 +192,7 @@ def dedup_append(
     message_id: str = "Id",
     order: str = "delivery",
 ) -> DataStreamWriter:
-    """Append the first delivery of every id, however late a repeat comes.
+    """Append the first delivery to arrive of every id, however late a repeat comes.
 
     Repeats inside a micro-batch fall to :func:`dedup_by_id`, which folds a hot id on the map side,
     where a stateful ``dropDuplicates`` would send all of it to one task. Then both sides of the

@@ -18,7 +18,7 @@ from tidelog.sources.spool import (
     stream_raw,
     write_spool,
 )
-from tidelog.streaming import pipelines as p
+from tidelog.streaming import jobs as p
 from tidelog.streaming.batches import (
     batch_path,
     read_batches,

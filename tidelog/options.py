@@ -10,7 +10,7 @@ from tidelog.operators.replay import AFTER_MESSAGE, BEGINNING, TIMEBASED, replay
 from tidelog.schema import DEFAULT_HEADER_PREFIX
 from tidelog.sinks.publish import Publisher, publish, publish_stream
 from tidelog.sources.spool import open_queue, read_queue, resume
-from tidelog.streaming.pipelines import committed_state
+from tidelog.streaming.jobs import committed_state
 
 # Option names and defaults. `queue` is the log's folder, `headerPrefix` the broker's
 # prefix for system headers; `state` is what ackLastProcessedMessages starts from: the folder a

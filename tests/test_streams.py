@@ -218,6 +218,19 @@ def test_foreach_batch_publish_with_rejects(spark, spool):
         ("Topic is null", 10)]
 
 
+@pytest.mark.parametrize(("mode", "sizes"), [("update", [3, 3, 3, 3]), ("complete", [3, 6, 9, 12])])
+def test_changed_or_whole_results_are_appended(spark, hundred, mode, sizes):
+    path, out = workspace(spark, "spool"), workspace(spark, "out")
+    write_spool(hundred, path, ONE_BY_ONE)
+    key = (F.expr("spool_seq div 25") * 3 + F.col("spool_seq") % 3).alias("key")
+    totals = stream_raw(spark, path, 1, 25).groupBy(key).agg(F.count("*").alias("n"))
+    p.run_available(p.update_as_append(totals, out, workspace(spark, "cp"), mode))
+    counts = read_batches(spark, out, totals.schema).groupBy("batch_id").count().collect()
+    assert [r["count"] for r in sorted(counts)] == sizes
+    newest = p.read_updates(spark, out, totals.schema, ["key"])
+    assert newest.agg(F.count("*"), F.sum("n")).first() == (12, 100)
+
+
 def test_last_value_stream_and_empty_state(spark, hundred):
     path, out = workspace(spark, "spool"), workspace(spark, "last")
     assert p.read_last_value(spark, out, RAW_MESSAGE, ["destination"]).count() == 0

@@ -169,12 +169,17 @@ def read_last_value(
     return last_value(state, keys, order).drop("epoch", "batch_id")
 
 
-def update_as_append(aggregate: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Append every changed row of a streaming aggregate; readers take the newest per key."""
+def update_as_append(
+    aggregate: DataFrame, path: str, checkpoint: str, mode: str = "update"
+) -> DataStreamWriter:
+    """Append every changed row of a streaming aggregate; readers take the newest per key.
+
+    In ``complete`` mode every batch appends the whole result; nothing is truncated.
+    """
     def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
         write_batch(rows, path, epoch, batch_id)
 
-    return for_each_batch(aggregate, checkpoint, handle, path, mode="update")
+    return for_each_batch(aggregate, checkpoint, handle, path, mode)
 
 
 def read_updates(

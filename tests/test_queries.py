@@ -1,7 +1,8 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import differs, oracle_tables
+from tidelog.plans import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -12,14 +13,14 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, tables, name):
-    sql = oracle_sql()[name]
+    sql = ORACLES[name]
     assert tables.execute(f"SELECT count(*) FROM ({sql})").fetchone()[0] > 0
-    assert differs(queries()[name](spark, SMALL), tables, sql) is None
+    assert differs(QUERIES[name](spark, SMALL), tables, sql) is None
 
 
 def test_entry(spark):

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -14,6 +18,24 @@ from pyspark.sql.pandas.types import to_arrow_schema
 STEP_BYTES = 1 << 20
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of all executors, which need not have it installed.
+
+    Spark's own file service sends it; nothing is read from the driver's folders by path.
+    """
+    _ship(spark.sparkContext.applicationId, spark.sparkContext)
+
+
+@cache
+def _ship(application: str, context) -> None:
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="tidelog-py-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def map_texts(
     docs: DataFrame,
     keep: list[str],
@@ -27,6 +49,7 @@ def map_texts(
     new columns; ``schema`` is the DDL of the new columns. Only ``keep`` and the text are read, so
     other columns of ``docs``, whatever their names, have no effect.
     """
+    ship_package(docs.sparkSession)
     source = docs.select(*[docs[c] for c in keep], docs[text_col].alias("__text"))
     made = docs.sparkSession.createDataFrame([], schema).schema
     kept = docs.select(*[docs[c] for c in keep]).schema
@@ -68,3 +91,15 @@ def steps(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]
 def remainder(column: Column, modulus: int) -> Column:
     """crc32 of a value's text by a modulus; null counts as empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def document_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """128 bits, ``k1`` and ``k2``, that name a document: its id with its text, nulls included."""
+    id_, text = docs[id_col].cast("string"), docs[text_col]
+    return [
+        F.xxhash64(F.lit(1), F.coalesce(id_, F.lit("")), F.lit(1), text).alias("k1"),
+        F.xxhash64(F.lit(2), text, F.lit(2), F.coalesce(id_, F.lit(""))).alias("k2"),
+    ]
+
+
+DOC_KEY = ["k1", "k2"]

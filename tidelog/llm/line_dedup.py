@@ -17,28 +17,19 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.batches import DOC_KEY, document_key
 from tidelog.operators.lookup import lookup_join
 from tidelog.session import stage
 
 # Fixed value: the white space that a line's key is stripped of, \x20 and \x09 to \x0D.
 STRIPPED = " \t\n\x0b\x0c\r"
 _HASH = ["h1", "h2"]
-_DOC = ["k1", "k2"]
 
 
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _document_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
-    """128 bits that name a document: its id with its text."""
-    id_, text = docs[id_col].cast("string"), docs[text_col]
-    return [
-        F.xxhash64(F.lit(1), F.coalesce(id_, F.lit("")), F.lit(1), text).alias("k1"),
-        F.xxhash64(F.lit(2), text, F.lit(2), F.coalesce(id_, F.lit(""))).alias("k2"),
-    ]
-
-
 def _key_parts(line: Column) -> list[Column]:
     """Two texts that are equal for two lines exactly if their keys are.
 
@@ -76,18 +67,18 @@ def line_masks(
     parts = _key_parts(line)
     # Stored, so that sampling the range bounds does not split the texts a second time.
     lines = stage(
-        docs.select(*_document_key(docs, id_col, text_col),
+        docs.select(*document_key(docs, id_col, text_col),
                     F.posexplode(_lines(docs[text_col])).alias("pos", "line"))
         .where(F.char_length(F.trim(line, F.lit(STRIPPED))) >= max(1, min_chars))
         .select(F.xxhash64(F.lit(1), *parts).alias("h1"), F.xxhash64(*parts, F.lit(2)).alias("h2"),
-                *_DOC, "pos"),
+                *DOC_KEY, "pos"),
         "lines",
     )
     ranged = (
-        lines.repartitionByRange(*_HASH, *_DOC)
-        .sortWithinPartitions(*_HASH, *_DOC, "pos")
+        lines.repartitionByRange(*_HASH, *DOC_KEY)
+        .sortWithinPartitions(*_HASH, *DOC_KEY, "pos")
     )
-    firsts = ranged.groupBy(*_HASH, *_DOC).agg(F.collect_set("pos").alias("positions"))
+    firsts = ranged.groupBy(*_HASH, *DOC_KEY).agg(F.collect_set("pos").alias("positions"))
     firsts = stage(firsts, "line-keys")
     common = stage(
         firsts.groupBy(*_HASH).agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
@@ -95,18 +86,18 @@ def line_masks(
         "common-lines",
     )
     hit = lookup_join(firsts, common, _HASH, "left_semi")
-    dropped = hit.groupBy(*_DOC).agg(
+    dropped = hit.groupBy(*DOC_KEY).agg(
         F.sort_array(F.flatten(F.collect_list("positions"))).alias("dropped")
     )
     whole = docs.select(
-        *_document_key(docs, id_col, text_col),
+        *document_key(docs, id_col, text_col),
         docs[id_col].alias("id"),
         F.size(_lines(docs[text_col])).alias("n_lines"),
-    ).dropDuplicates(_DOC)
+    ).dropDuplicates(DOC_KEY)
     # Arrays that a lambda looks into are columns of their own, so each is computed once.
     x = F.col("dropped")
     return (
-        whole.join(dropped, _DOC, "left")
+        whole.join(dropped, DOC_KEY, "left")
         .withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
         .withColumns({
             "starts": F.filter(x, lambda p, i: (i == 0) | (F.get(x, F.greatest(i - 1, F.lit(0)))
@@ -120,7 +111,7 @@ def line_masks(
             F.array("n_lines"),
         ).cast("array<int>"))
         .select(
-            *_DOC, "id", F.col("n_lines").cast("long").alias("n_lines"),
+            *DOC_KEY, "id", F.col("n_lines").cast("long").alias("n_lines"),
             F.size("dropped").cast("long").alias("n_dropped"),
             F.transform(F.slice("edges", 2, F.size("edges") - 1),
                         lambda edge, i: edge - F.get(F.col("edges"), i)).alias("keep_runs"),
@@ -136,10 +127,10 @@ def apply_masks(
     Returns the id, ``n_lines``, ``n_dropped``, ``kept`` and the other columns of ``docs``.
     """
     keyed = docs.select(
-        *_document_key(docs, id_col, text_col), F.struct(*[docs[c] for c in docs.columns])
+        *document_key(docs, id_col, text_col), F.struct(*[docs[c] for c in docs.columns])
         .alias("row")
     )
-    joined = keyed.join(masks.drop("id"), _DOC, "left")
+    joined = keyed.join(masks.drop("id"), DOC_KEY, "left")
     text = F.coalesce(F.col("row").getField(text_col), F.lit(""))
     flags = F.flatten(F.transform("keep_runs", lambda n, i: F.array_repeat(i % 2 == 0, n)))
     kept = F.array_join(

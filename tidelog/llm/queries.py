@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, line_dedup
+from tidelog.llm import bpe, decontamination, line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +42,47 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
+WORDS = r"regexp_extract_all(translate(coalesce(text, ''), {}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@_query("op8_decontamination", f"""
+WITH item AS (SELECT item_id, {WORDS.format(LOWER)} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n,
+    unnest(list_transform(range(1, len(w) - least(10, len(w)) + 2),
+      lambda i: array_to_string(w[i:i + least(10, len(w)) - 1], ' '))) AS s
+  FROM item WHERE len(w) > 0),
+doc AS (SELECT doc_id, {WORDS.format(LOWER)} AS w FROM documents),
+spot AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS p,
+    unnest(list_transform(range(1, len(w) - n + 2),
+      lambda i: array_to_string(w[i:i + n - 1], ' '))) AS s
+  FROM doc, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+occ AS (SELECT doc_id, p, n, item_id FROM spot JOIN windows USING (n, s)),
+hit AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM occ) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM occ) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10
+    )
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 @_query("op9_line_dedup", f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

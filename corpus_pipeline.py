@@ -1,32 +1,75 @@
-"""The corpus pipeline: documents through line dedup and tokenisation (more stages follow)."""
+"""The corpus pipeline: language ID, line dedup, near-dedup, decontamination, tokens.
+
+Each stage takes what its predecessor kept and returns the columns of ``documents``; the last returns
+token ids. Rows with clean texts stay, whatever their columns hold: rejected are only documents without
+a recognisable language, copies of a document that stays, and documents with benchmark windows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, line_dedup
+from tidelog.llm import bpe, decontamination, language_id, line_dedup, minhash
 from tidelog.llm.queries import table, vocabulary_path
+from tidelog.operators.lookup import lookup_join
 from tidelog.session import stage
 
+# A text whose language wins with less than this share of the votes is rejected, as is ``und``.
+MIN_SCORE = 0.25
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in one of the languages learned from them (all, if none is)."""
+    model = language_id.fit(docs.where(~language_id.held_out(docs)))
+    if model is None:
+        return docs
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                       docs["text"].alias("text"))
+    found = language_id.predict_keeping(rows, model, ["row"])
+    known = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_SCORE))
+    return known.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten or more of them share."""
+    """Documents without the lines that ten or more of them share; ``n_chars`` follows the text."""
     kept = line_dedup.apply_masks(docs, line_dedup.line_masks(docs))
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
     return kept.select(
-        *[
-            (F.col("kept") if c == "text" else F.col("row").getField(c)).alias(c)
-            for c in docs.columns
-        ]
+        *[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
     )
 
 
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    found = minhash.near_duplicates(docs, shingle_words=5, percent=80)
+    gone = stage(found.where(~F.col("kept")).select("doc_id").distinct(), "copies")
+    left = lookup_join(docs, gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = left.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
+    if repeated.isEmpty():
+        return left
+    named = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return named.unionByName(left.where("doc_id IS NULL"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any ten-word window of a benchmark item."""
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
+    """``doc_id``, ``n_tokens`` and ``ids`` (packed 32-bit integers) of every document left."""
     return bpe.encode_texts(docs, vocabulary_path())
 
 
-STAGES = [("line_dedup", drop_shared_lines), ("bpe", tokenise)]
+STAGES = [
+    ("language_id", keep_known_languages),
+    ("line_dedup", drop_shared_lines),
+    ("near_dedup", keep_one_of_each_group),
+    ("decontamination", drop_contaminated),
+    ("bpe", tokenise),
+]
+# Line dedup alone could be written in SQL; the others cannot, so tests use brute force.
 ORACLE_SQL = None
 
 

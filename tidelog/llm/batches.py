@@ -95,10 +95,11 @@ def remainder(column: Column, modulus: int) -> Column:
 
 def document_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
     """128 bits, ``k1`` and ``k2``, that name a document: its id with its text, nulls included."""
-    id_, text = docs[id_col].cast("string"), docs[text_col]
+    id_, text = docs[id_col], docs[text_col]
+    nulls = F.when(id_.isNull(), F.lit(1)).otherwise(0)
     return [
-        F.xxhash64(F.lit(1), F.coalesce(id_, F.lit("")), F.lit(1), text).alias("k1"),
-        F.xxhash64(F.lit(2), text, F.lit(2), F.coalesce(id_, F.lit(""))).alias("k2"),
+        F.xxhash64(nulls, id_, F.lit(1), text).alias("k1"),
+        F.xxhash64(F.lit(2), text, nulls, id_).alias("k2"),
     ]
 
 

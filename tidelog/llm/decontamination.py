@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.batches import DOC_KEY, document_key, map_texts
+from tidelog.operators.lookup import lookup_join
 from tidelog.session import stage
 
 # Bytes of benchmark text that one block may hold.
@@ -179,6 +180,26 @@ def contamination(
     )
 
 
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` without any benchmark window, all columns as they are."""
+    marked = docs.select(
+        F.struct(*document_key(docs, id_col, text_col)).alias("id"), docs[text_col].alias("text")
+    )
+    found = contamination(marked, benchmark, window, "id", "text")
+    dirty = stage(
+        found.where(F.size("items") > 0).select("id.k1", "id.k2").distinct(), "contaminated"
+    )
+    rows = docs.select(
+        *document_key(docs, id_col, text_col),
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+    )
+    clean = lookup_join(rows, dirty, DOC_KEY, "left_anti")
+    return clean.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def _collect(items: DataFrame) -> list[tuple[int, str]]:
     return [(r.item, r.text) for r in items.collect()]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontamination, language_id, line_dedup
+from tidelog.llm import bpe, decontamination, language_id, line_dedup, minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query("op1_minhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return minhash.near_duplicates(docs, shingle_words=2, percent=80)
+
+
 def vocabulary_path() -> str:
     """The rank file of the installed public tokenizers; the same path on every machine."""
     import public_tokenizers

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontamination, language_id, line_dedup, minhash
+from tidelog.llm import bpe, decontamination, language_id, line_dedup, minhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,6 +56,20 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(
+        docs.where(~toxicity.held_out(docs)), labels.where(~toxicity.held_out(labels))
+    )
+    found = toxicity.score(docs, model)
+    return found.select(
+        "doc_id", toxicity.held_out(found).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontamination, language_id, line_dedup, minhash, toxicity
+from tidelog.llm import bpe, decontamination, language_id, line_dedup, minhash, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,20 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+@_query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.fit(
+        docs.where(~quality.held_out(docs)), labels.where(~quality.held_out(labels))
+    )
+    found = quality.score(docs, model)
+    return found.select(
+        "doc_id", quality.held_out(found).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @_query("op5_language_id")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.batches import map_texts, remainder, ship_package, steps
+from tidelog.llm.batches import labelled, map_texts, remainder, ship_package, steps
 from tidelog.session import stage
 
 # Bounds of what is learned: labelled documents, and entries of the lexicon.
@@ -202,25 +202,6 @@ def held_out(docs: DataFrame, id_col: str = "doc_id") -> Column:
     return remainder(docs[id_col], 3) == 1
 
 
-def labelled(
-    docs: DataFrame, labels: DataFrame, label_col: str, bound: int,
-    id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """``text, label`` of at most ``bound`` labelled documents, those with the lowest id hashes.
-
-    The cut is found on ids alone, so that only texts that are learned from are joined.
-    """
-    draw = F.xxhash64(F.lit("draw"), labels[id_col])
-    known = labels.select(
-        labels[id_col].alias("id"), labels[label_col].cast("int").alias("label"),
-        draw.alias("draw"),
-    ).where("label IN (0, 1) AND id IS NOT NULL").dropDuplicates(["id"])
-    first = known.orderBy("draw", "id").limit(bound)
-    chosen = stage(first, "labelled")
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    return texts.join(F.broadcast(chosen), "id").select("text", "label")
-
-
 def _count_trigrams(docs: DataFrame, text_col: str) -> np.ndarray:
     """Trigram counts over all rows, added up by Spark."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontamination, language_id, line_dedup, minhash, quality, toxicity
+from tidelog.llm import bpe, decontamination, language_id, line_dedup, lm_scoring, minhash, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +150,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped",
         F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@_query("op10_lm_scoring")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm_scoring.fit(docs.where(~lm_scoring.held_out(docs)))
+    found = lm_scoring.score(docs, model)
+    return found.select(
+        "doc_id", lm_scoring.held_out(found).alias("held_out"), "n_tokens", "n_known",
+        "train_tokens", "base_score", "score",
+    )

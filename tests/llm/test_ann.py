@@ -1,0 +1,80 @@
+import numpy as np
+
+from tidelog.llm import ann, queries
+
+DATA = "/root/testdata/sf0.01"
+
+
+def brute(rows, k, query):
+    real = sorted({(i, tuple(v)) for i, v in rows})
+    out = {}
+    for i, v in real:
+        if query(i):
+            near = sorted((float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum())), j)
+                          for j, w in real if j != i)
+            out[i] = near[:k]
+    return out
+
+
+def found(frame):
+    out = {}
+    for r in frame.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.score, r.vec_id))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def close(a, b):
+    return [j for _, j in a] == [j for _, j in b] and np.allclose([s for s, _ in a], [s for s, _ in b])
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (10, [0.0, 2.0]),
+            (11, [0.0, -2.0]), (20, [3.0, 0.0]), (30, [-1.0, 0.0])]
+    bad = [(3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]),
+           (40, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (50, [-0.0, 0.0])]
+    frame = spark.createDataFrame(
+        [(i, v, "x") for i, v in rows + bad], "vec_id long, embedding array<float>, entry string"
+    )
+    want = brute(rows, 10, lambda i: i % 10 == 0)
+    got = found(ann.nearest(frame, lambda i: i % 10 == 0))
+    assert got.keys() == want.keys()
+    assert all(close(got[q], want[q]) for q in want)
+    assert ann.nearest(frame.limit(0), lambda i: i % 10 == 0).collect() == []
+    assert ann.nearest(frame.where("vec_id = 20"), lambda i: i % 10 == 0).collect() == []
+
+
+def test_many_copies(spark):
+    """One vector on most rows: each query still gets ten others, smallest ids first."""
+    rows = [(i, [1.0, 1.0]) for i in range(300)] + [(300 + i, [1.0, 2.0 + i]) for i in range(20)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = found(ann.nearest(frame, lambda i: i % 100 == 0))
+    want = brute(rows, 10, lambda i: i % 100 == 0)
+    assert all(close(got[q], want[q]) for q in want) and got.keys() == want.keys()
+
+
+def test_recall(spark):
+    rows = spark.read.parquet(f"{DATA}/embeddings.parquet").collect()
+    vectors = [(r.vec_id, r.embedding) for r in rows]
+    want = brute(vectors, 10, lambda i: i % 100 == 0)
+    got = found(queries.QUERIES["op3_nearest_neighbours"](spark, DATA))
+    hits = [len({j for _, j in want[q]} & {j for _, j in got[q]}) for q in want]
+    assert sum(hits) >= 9 * len(hits)
+
+
+def test_forest_finds_neighbours_without_visiting_everything():
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(40, 16)) * 3
+    x = (centres[rng.integers(0, 40, 8000)] + rng.normal(size=(8000, 16))).astype(np.float32)
+    forest = ann.Forest.grow(x, trees=8)
+    at = forest.leaves(x)
+    right = seen = 0
+    for i in range(0, 8000, 400):
+        mask = np.zeros(8000, bool)
+        for t, leaf in forest.visits(x[i], 60):
+            mask |= at[:, t] == leaf
+        near = np.argsort(((x - x[i]) ** 2).sum(axis=1))[1:11]
+        right += mask[near].sum()
+        seen += mask.mean()
+    assert right >= 0.9 * 200 and seen < 0.35 * 20

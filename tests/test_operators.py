@@ -7,6 +7,7 @@ from tests.conftest import frame, message
 from tidelog.operators import batching, checkpoints, delivery
 from tidelog.operators.lookup import pick_by, stored_bytes
 from tidelog.operators.ordering import number_rows, previous_value
+from tidelog.plans.fixtures import redeliver
 
 
 def hot_log(spark, n=1200, seed=3):
@@ -122,10 +123,12 @@ def test_dedup_keeps_the_first_of_a_hot_id(spark, max_bytes):
     rng.shuffle(rows)
     want = {}
     for a, b in rows:
-        want[a] = min(b, want.get(a, b))
+        key = a or ("none", b)  # messages without an id are all different
+        want[key] = min(b, want.get(key, b))
     df = spark.createDataFrame(rows, "Id string, spool_seq bigint")
     got = delivery.dedup_by_id(df, max_bytes=max_bytes).collect()
-    assert {r.Id: r.spool_seq for r in got} == want
+    assert {r.Id or ("none", r.spool_seq): r.spool_seq for r in got} == want
+    assert len(got) == len(want)
     assert len(got) == len(want)
 
 
@@ -133,12 +136,43 @@ def test_skip_repeat_drops_only_consecutive_ids(spark):
     rows = [(0, 1, "a"), (0, 2, "a"), (0, 3, "b"), (0, 4, "a"), (1, 5, "a"), (1, 900, "a")]
     df = spark.createDataFrame(rows, "consumer int, spool_seq bigint, Id string")
     got = delivery.skip_repeat(df, block=2).collect()
-    assert sorted(r.spool_seq for r in got) == [1, 3, 4, 5]
+    assert sorted(r.spool_seq for r in got) == [1, 3, 4]
+
+
+@pytest.mark.parametrize("block", [3, 40, 65_536])
+def test_skip_repeat_looks_at_every_consumer(spark, block):
+    rng = random.Random(block)
+    rows = [(rng.randrange(3), seq, rng.choice(["a", "a", "b", "c", "d", "", None]))
+            for seq in rng.sample(range(2000), 600)]
+    last, want = {}, []
+    for consumer, seq, name in sorted(rows, key=lambda r: r[1]):
+        if not name or name not in last.values():
+            want.append(seq)
+        if name:
+            last[consumer] = name
+    df = spark.createDataFrame(rows, "consumer int, spool_seq bigint, Id string")
+    got = delivery.skip_repeat(df, block=block).collect()
+    assert sorted(r.spool_seq for r in got) == want
+
+
+def test_messages_without_an_id_are_no_repeats(spark):
+    rows = [(i, [None, "", "x", f"y{i}"][i % 4]) for i in range(200)]
+    df = spark.createDataFrame(rows, "spool_seq bigint, Id string")
+    got = sorted(r.spool_seq for r in delivery.dedup_by_id(df).collect())
+    assert got == [i for i, name in rows if name != "x" or i == 2]
+
+
+def test_missing_acks_move_ids_only(spark):
+    rows = [(i, f"m{i % 90}" if i % 10 else None, "p" * 50) for i in range(100)]
+    df = spark.createDataFrame(rows, "spool_seq bigint, Id string, body string")
+    acks = spark.createDataFrame([(f"m{i}",) for i in range(0, 90, 2)] + [(None,)], "Id string")
+    got = sorted(r.spool_seq for r in delivery.missing_acks(df, acks).collect())
+    assert got == [i for i, name, _ in rows if name is None or int(name[1:]) % 2]
 
 
 def test_redelivery_then_dedup_is_the_log(hundred):
     planned = batching.plan_batches(hundred, 2, 20)
-    arrivals = delivery.redeliver(planned)
+    arrivals = redeliver(planned)
     assert arrivals.count() == 120
     assert arrivals.where("redelivered").count() == 20
     once = delivery.dedup_by_id(arrivals, "rgmid", "delivery")

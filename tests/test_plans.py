@@ -50,7 +50,7 @@ def test_replay_bounds_reach_the_scan(log):
 
 def test_unused_columns_are_not_read(log):
     text = plan(m.envelope(log, include_headers=True).groupBy("Topic").count())
-    assert "ReadSchema: struct<destination:string>" in text
+    assert "ReadSchema: struct<destination:string,status:string>" in text
 
 
 def test_projections_and_dense_batches_do_not_shuffle(log):

@@ -6,7 +6,8 @@ from tidelog.functions import headers as h
 from tidelog.functions import messages as m
 from tidelog.operators import publishing as pub
 from tidelog.session import workspace
-from tidelog.sinks.publish import Publisher, publish
+from tidelog.sinks.publish import Publisher, publish, read_rejects
+from tidelog.sources.spool import read_queue
 
 
 def headers_row(spark, **headers):
@@ -115,11 +116,10 @@ def test_strict_publish_fails_on_a_bad_header(spark, envelope):
     with pytest.raises(Exception, match="invalid header priority"):
         publish(rows, workspace(spark, "never"), Publisher(include_headers=True))
     out = workspace(spark, "some")
-    counts = publish(
-        rows, out, Publisher(include_headers=True, mode="report"), rejects_path=out + "-r")
+    counts = publish(rows, out, Publisher(include_headers=True, mode="report"))
     assert counts == {"published": 100, "acknowledged": 99, "failed": 1}
-    assert spark.read.parquet(out).count() == 99
-    assert [r.reason for r in spark.read.parquet(out + "-r").collect()] == ["invalid header priority"]
+    assert read_queue(spark, out).count() == 99
+    assert [r.reason for r in read_rejects(spark, out).collect()] == ["invalid header priority"]
 
 
 def test_publishing_appends_or_replaces(spark, envelope):
@@ -131,6 +131,26 @@ def test_publishing_appends_or_replaces(spark, envelope):
     assert spark.read.parquet(out).count() == 100
 
 
+def test_positions_go_on_after_the_log(spark, envelope):
+    out = workspace(spark, "places")
+    for _ in range(3):
+        publish(envelope.drop("spool_seq"), out)
+    ids = read_queue(spark, out).select("spool_seq", "rgmid").collect()
+    assert len({r.spool_seq for r in ids}) == len({r.rgmid for r in ids}) == 300
+    assert [r.rgmid for r in sorted(ids)] == sorted(r.rgmid for r in ids)
+
+
+def test_rejects_depend_on_one_reading_of_the_rows(spark, envelope):
+    """Rows whose fate is random: each is a message or a reject, never both or neither."""
+    rows = envelope.withColumn("Topic", F.when(F.rand() < 0.5, F.col("Topic")))
+    out = workspace(spark, "random")
+    counts = publish(rows, out, Publisher(mode="report"))
+    good, bad = read_queue(spark, out), read_rejects(spark, out)
+    assert (good.count(), bad.count()) == (counts["acknowledged"], counts["failed"])
+    ids = [r[0] for r in good.select("correlation_id").union(bad.select("Id")).collect()]
+    assert len(ids) == len(set(ids)) == 100
+
+
 def test_round_trip_keeps_headers(spark):
     log = frame(spark, [message(
         7, priority=1, time_to_live=5, expiration=6, sequence_number=8, redelivered=True,

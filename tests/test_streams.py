@@ -1,3 +1,5 @@
+import os
+import time
 from pathlib import Path
 
 import pytest
@@ -5,11 +7,10 @@ from pyspark.sql import functions as F
 
 from tidelog import QueueReader, QueueWriter
 from tidelog.functions import messages as m
-from tidelog.operators import batching
-from tidelog.operators.publishing import as_raw
+from tidelog.operators import batching, delivery
 from tidelog.schema import RAW_MESSAGE
 from tidelog.session import workspace
-from tidelog.sinks.publish import Publisher
+from tidelog.sinks.publish import Publisher, read_rejects
 from tidelog.sources.spool import (
     SpoolLayout,
     append_spool,
@@ -54,10 +55,47 @@ def test_a_spool_needs_positions_without_gaps(spark, hundred):
         append_spool(hundred, workspace(spark, "zero"), 0)
 
 
-def test_layout_grows_files_then_consumers():
-    assert SpoolLayout.for_rows(1_000) == SpoolLayout(125, 8)
-    assert SpoolLayout.for_rows(100_000) == SpoolLayout(3125, 8)
-    assert SpoolLayout.for_rows(10**11) == SpoolLayout(250_000, 100_000)
+def test_files_of_any_age_are_read(spark, hundred):
+    path, out, checkpoint = (workspace(spark, n) for n in ("old", "out", "cp"))
+    for i, days in enumerate((0, 30)):
+        half = hundred.where(F.expr(f"spool_seq div 50 = {i}"))
+        before = set(Path(path).glob("*.parquet")) if i else set()
+        half.coalesce(1).write.mode("append").parquet(path)
+        for file in set(Path(path).glob("*.parquet")) - before:
+            when = time.time() - days * 86_400
+            os.utime(file, (when, when))
+        p.run_available(p.land_parquet(stream_raw(spark, path, 1, 25), out, checkpoint))
+    assert seqs(spark.read.parquet(out)) == list(range(100))
+
+
+def test_another_folder_is_refused(spark, hundred):
+    path = workspace(spark, "other")
+    hundred.select("spool_seq", F.col("rgmid").alias("Id")).write.parquet(path)
+    for load in ("load", "loadBatch"):
+        with pytest.raises(ValueError, match="not a message log"):
+            getattr(QueueReader(spark).options(queue=path), load)()
+
+
+def test_a_torn_epoch_note_is_written_again(spark, spool):
+    out, checkpoint = workspace(spark, "counts"), workspace(spark, "cp")
+    os.makedirs(f"{checkpoint}/epoch/_temporary")
+    stream = open_queue(spark, spool, partitions=2, batch_size=25)
+    p.run_available(p.count_batches(stream, out, checkpoint))
+    assert spark.read.parquet(out).agg(F.sum("messages")).first()[0] == 100
+
+
+def test_dedup_stream_keeps_late_first_deliveries(spark, hundred):
+    path, out = workspace(spark, "late"), workspace(spark, "out")
+    for i in (3, 2, 1, 0, 3, 1):  # time runs backwards, and two blocks come again
+        block = hundred.where(F.expr(f"spool_seq div 25 = {i}")).withColumn(
+            "sender_ts", F.expr(f"sender_ts + interval {40 * i} days"))
+        none = F.when(F.col("spool_seq") % 25 != 7, F.col("correlation_id"))
+        block.withColumn("correlation_id", none).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)
+    stream = open_queue(spark, path, 1, 25, offset_indicator="CORRELATION_ID", strict=False,
+                        keep=("spool_seq",))
+    p.run_available(p.land_parquet(delivery.dedup_stream(stream), out, workspace(spark, "cp")))
+    assert seqs(spark.read.parquet(out)) == sorted([*range(100), 82, 32])
 
 
 @pytest.mark.parametrize(("options", "sizes"), [
@@ -212,10 +250,9 @@ def test_foreach_batch_publish_with_rejects(spark, spool):
     stream = open_queue(spark, spool, partitions=2, batch_size=25, keep=("spool_seq",))
     faulty = stream.withColumn("Topic", F.when(F.col("spool_seq") % 10 != 0, F.col("Topic")))
     p.run_available(p.foreach_batch_publish(
-        faulty, out, workspace(spark, "cp"), Publisher(mode="report"), f"{out}-rejects"))
-    assert spark.read.parquet(out).count() == 90
-    assert spark.read.parquet(f"{out}-rejects").groupBy("reason").count().collect() == [
-        ("Topic is null", 10)]
+        faulty, out, workspace(spark, "cp"), Publisher(mode="report")))
+    assert read_queue(spark, out).count() == 90
+    assert read_rejects(spark, out).groupBy("reason").count().collect() == [("Topic is null", 10)]
 
 
 @pytest.mark.parametrize(("mode", "sizes"), [("update", [3, 3, 3, 3]), ("complete", [3, 6, 9, 12])])
@@ -292,6 +329,7 @@ def test_resume_with_another_indicator_compares_positions(spark, spool):
     {"queue": "q", "replayStrategy": "REPLICATION-GROUP-MESSAGE-ID"},
     {"queue": "q", "ackLastProcessedMessages": "true"},
     {"queue": "q", "surprise": "1"},
+    {"queue": "q", "lvq.names": "1"},
 ])
 def test_bad_reader_options_are_refused(spark, options):
     for load in ("load", "loadBatch"):
@@ -299,6 +337,15 @@ def test_bad_reader_options_are_refused(spark, options):
             getattr(QueueReader(spark).options(**options), load)()
 
 
+def test_options_of_existing_jobs_are_accepted(spark, spool):
+    given = {
+        "queue": spool, "host": "tcp://x", "checkpointLocation": "/cp", "lvq.topic": "t",
+        "lvq.name": workspace(spark, "state"), "broker.oauth.client.auth-server-url": "u",
+        "broker.apiProperties.sub_ack_window_size": "50", "batchSize": "25",
+    }
+    assert QueueReader(spark).options(**given).loadBatch().count() == 100
+
+
 def test_writer_by_options(spark, spool, hundred):
     env = m.envelope(hundred).drop("Id")
     out = workspace(spark, "out")
@@ -319,8 +366,8 @@ def test_stream_writer_by_options(spark, spool):
     p.run_available(QueueWriter(stream).options(
         queue=out, topic="second", includeHeaders="true", checkpointLocation=workspace(spark, "cp"),
     ).writeStream())
-    sent = spark.read.parquet(out)
-    back = as_raw(sent.withColumn("place", F.monotonically_increasing_id()), "place")
+    back = read_queue(spark, out)
+    assert back.select("rgmid").distinct().count() == 100
     assert m.envelope(back).groupBy("Topic").count().collect() == [("second", 100)]
     assert back.select("priority").distinct().collect() == [(1,)]
 

@@ -97,3 +97,35 @@ def previous_value(
         .withColumn(into, F.coalesce(here, F.col("_carried"))["v"])
         .drop("_group", "_block", "_carried")
     )
+
+
+def earlier_max(
+    df: DataFrame, group: list[str], order: str, value: str, into: str, block: int = BLOCK
+) -> DataFrame:
+    """Add ``into``: the largest ``value`` of all rows before, by ``order``, in the same group."""
+    rows = _blocks(df, group, order, block)
+    tops = (
+        rows.groupBy("_group", "_block").agg(F.max(value).alias("_top"))
+        .withColumn("_super", F.expr(f"_block div {block}"))
+    )
+
+    def before(what: str, by: str, *partition: str):
+        w = Window.partitionBy(*partition).orderBy(by)
+        return F.max(what).over(w.rowsBetween(Window.unboundedPreceding, -1))
+
+    supers = (
+        tops.groupBy("_group", "_super").agg(F.max("_top").alias("_top"))
+        .select("_group", "_super", before("_top", "_super", "_group").alias("_far"))
+    )
+    near = tops.select(
+        "_group", "_super", "_block", before("_top", "_block", "_group", "_super").alias("_near")
+    )
+    carried = _attach(near, supers, "_super").select(
+        "_group", "_block", F.greatest("_near", "_far").alias("_carried")
+    )
+    here = before(value, order, "_group", "_block")
+    return (
+        _attach(rows, carried, "_block")
+        .withColumn(into, F.greatest(here, F.col("_carried")))
+        .drop("_group", "_block", "_carried")
+    )

@@ -15,6 +15,8 @@ from tidelog.schema import (
 )
 
 OK, FAILED = "OK", "FAILED"
+# Digits of the largest position, so that ids of one width order as their positions do.
+PLACE_DIGITS = 19
 
 
 def bind_columns(
@@ -134,16 +136,23 @@ def publish_envelope(
     )
 
 
-def as_raw(messages: DataFrame, position: str, received: Column | None = None) -> DataFrame:
+def as_raw(
+    messages: DataFrame,
+    position: str,
+    received: Column | None = None,
+    message_id: Column | None = None,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """Published messages as a log another consumer can read.
 
-    ``position`` is a column that gives each message its place in the log. Unset fields take the
-    broker's defaults.
+    ``position`` is a column that gives each message its place in the log, and its id unless
+    ``message_id`` does. Unset fields take the broker's defaults.
     """
     place = F.col(position).cast("bigint")
+    own_id = F.concat(F.lit("rmid1:"), F.lpad(place.cast("string"), PLACE_DIGITS, "0"))
     values = {
         "spool_seq": place,
-        "rgmid": F.concat(F.lit("rmid1:"), F.lpad(place.cast("string"), 18, "0")),
+        "rgmid": own_id if message_id is None else message_id,
         "correlation_id": F.col("correlation_id"),
         "application_message_id": F.col("application_message_id"),
         "destination": F.col("destination"),
@@ -162,7 +171,7 @@ def as_raw(messages: DataFrame, position: str, received: Column | None = None) -
     }
     return messages.select([
         values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RAW_MESSAGE.fields
-    ])
+    ] + [F.col(c) for c in keep])
 
 
 def publish_report(checked: DataFrame, *by: str) -> DataFrame:

@@ -77,7 +77,7 @@ def locate_ids(
     log: DataFrame,
     message_id: str,
     order: str = "spool_seq",
-    width: int = 18,
+    width: int = 19,
 ) -> DataFrame:
     """Checkpoints with every id replaced by its position, zero-padded so that text order holds.
 
@@ -98,6 +98,6 @@ def locate_ids(
     )
 
 
-def padded(order: str, width: int = 18) -> Column:
+def padded(order: str, width: int = 19) -> Column:
     """A position as text of fixed width."""
     return F.lpad(F.col(order).cast("string"), width, "0")

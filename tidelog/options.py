@@ -28,6 +28,9 @@ READ_DEFAULTS = {
     "replayReplicationGroupMessageId": None,
     "headerPrefix": DEFAULT_HEADER_PREFIX,
     "state": None,
+    "lvq.name": None,
+    "lvq.topic": None,
+    "checkpointLocation": None,
 }
 # Accepted and ignored: there is no broker session to configure.
 CONNECTION_OPTIONS = (
@@ -47,8 +50,18 @@ WRITE_DEFAULTS = {
 }
 
 
+# Client and login properties of a broker session come in families, told by their first word.
+CONNECTION_FAMILIES = ("client", "oauth", "ssl", "tls", "authentication", "jcsmp", "api")
+
+
+def _ignored(name: str) -> bool:
+    words = name.replace("_", ".").lower().split(".")
+    dotted = len(words) > 1 and any(w.startswith(CONNECTION_FAMILIES) for w in words[:-1])
+    return name in CONNECTION_OPTIONS or dotted
+
+
 def _merge(defaults: dict, options: dict) -> dict:
-    options = {k: v for k, v in options.items() if k not in CONNECTION_OPTIONS}
+    options = {k: v for k, v in options.items() if k in defaults or not _ignored(k)}
     unknown = sorted(set(options) - set(defaults))
     if unknown:
         raise ValueError(f"unknown options: {', '.join(unknown)}")
@@ -94,6 +107,8 @@ class QueueReader:
             start_instant(o["replayStartTime"], o["replayStartTimeTimezone"])
         if strategy == AFTER_MESSAGE and not o["replayReplicationGroupMessageId"]:
             raise ValueError("replay after a message needs its id")
+        # Jobs that keep their state in a last-value queue name it; here that is a folder.
+        o["state"] = o["state"] or o["lvq.name"]
         if _flag(o["ackLastProcessedMessages"]) and not o["state"]:
             raise ValueError("ackLastProcessedMessages needs option state")
         return o
@@ -164,9 +179,10 @@ class QueueWriter:
             mode=o["mode"],
         )
 
-    def save(self) -> None:
+    def save(self) -> dict[str, int]:
+        """Write all rows; returns how many were published, acknowledged and failed."""
         o = _merge(WRITE_DEFAULTS, self._options)
-        publish(self._df, o["queue"], self._publisher(o))
+        return publish(self._df, o["queue"], self._publisher(o))
 
     def writeStream(self) -> DataStreamWriter:
         o = _merge(WRITE_DEFAULTS, self._options)

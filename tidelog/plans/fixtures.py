@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.messages import envelope
 from tidelog.operators.batching import assign_consumer
+from tidelog.operators.delivery import ack_ledger
 from tidelog.schema import DEFAULT_HEADER_PREFIX, PARTITION_KEY_PROPERTY, RAW_MESSAGE
 from tidelog.session import stage
 
@@ -210,3 +211,20 @@ def publish_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "spool_seq",
         day_of().alias("batch_id"),
     )
+
+
+def redeliver(batches: DataFrame, order: str = "spool_seq") -> DataFrame:
+    """What arrives when every consumer fails: all messages, then the pending ones again.
+
+    ``delivery`` orders the arrivals: a message's second delivery follows its first directly.
+    """
+    ledger = ack_ledger(batches)
+    attempts = F.when(F.col("ack") == "PENDING", F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0))
+    )
+    twice = ledger.withColumn("_attempt", F.explode(attempts))
+    return (
+        twice.withColumn("delivery", F.col(order) * 2 + F.col("_attempt"))
+        .withColumn("redelivered", F.col("redelivered") | (F.col("_attempt") == 1))
+        .drop("_attempt", "ack")
+    )

@@ -14,7 +14,8 @@ from tidelog.plans.oracle import FAULTY, HDR, MSG, PREFIX
 from tidelog.plans.reading import exploded
 from tidelog.plans.registry import query
 from tidelog.session import workspace
-from tidelog.sinks.publish import Publisher, publish
+from tidelog.sinks.publish import Publisher, publish, read_rejects
+from tidelog.sources.spool import read_queue
 
 PUBLISHED_SQL = """SELECT id AS correlation_id, id AS application_message_id, topic AS destination,
   hex(encode(payload)) AS payload_hex, time_us // 1000 AS sender_ts_ms,
@@ -23,6 +24,29 @@ PUBLISHED_SQL = """SELECT id AS correlation_id, id AS application_message_id, to
   TRUE AS dmq_eligible, CASE WHEN pkey <> '' THEN pkey END AS key FROM faulty WHERE reason IS NULL"""
 
 
+# What a log holds after publishing in report mode: all good rows as messages, all others as rejects.
+STORED_SQL = """SELECT id AS correlation_id, topic AS destination,
+  CASE WHEN reason IS NULL THEN hex(encode(payload)) END AS payload_hex,
+  CASE WHEN reason IS NULL THEN time_us // 1000 END AS sender_ts_ms,
+  CASE WHEN reason IS NULL THEN CAST(e % 10 AS INTEGER) END AS priority,
+  CASE WHEN reason IS NULL AND e % 4 <> 0 THEN e END AS sequence_number,
+  CASE WHEN reason IS NULL THEN (e % 3) * 1000 END AS time_to_live,
+  CASE WHEN reason IS NULL AND pkey <> '' THEN pkey END AS key,
+  CASE WHEN reason IS NULL THEN 'OK' ELSE 'FAILED' END AS status, reason FROM faulty"""
+
+
+def stored_messages(spark: SparkSession, path: str) -> DataFrame:
+    """Messages as the queue reader sees them, and the rejects beside them."""
+    good = read_queue(spark, path).select(
+        "correlation_id", "destination", F.hex(m.payload()).alias("payload_hex"),
+        F.unix_millis("sender_ts").alias("sender_ts_ms"), "priority", "sequence_number",
+        "time_to_live", F.when(m.partition_key() != "", m.partition_key()).alias("key"),
+        F.lit("OK").alias("status"), F.lit(None).cast("string").alias("reason"),
+    )
+    bad = read_rejects(spark, path, "destination")
+    return good.unionByName(bad.withColumnRenamed("Id", "correlation_id"), allowMissingColumns=True)
+
+
 def checked(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     bound = pub.bind_columns(fx.publish_rows(spark, sf_dir), include_headers=True, keep=keep)
     return pub.publish_validate(bound)
@@ -91,13 +115,13 @@ def publish_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scalar_messages(pub.publish_envelope(good))
 
 
-@query("publish_batch", f"WITH {MSG}, {FAULTY} {PUBLISHED_SQL}")
+@query("publish_batch", f"WITH {MSG}, {FAULTY} {STORED_SQL}")
 def publish_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish to storage in report mode and read the messages back."""
+    """Publish to storage in report mode and read messages and rejects back."""
     path = workspace(spark, "published")
     publisher = Publisher(include_headers=True, mode="report")
-    publish(fx.publish_rows(spark, sf_dir), path, publisher, rejects_path=f"{path}-rejects")
-    return scalar_messages(spark.read.parquet(path))
+    publish(fx.publish_rows(spark, sf_dir), path, publisher)
+    return stored_messages(spark, path)
 
 
 @query("headers_typed", f"""WITH {MSG} SELECT e AS spool_seq, CAST(0 AS BIGINT) AS expiration,

@@ -10,6 +10,8 @@ from tidelog.operators import batching, replay
 from tidelog.plans import fixtures as fx
 from tidelog.plans.oracle import HDR, MSG, mid
 from tidelog.plans.registry import query
+from tidelog.session import workspace
+from tidelog.sources.spool import read_queue
 
 REPLAY_START, REPLAY_ZONE = "2024-01-09T19:30:00", "America/New_York"
 REPLAY_START_UTC = "2024-01-10 00:30:00"
@@ -41,7 +43,9 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
   CAST(e % 10 AS INTEGER) AS priority, e % 25 = 0 AS redelivered,
   CASE WHEN e % 4 <> 0 THEN e END AS sequence_number, receive_us FROM msg""")
 def queue_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.raw_messages(spark, sf_dir).select(
+    path = workspace(spark, "log")
+    fx.raw_messages(spark, sf_dir).write.parquet(path)
+    return read_queue(spark, path).select(
         "spool_seq", "rgmid", "destination", "priority", "redelivered", "sequence_number",
         F.unix_micros("receive_ts").alias("receive_us"),
     )

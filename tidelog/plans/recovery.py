@@ -166,17 +166,7 @@ def ack_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delivery.redeliver(planned(spark, sf_dir))
-
-
-@query("redelivery", f"""WITH {MSG}, newest AS (SELECT consumer, max(batch) AS newest FROM msg
-  GROUP BY consumer), again AS (SELECT rgmid, consumer FROM msg JOIN newest USING (consumer)
-  WHERE batch = newest) SELECT rgmid AS Id, CAST(consumer AS INTEGER) AS consumer,
-  e % 25 = 0 AS redelivered FROM msg
-  UNION ALL SELECT rgmid, CAST(consumer AS INTEGER), TRUE FROM again""")
-def redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrivals = redelivered(spark, sf_dir)
-    return arrivals.select(F.col("rgmid").alias("Id"), "consumer", "redelivered")
+    return fx.redeliver(planned(spark, sf_dir))
 
 
 @query("redelivery_dedup", f"""WITH {MSG} SELECT rgmid AS Id, body AS text, e % 25 = 0 AS redelivered
@@ -189,28 +179,47 @@ def redelivery_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("dedup_by_id", f"""WITH {MSG} SELECT coalesce(corr, '-') AS Id, min(e) AS spool_seq FROM msg
-  GROUP BY 1""")
+@query("dedup_by_id", f"""WITH {MSG} SELECT corr AS Id, min(e) AS spool_seq FROM msg
+  WHERE corr <> '' GROUP BY 1 UNION ALL SELECT corr, e FROM msg WHERE corr IS NULL OR corr = ''""")
 def dedup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By correlation id, where one empty value covers a tenth of the log and null another."""
-    log = fx.raw_messages(spark, sf_dir).withColumn("Id", F.coalesce("correlation_id", F.lit("-")))
-    return delivery.dedup_by_id(log).select("Id", "spool_seq")
+    """By correlation id, which a fifth of the log has not: those are different messages."""
+    log = fx.raw_messages(spark, sf_dir).withColumn("Id", F.col("correlation_id"))
+    return delivery.dedup_by_id(log.unionByName(log.where("Id <> ''").withColumn(
+        "spool_seq", F.col("spool_seq") + (1 << 40)
+    ))).select("Id", "spool_seq")
 
 
-@query("skip_repeat", f"""WITH {MSG}, newest AS (SELECT consumer, max(batch) AS newest FROM msg
-  GROUP BY consumer), arrivals AS (
+ARRIVALS = """newest AS (SELECT consumer, max(batch) AS newest FROM msg GROUP BY consumer),
+  arrivals AS (
   SELECT e * 2 AS delivery, rgmid, consumer FROM msg
-  UNION ALL SELECT e * 2 + 1, rgmid, consumer FROM msg JOIN newest USING (consumer)
+  UNION ALL SELECT e * 2 + 1, rgmid, {second} FROM msg JOIN newest USING (consumer)
     WHERE batch = newest),
-  seen AS (SELECT *, lag(rgmid) OVER (PARTITION BY consumer ORDER BY delivery) AS before
-    FROM arrivals)
+  lasting AS (SELECT *, coalesce(lead(delivery) OVER (PARTITION BY consumer ORDER BY delivery),
+    9223372036854775807) AS until FROM arrivals),
+  seen AS (SELECT *, max(until) OVER (PARTITION BY rgmid ORDER BY delivery
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM lasting)
   SELECT delivery, rgmid AS Id, CAST(consumer AS INTEGER) AS consumer FROM seen
-  WHERE before IS NULL OR before <> rgmid""")
-def skip_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrivals = redelivered(spark, sf_dir).select(
+  WHERE latest IS NULL OR latest < delivery"""
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redelivered(spark, sf_dir).select(
         "delivery", F.col("rgmid").alias("Id"), "consumer"
     )
-    return delivery.skip_repeat(arrivals, order="delivery")
+
+
+@query("skip_repeat", f"WITH {MSG}, {ARRIVALS.format(second='consumer')}")
+def skip_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delivery.skip_repeat(_arrivals(spark, sf_dir), order="delivery")
+
+
+@query("skip_repeat_any", f"WITH {MSG}, {ARRIVALS.format(second='1 - consumer')}")
+def skip_repeat_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What fails at one consumer comes again at the other one."""
+    arrivals = _arrivals(spark, sf_dir)
+    other = F.when(F.col("delivery") % 2 == 1, 1 - F.col("consumer")).otherwise(F.col("consumer"))
+    moved = arrivals.withColumn("consumer", other.cast("int"))
+    return delivery.skip_repeat(moved, order="delivery")
 
 
 @query("unacked", f"""WITH {MSG} SELECT rgmid AS Id, CAST(consumer AS INTEGER) AS consumer, batch

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import messages as m
 from tidelog.operators import batching, delivery
-from tidelog.operators.publishing import as_raw
 from tidelog.operators.replay import TIMEBASED
+from tidelog.options import QueueReader, QueueWriter
 from tidelog.plans import fixtures as fx
 from tidelog.plans.oracle import FAULTY, HIST, MSG
-from tidelog.plans.publishing import PUBLISHED_SQL, scalar_messages
+from tidelog.plans.publishing import STORED_SQL, stored_messages
 from tidelog.plans.reading import (
     ENVELOPE_SQL,
     REPLAY_START,
@@ -24,13 +22,13 @@ from tidelog.plans.reading import (
 )
 from tidelog.plans.recovery import KEPT, merged
 from tidelog.plans.registry import query
-
 from tidelog.schema import RAW_MESSAGE
 from tidelog.session import workspace
 from tidelog.sinks.publish import Publisher, publish_stream
 from tidelog.sources.spool import (
     SpoolLayout,
     open_queue,
+    read_queue,
     stream_parquet,
     stream_raw,
     write_spool,
@@ -38,32 +36,26 @@ from tidelog.sources.spool import (
 from tidelog.streaming import jobs as p
 from tidelog.streaming.batches import read_batches
 
-# The layout of SpoolLayout.for_rows in SQL: `step` positions make one micro-batch.
-LAYOUT = """layout AS (SELECT per_file * greatest(8, CAST(ceil(ceil(n / per_file) / 4) AS BIGINT))
-  AS step FROM (SELECT n, greatest(125, least(250000, CAST(ceil(n / 32) AS BIGINT))) AS per_file
-  FROM (SELECT count(*) AS n FROM events)))"""
+LAYOUT = SpoolLayout(batch_size=1000, partitions=8)
 
-@cache
-def _spool(app: str, spark: SparkSession, sf_dir: str) -> tuple[str, SpoolLayout]:
-    raw = fx.raw_messages(spark, sf_dir)
-    layout = SpoolLayout.for_rows(raw.count())
+
+def spooled(spark: SparkSession, sf_dir: str) -> str:
+    """The event log on storage, in files of one consumer's batch each."""
     path = workspace(spark, "spool")
-    write_spool(raw, path, layout)
-    return path, layout
+    write_spool(fx.raw_messages(spark, sf_dir), path, LAYOUT)
+    return path
 
-def spooled(spark: SparkSession, sf_dir: str) -> tuple[str, SpoolLayout]:
-    """The event log on storage; written once per session, never changed."""
-    return _spool(spark.sparkContext.applicationId, spark, sf_dir)
 
 def opened(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
-    path, layout = spooled(spark, sf_dir)
     return open_queue(
-        spark, path, partitions=layout.partitions, batch_size=layout.batch_size, **options
+        spark, spooled(spark, sf_dir), partitions=LAYOUT.partitions, batch_size=LAYOUT.batch_size,
+        **options,
     )
 
+
 def raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, layout = spooled(spark, sf_dir)
-    return stream_raw(spark, path, layout.partitions, layout.batch_size)
+    return stream_raw(spark, spooled(spark, sf_dir), LAYOUT.partitions, LAYOUT.batch_size)
+
 
 def landed(stream: DataFrame) -> DataFrame:
     """Land a stream as Parquet and read it back."""
@@ -72,10 +64,12 @@ def landed(stream: DataFrame) -> DataFrame:
     p.run_available(p.land_parquet(stream, out, workspace(spark, "checkpoint")))
     return spark.read.schema(stream.schema).parquet(out)
 
+
 @query("queue_stream", f"WITH {MSG} {ENVELOPE_SQL}")
 def queue_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scalar_envelope(landed(opened(spark, sf_dir)))
 
+
 @query("queue_stream_replay", f"""WITH {MSG} {ENVELOPE_SQL}
   WHERE receive_us >= epoch_us(TIMESTAMP '{REPLAY_START_UTC}')""")
 def queue_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,14 +78,16 @@ def queue_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         replay_timezone=REPLAY_ZONE,
     )))
 
+
 @query("queue_stream_resume",
        f"WITH {MSG}, {HIST} {ENVELOPE_SQL} LEFT JOIN ckpt ON pkey = part WHERE {KEPT}")
 def queue_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fresh stream that skips what a checkpoint covers."""
     return scalar_envelope(landed(opened(spark, sf_dir, checkpoints=merged(spark, sf_dir))))
 
-@query("queue_stream_batches", f"""WITH {LAYOUT} SELECT event_id // step AS batch_id,
-  count(*) AS messages FROM events, layout GROUP BY 1""")
+
+@query("queue_stream_batches", f"""SELECT event_id // {LAYOUT.step} AS batch_id,
+  count(*) AS messages FROM events GROUP BY 1""")
 def queue_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = workspace(spark, "batches")
     stream = opened(spark, sf_dir)
@@ -99,8 +95,9 @@ def queue_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = T.StructType([T.StructField("messages", T.LongType())])
     return read_batches(spark, out, counts).drop("epoch")
 
-@query("isempty_then_read", f"""WITH {LAYOUT} SELECT event_id // step AS batch_id, FALSE AS empty,
-  count(*) AS first_read, count(*) AS second_read FROM events, layout GROUP BY 1""")
+
+@query("isempty_then_read", f"""SELECT event_id // {LAYOUT.step} AS batch_id, FALSE AS empty,
+  count(*) AS first_read, count(*) AS second_read FROM events GROUP BY 1""")
 def isempty_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = workspace(spark, "probes")
     stream = opened(spark, sf_dir)
@@ -111,6 +108,7 @@ def isempty_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
         T.StructField("empty", T.BooleanType()),
     ])).drop("epoch")
 
+
 @query("parquet_stream_in", "SELECT event_type, count(*) AS messages FROM events GROUP BY 1")
 def parquet_stream_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A plain Parquet folder as a stream, with the schema of a batch read."""
@@ -119,6 +117,7 @@ def parquet_stream_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = landed(stream_parquet(spark, folder))
     return rows.groupBy("event_type").agg(F.count("*").alias("messages"))
 
+
 @query("land_parquet", f"""WITH {MSG} SELECT topic AS Topic, body AS text, count(*) AS messages
   FROM msg GROUP BY 1, 2""")
 def land_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,23 +126,24 @@ def land_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("messages")
     )
 
+
 @query("restart_exactly_once", f"WITH {MSG} {ENVELOPE_SQL}")
 def restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stop after half the log, add the rest, restart on the same checkpoint."""
     raw = fx.raw_messages(spark, sf_dir)
     first, last = raw.agg(F.min("spool_seq"), F.max("spool_seq")).first()
     rows = last - first + 1
-    layout = SpoolLayout.for_rows(rows)
-    half = first + max(1, rows // 2 // layout.batch_size) * layout.batch_size
+    half = first + max(1, rows // 2 // LAYOUT.batch_size) * LAYOUT.batch_size
     path, out, checkpoint = (workspace(spark, n) for n in ("spool", "out", "checkpoint"))
     for start, stop in ((first, half), (half, last + 1)):
-        write_spool(raw, path, layout, start, stop)
+        write_spool(raw, path, LAYOUT, start, stop)
         stream = open_queue(
-            spark, path, partitions=layout.partitions, batch_size=layout.batch_size
+            spark, path, partitions=LAYOUT.partitions, batch_size=LAYOUT.batch_size
         )
         p.run_available(p.land_parquet(stream, out, checkpoint))
     return scalar_envelope(spark.read.schema(stream.schema).parquet(out))
 
+
 @query("stream_to_stream", f"""WITH {MSG} SELECT 'processed' AS Topic, rgmid AS Id,
   upper(body) AS text, CAST(4 AS INTEGER) AS priority FROM msg""")
 def stream_to_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,15 +153,15 @@ def stream_to_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = workspace(spark, "republished")
     p.run_available(p.stream_to_stream(
-        shouted, out, workspace(spark, "checkpoint"), topic="processed", keep=("spool_seq",)
+        shouted, out, workspace(spark, "checkpoint"), topic="processed"
     ))
-    again = as_raw(spark.read.parquet(out), "spool_seq")
-    env = m.envelope(again, offset_indicator=m.APPLICATION_MESSAGE_ID, keep=("priority",))
+    env = m.envelope(read_queue(spark, out), offset_indicator=m.APPLICATION_MESSAGE_ID, keep=("priority",))
     return env.select("Topic", "Id", m.payload_text().alias("text"), "priority")
 
-@query("publish_stream", f"WITH {MSG}, {FAULTY} {PUBLISHED_SQL}")
+
+@query("publish_stream", f"WITH {MSG}, {FAULTY} {STORED_SQL}")
 def publish_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Faulty rows as a stream through the sink in report mode, laid out by topic."""
+    """Faulty rows as a stream through the sink in report mode, laid out by topic; none is lost."""
     rows = workspace(spark, "rows")
     fx.publish_rows(spark, sf_dir).write.parquet(rows)
     out = workspace(spark, "published")
@@ -169,7 +169,50 @@ def publish_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     p.run_available(publish_stream(
         stream_parquet(spark, rows), out, workspace(spark, "checkpoint"), publisher, by_topic=True
     ))
-    return scalar_messages(spark.read.parquet(out))
+    return stored_messages(spark, out)
+
+
+THEN_READ_SQL = """SELECT rgmid AS Id, hex(encode(body)) AS payload_hex, coalesce(pkey, '') AS
+  PartitionKey, 'again' AS Topic, time_us // 1000 AS time_ms, CAST(e % 10 AS VARCHAR) AS priority,
+  CASE WHEN e % 4 <> 0 THEN CAST(e AS VARCHAR) END AS sequence, 'true' AS flag FROM msg"""
+
+
+def _read_again(rows: DataFrame) -> DataFrame:
+    def header(name: str):
+        return F.element_at("Headers", F.lit(name)).cast("string")
+
+    return rows.select(
+        "Id", F.hex("Payload").alias("payload_hex"), "PartitionKey", "Topic",
+        F.unix_millis("TimeStamp").alias("time_ms"), header("mq_priority").alias("priority"),
+        header("mq_sequenceNumber").alias("sequence"), header("custom-boolean").alias("flag"),
+    )
+
+
+def _again(spark: SparkSession, path: str) -> QueueReader:
+    return QueueReader(spark).options(
+        queue=path, includeHeaders="true", offsetIndicator=m.APPLICATION_MESSAGE_ID
+    )
+
+
+@query("publish_then_read", f"WITH {MSG} {THEN_READ_SQL}")
+def publish_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the writer stores, the reader gives back: by options alone, as tables."""
+    env = m.envelope(fx.raw_messages(spark, sf_dir), include_headers=True)
+    out = workspace(spark, "published")
+    QueueWriter(env).options(queue=out, topic="again", includeHeaders="true").save()
+    return _read_again(_again(spark, out).loadBatch())
+
+
+@query("publish_stream_then_read", f"WITH {MSG} {THEN_READ_SQL}")
+def publish_stream_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with both ends as streams."""
+    out = workspace(spark, "published")
+    p.run_available(QueueWriter(opened(spark, sf_dir, include_headers=True)).options(
+        queue=out, topic="again", includeHeaders="true",
+        checkpointLocation=workspace(spark, "checkpoint"),
+    ).writeStream())
+    return _read_again(landed(_again(spark, out).load()))
+
 
 @query("foreach_batch_publish", f"""WITH {MSG} SELECT topic AS destination, rgmid AS correlation_id,
   body AS text, CAST(e % 10 AS INTEGER) AS priority FROM msg""")
@@ -179,10 +222,11 @@ def foreach_batch_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     p.run_available(p.foreach_batch_publish(
         stream, out, workspace(spark, "checkpoint"), Publisher(include_headers=True)
     ))
-    return spark.read.parquet(out).select(
-        "destination", "correlation_id", F.decode("payload", "UTF-8").alias("text"), "priority"
+    return read_queue(spark, out).select(
+        "destination", "correlation_id", F.decode(m.payload(), "UTF-8").alias("text"), "priority"
     )
 
+
 @query("commit_publish", f"""WITH {MSG} SELECT CAST(consumer AS VARCHAR) AS partitionId,
   max(rgmid) AS messageIDs, count(*) AS messages FROM msg GROUP BY consumer""")
 def commit_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,6 +243,7 @@ def commit_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count("*").alias("messages"))
     return p.committed_state(spark, state_path).join(counts, "partitionId")
 
+
 @query("last_value_stream", f"""WITH {MSG} SELECT topic AS Topic, rgmid AS Id, body AS text FROM msg
   WHERE e IN (SELECT max(e) FROM msg GROUP BY topic)""")
 def last_value_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,6 +255,7 @@ def last_value_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = p.read_last_value(spark, out, RAW_MESSAGE, ["destination"])
     return m.envelope(newest).select("Topic", "Id", m.payload_text().alias("text"))
 
+
 @query("update_as_append", f"""WITH {MSG} SELECT topic AS Topic, count(*) AS messages,
   max(e) AS last_seq FROM msg GROUP BY 1""")
 def update_as_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,11 +269,11 @@ def update_as_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dedup_stream", f"WITH {MSG} {ENVELOPE_SQL}")
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message delivered twice, kept once. The watermark spans a log's disorder."""
+    """Every message delivered twice, kept once, however old its own time is."""
     twice = opened(spark, sf_dir).withColumn(
         "attempt", F.explode(F.array(F.lit(1), F.lit(2)))
     ).drop("attempt")
-    return scalar_envelope(landed(delivery.dedup_stream(twice, watermark="40 days")))
+    return scalar_envelope(landed(delivery.dedup_stream(twice)))
 
 
 @query("dedup_append", f"WITH {MSG} {ENVELOPE_SQL}")

@@ -37,6 +37,22 @@ RAW_MESSAGE = T.StructType([
     T.StructField("user_props", T.MapType(T.StringType(), T.StringType(), True)),
 ])
 
+# What a published message has besides, and what was wrong with a row that could not be published.
+# Logs from elsewhere may lack these columns; a reader takes a message without `status` as good.
+PUBLISHED_FIELDS = T.StructType([
+    T.StructField("correlation_key", T.StringType()),
+    T.StructField("delivery_mode", T.StringType()),
+    T.StructField("application_message_type", T.StringType()),
+    T.StructField("dmq_eligible", T.BooleanType()),
+    T.StructField("http_content_encoding", T.StringType()),
+    T.StructField("http_content_type", T.StringType()),
+    T.StructField("is_reply", T.BooleanType()),
+    T.StructField("sender_id", T.StringType()),
+    T.StructField("user_data", T.BinaryType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("reason", T.StringType()),
+])
+
 _ENVELOPE = [
     T.StructField("Id", T.StringType()),
     T.StructField("Payload", T.BinaryType()),

@@ -2,28 +2,33 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.operators.publishing import (
+    FAILED,
     OK,
+    PLACE_DIGITS,
+    as_raw,
     bind_columns,
     publish_envelope,
     publish_validate,
     reject_report,
     split_rejects,
 )
-from tidelog.schema import DEFAULT_HEADER_PREFIX
+from tidelog.schema import DEFAULT_HEADER_PREFIX, PUBLISHED_FIELDS, RAW_MESSAGE
 
 
 @dataclass(frozen=True)
 class Publisher:
     """What every publish form shares: overrides, headers, and what a bad row does.
 
-    ``mode`` is ``strict`` (a bad row fails the job) or ``report`` (it goes to the reject table).
+    ``mode`` is ``strict`` (a bad row fails the job) or ``report`` (it is stored as a reject).
     """
 
     topic: str | None = None
@@ -44,9 +49,26 @@ class Publisher:
         )
         return publish_validate(bound, self.header_prefix, strict=self.mode == "strict")
 
-    def messages(self, df: DataFrame, counts: Observation | None = None) -> DataFrame:
-        """Outgoing messages of the publishable rows; ``counts`` observes how many there were."""
-        checked = self.checked(df)
+    def messages(self, df: DataFrame) -> DataFrame:
+        """Outgoing messages of the publishable rows."""
+        good, _ = split_rejects(self.checked(df))
+        return publish_envelope(good, self.header_prefix, keep=self.keep)
+
+    def rejects(self, df: DataFrame) -> DataFrame:
+        return reject_report(self.checked(df))
+
+    def log_rows(
+        self, df: DataFrame, base: int | None = None, counts: Observation | None = None
+    ) -> DataFrame:
+        """Every row as the log stores it: good ones as messages, bad ones with status and reason.
+
+        Positions are those of a ``spool_seq`` column if there is one. Else, after ``base``, they
+        follow the rows; without a base, as in a stream, they are the time of the micro-batch, and
+        ids tell its messages apart. ``counts`` observes what is written.
+        """
+        given = "spool_seq" in df.columns
+        keep = tuple(dict.fromkeys((*self.keep, *(["spool_seq"] if given else []))))
+        checked = replace(self, keep=keep).checked(df)
         if counts is not None:
             good = F.col("status") == OK
             checked = checked.observe(
@@ -55,29 +77,59 @@ class Publisher:
                 F.count_if(good).alias("acknowledged"),
                 F.count_if(~good).alias("failed"),
             )
-        good, _ = split_rejects(checked)
-        return publish_envelope(good, self.header_prefix, keep=self.keep)
-
-    def rejects(self, df: DataFrame) -> DataFrame:
-        return reject_report(self.checked(df))
+        kept = (*(c for c in keep if c != "spool_seq"), "status", "reason")
+        rows = publish_envelope(
+            checked, self.header_prefix, keep=(*kept, *(["spool_seq"] if given else []))
+        )
+        message_id = None
+        if not given:
+            if base is None:
+                rows = rows.withColumn("spool_seq", F.unix_micros(F.current_timestamp()))
+                place = F.lpad(F.col("spool_seq").cast("string"), PLACE_DIGITS, "0")
+                message_id = F.concat(F.lit("rmid1:"), place, F.lit("-"), F.uuid())
+            else:
+                rows = rows.withColumn("spool_seq", F.monotonically_increasing_id() + F.lit(base))
+        extra = [f.name for f in PUBLISHED_FIELDS.fields if f.name not in kept]
+        more = tuple(c for c in self.keep if c not in RAW_MESSAGE.names)
+        return as_raw(
+            rows, "spool_seq", message_id=message_id, keep=(*extra, "status", "reason", *more)
+        )
 
 
 def publish(
-    df: DataFrame,
-    path: str,
-    publisher: Publisher = Publisher(),
-    save_mode: str = "append",
-    rejects_path: str | None = None,
+    df: DataFrame, path: str, publisher: Publisher = Publisher(), save_mode: str = "append"
 ) -> dict[str, int]:
-    """Write ``df`` as messages, appended unless ``save_mode`` is ``overwrite``.
+    """Write ``df`` to a log that :func:`tidelog.sources.spool.read_queue` reads back.
 
-    Returns how many rows were published, acknowledged and failed, counted while they were written.
+    Rows are checked once and written once. In ``report`` mode bad rows are stored in the log too,
+    where readers pass them over and :func:`read_rejects` finds them. Appended unless ``save_mode``
+    is ``overwrite``. Returns how many rows were published, acknowledged and failed, counted while
+    they were written.
     """
     counts = Observation()
-    publisher.messages(df, counts).write.mode(save_mode).parquet(path)
-    if rejects_path is not None:
-        publisher.rejects(df).write.mode(save_mode).parquet(rejects_path)
-    return counts.get
+    base = 0 if save_mode == "overwrite" else next_position(df.sparkSession, path)
+    publisher.log_rows(df, base, counts).write.mode(save_mode).parquet(path)
+    got = counts.get
+    if got["published"] != got["acknowledged"] + got["failed"]:
+        raise RuntimeError(f"rows are missing: {got}")
+    return got
+
+
+def next_position(spark: SparkSession, path: str) -> int:
+    """The position after all that a log holds."""
+    try:
+        last = spark.read.schema(RAW_MESSAGE).parquet(path).agg(F.max("spool_seq")).first()[0]
+    except AnalysisException:  # nothing there yet
+        return 0
+    return 0 if last is None else last + 1
+
+
+def read_rejects(spark: SparkSession, path: str, *more: str) -> DataFrame:
+    """Rows that could not be published to a log, with ``Id``, ``status``, ``reason`` and ``more``."""
+    stored = spark.read.schema(T.StructType(RAW_MESSAGE.fields + PUBLISHED_FIELDS.fields))
+    return stored.parquet(path).where(F.col("status") == FAILED).select(
+        F.col("correlation_id").alias("Id"), "status", "reason", *more
+    )
 
 
 def publish_stream(
@@ -87,15 +139,16 @@ def publish_stream(
     publisher: Publisher = Publisher(),
     by_topic: bool = False,
 ) -> DataStreamWriter:
-    """A writer that appends a stream as messages, exactly once; the caller starts it.
+    """A writer that appends a stream to a log, exactly once; the caller starts it.
 
-    ``by_topic`` lays the log out by destination, for queues with few topics.
+    In ``report`` mode bad rows are stored beside the messages, as :func:`publish` does. ``by_topic``
+    lays the log out by destination, for queues with few topics.
     """
-    messages = publisher.messages(df)
+    rows = publisher.log_rows(df)
     if by_topic:
-        messages = messages.withColumn("topic", F.col("destination"))
+        rows = rows.withColumn("topic", F.col("destination"))
     writer = (
-        messages.writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

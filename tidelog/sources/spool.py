@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.functions.messages import MESSAGE_ID, envelope, raw_id
+from tidelog.operators.publishing import OK
 from tidelog.operators.replay import replay
 from tidelog.operators.resume import locate_ids, padded, resume_filter
 from tidelog.schema import DEFAULT_HEADER_PREFIX, RAW_MESSAGE
@@ -20,17 +23,10 @@ class SpoolLayout:
     batch_size: int
     partitions: int
 
-    @classmethod
-    def for_rows(
-        cls, rows: int, batches: int = 4, partitions: int = 8, file_rows: int = 250_000
-    ) -> SpoolLayout:
-        """About ``batches`` micro-batches over ``rows``, with files of ``file_rows`` at most.
-
-        Beyond that size a micro-batch takes more files rather than larger ones.
-        """
-        per_file = max(125, min(file_rows, -(-rows // (batches * partitions))))
-        files = -(-rows // per_file)
-        return cls(per_file, max(partitions, -(-files // batches)))
+    @property
+    def step(self) -> int:
+        """Positions in one micro-batch; how many micro-batches there are grows with the log."""
+        return self.batch_size * self.partitions
 
 
 def append_spool(
@@ -76,7 +72,7 @@ def write_spool(
         if last - first + 1 != rows:
             raise ValueError("an ordered spool needs positions without gaps")
         start, stop = max(start, first), last + 1
-    step = layout.batch_size * layout.partitions
+    step = layout.step
     begin = start - start % step
     for low in range(begin, stop, step):
         here, there = max(low, start), min(low + step, stop)
@@ -85,9 +81,36 @@ def write_spool(
         append_spool(raw.where(inside), path, layout.batch_size, blocks, order)
 
 
+# Files of any age are read: a log that was copied or restored keeps its old file times.
+FILE_AGE = "36500d"
+_STORED = T.StructType([*RAW_MESSAGE.fields, T.StructField("status", T.StringType())])
+
+
+def _messages(stored: DataFrame) -> DataFrame:
+    """What of a stored log are messages: all rows but rejects."""
+    good = F.col("status").isNull() | (F.col("status") == OK)
+    return stored.where(good).select(*RAW_MESSAGE.names)
+
+
+def check_log(spark: SparkSession, path: str) -> None:
+    """Refuse a folder whose files are something else than messages; an empty one passes."""
+    try:
+        have = spark.read.parquet(path).schema
+    except AnalysisException:  # nothing there yet
+        return
+    kinds = {f.name: f.dataType for f in have.fields}
+    wrong = [
+        f.name for f in RAW_MESSAGE.fields
+        if f.name not in kinds or kinds[f.name].typeName() != f.dataType.typeName()
+    ]
+    if wrong:
+        raise ValueError(f"{path} is not a message log: {', '.join(wrong)} missing or of another type")
+
+
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
     """The whole log as a bounded table of raw messages."""
-    return spark.read.schema(RAW_MESSAGE).parquet(path)
+    check_log(spark, path)
+    return _messages(spark.read.schema(_STORED).parquet(path))
 
 
 def stream_raw(
@@ -107,13 +130,14 @@ def stream_raw(
         raise ValueError("partitions must be >= 0")
     if batch_size < 0:
         raise ValueError("batch size must be >= 0")
-    reader = spark.readStream.schema(RAW_MESSAGE)
+    check_log(spark, path)
+    reader = spark.readStream.schema(_STORED).option("maxFileAge", FILE_AGE)
     if bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     elif batch_size:
         n = partitions or spark.sparkContext.defaultParallelism
         reader = reader.option("maxFilesPerTrigger", n)
-    return reader.parquet(path)
+    return _messages(reader.parquet(path))
 
 
 def resume(

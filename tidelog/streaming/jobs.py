@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.functions.offsets import encode_offset, migrate_offsets
 from tidelog.operators.checkpoints import consumer_checkpoint, last_value
-from tidelog.operators.delivery import dedup_by_id
+from tidelog.operators.delivery import dedup_by_id, has_id
 from tidelog.operators.lookup import pick_by
 from tidelog.schema import CHECKPOINT
 from tidelog.sinks.publish import Publisher, publish, publish_stream
@@ -23,15 +23,19 @@ from tidelog.streaming.batches import (
     write_state,
 )
 
-WAIT_SECONDS = 3600
 STATE_LINE = T.StructType([T.StructField("json", T.StringType())])
 
 
-def run_available(writer: DataStreamWriter, wait: int = WAIT_SECONDS) -> None:
-    """Process all that is there now, in the bounded batches the source was opened with."""
+def run_available(writer: DataStreamWriter, wait: int | None = None) -> None:
+    """Process all that is there now, in the bounded batches the source was opened with.
+
+    There is no time limit unless ``wait`` sets one, in seconds.
+    """
     query = writer.trigger(availableNow=True).start()
     try:
-        if not query.awaitTermination(wait):
+        if wait is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(wait):
             raise TimeoutError(f"stream did not finish in {wait} s")
     finally:
         query.stop()
@@ -59,12 +63,10 @@ def foreach_batch_publish(
     path: str,
     checkpoint: str,
     publisher: Publisher = Publisher(),
-    rejects_path: str | None = None,
 ) -> DataStreamWriter:
     """Every micro-batch through the batch publisher; a repeated batch replaces its own folder."""
     def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
-        rejects = rejects_path and batch_path(rejects_path, epoch, batch_id)
-        publish(rows, batch_path(path, epoch, batch_id), publisher, "overwrite", rejects)
+        publish(rows, batch_path(path, epoch, batch_id), publisher, "overwrite")
 
     return for_each_batch(stream, checkpoint, handle, path)
 
@@ -208,8 +210,8 @@ def dedup_append(
         before = read_batches(rows.sparkSession, path, rows.schema).where(
             (F.col("epoch") < epoch) | ((F.col("epoch") == epoch) & (F.col("batch_id") < batch_id))
         )
-        seen = before.select(F.col(message_id).alias("_seen"))
-        fresh = once.join(seen, once[message_id].eqNullSafe(seen["_seen"]), "left_anti")
+        seen = before.select(F.col(message_id).alias("_seen")).where(has_id("_seen"))
+        fresh = once.join(seen, once[message_id] == seen["_seen"], "left_anti")
         write_batch(fresh, path, epoch, batch_id)
 
     return for_each_batch(stream, checkpoint, handle, path)

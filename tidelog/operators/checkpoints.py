@@ -17,12 +17,11 @@ def consumer_checkpoint(
     processed: DataFrame, partition: str, message_id: str = "Id", order: str = "spool_seq"
 ) -> DataFrame:
     """Last processed id per consumer or partition key, as (``partitionId``, ``messageIDs``)."""
-    narrow = processed.select(
-        F.col(partition).cast("string").alias("partitionId"),
-        F.col(message_id).alias("messageIDs"),
-        F.col(order).alias("_order"),
+    # The row is as narrow as its key, so one aggregate with map-side partials carries it whole.
+    narrow = processed.where(F.col(order).isNotNull())
+    return narrow.groupBy(F.col(partition).cast("string").alias("partitionId")).agg(
+        F.max_by(message_id, order).alias("messageIDs")
     )
-    return pick_by(narrow, ["partitionId"], "_order").select("partitionId", "messageIDs")
 
 
 def merge_checkpoints(history: DataFrame, *more: DataFrame, batch: str = "batch_id") -> DataFrame:

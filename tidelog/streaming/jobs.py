@@ -16,6 +16,7 @@ from tidelog.sinks.publish import Publisher, publish, publish_stream
 from tidelog.streaming.batches import (
     batch_path,
     commit_order,
+    earlier_batches,
     for_each_batch,
     read_batches,
     read_since_snapshot,
@@ -114,11 +115,13 @@ def commit_publish(
         spark = rows.sparkSession
         write_batch(rows, rows_path, epoch, batch_id)
         written = spark.read.schema(rows.schema).parquet(batch_path(rows_path, epoch, batch_id))
-        if not reached:  # first batch of this run: one narrow pass over what earlier runs wrote
-            earlier = read_batches(spark, rows_path, rows.schema).where(
-                (F.col("epoch") == epoch) & (F.col("batch_id") < batch_id)
-            )
-            reached.append(earlier.agg(F.max(order)).first()[0])
+        if not reached:  # first batch of this run: the newest one before it that had rows
+            reached.append(None)
+            for path in earlier_batches(spark, rows_path, epoch, batch_id):
+                before = spark.read.schema(rows.schema).parquet(path)
+                reached[0] = before.agg(F.max(order)).first()[0]
+                if reached[0] is not None:
+                    break
         first, last = written.agg(F.min(order), F.max(order)).first()
         if None not in (first, reached[0]) and first <= reached[0]:
             raise ValueError(

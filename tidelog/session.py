@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,5 +35,52 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     readers, and gives the table a known size.
     """
     path = workspace(df.sparkSession, label)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.paths.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+class Scratch:
+    """The tables staged inside one :func:`scratch` block, and those that outlive it."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+        self.kept: list[str] = []
+
+    def keep(self, staged: DataFrame) -> DataFrame:
+        """Spare a staged table that the block's result reads."""
+        self.kept.append(staged._staged_at)
+        return staged
+
+
+_SCOPE: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """Remove what is staged inside the block when it ends, but for what it keeps.
+
+    A kept table belongs to the enclosing block, if there is one. Nothing that is removed is read
+    again: results that are still to be computed may only rest on kept tables.
+    """
+    outer = _SCOPE.get()
+    own = Scratch()
+    token = _SCOPE.set(own)
+    try:
+        yield own
+    finally:
+        _SCOPE.reset(token)
+        for path in own.paths:
+            if path not in own.kept:
+                _remove(spark, path)
+            elif outer is not None:
+                outer.paths.append(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

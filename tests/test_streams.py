@@ -64,10 +64,21 @@ def test_files_of_any_age_are_read(spark, hundred):
         for file in set(Path(path).glob("*.parquet")) - before:
             when = time.time() - days * 86_400
             os.utime(file, (when, when))
-        p.run_available(p.land_parquet(stream_raw(spark, path, 1, 25), out, checkpoint))
+        p.run_available(p.land_parquet(stream_raw(spark, path, 1, 50), out, checkpoint))
     assert seqs(spark.read.parquet(out)) == list(range(100))
 
 
+def test_longer_files_than_a_batch_are_refused(spark, spool):
+    for size, fits in ((25, True), (24, False)):
+        reader = QueueReader(spark).options(queue=spool, batchSize=str(size), partitions="1")
+        if fits:
+            assert reader.load().isStreaming
+        else:
+            with pytest.raises(ValueError, match="25 messages"):
+                reader.load()
+        assert reader.loadBatch().count() == 100
+
+
 def test_another_folder_is_refused(spark, hundred):
     path = workspace(spark, "other")
     hundred.select("spool_seq", F.col("rgmid").alias("Id")).write.parquet(path)

@@ -138,7 +138,7 @@ class QueueReader:
         )
 
     def loadBatch(self) -> DataFrame:
-        """The same rows as a bounded table."""
+        """The same rows as a bounded table; ``batchSize`` and ``partitions`` bound streams only."""
         o = self._checked()
         log = read_queue(self._spark, o["queue"])
         raw = replay(

@@ -107,6 +107,16 @@ def check_log(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} is not a message log: {', '.join(wrong)} missing or of another type")
 
 
+def longest_file(spark: SparkSession, path: str) -> int:
+    """Rows in the longest file of a log; only file footers are read."""
+    try:
+        rows = spark.read.schema(RAW_MESSAGE).parquet(path)
+        sizes = rows.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+        return sizes.agg(F.max("n")).first()[0] or 0
+    except AnalysisException:  # nothing there yet
+        return 0
+
+
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
     """The whole log as a bounded table of raw messages."""
     check_log(spark, path)
@@ -122,15 +132,22 @@ def stream_raw(
 ) -> DataFrame:
     """The log as a stream of raw messages.
 
-    With a batch size a micro-batch takes one file per consumer, each holding the ``batch_size``
-    rows the spool was written with. A batch size of 0 sets no bound. ``bytes_per_trigger`` bounds
-    a micro-batch by size instead, for logs with files of any length.
+    With a batch size a micro-batch takes one file per consumer. A source takes files whole, so a
+    log that holds a longer file than that is refused; :func:`write_spool` cuts it anew. Files that
+    come later are not looked at. A batch size of 0 sets no bound. ``bytes_per_trigger`` bounds a
+    micro-batch by size instead, for logs with files of any length.
     """
     if partitions < 0:
         raise ValueError("partitions must be >= 0")
     if batch_size < 0:
         raise ValueError("batch size must be >= 0")
     check_log(spark, path)
+    if batch_size and not bytes_per_trigger:
+        longest = longest_file(spark, path)
+        if longest > batch_size:
+            raise ValueError(
+                f"a file of {path} holds {longest} messages, more than a batch of {batch_size}"
+            )
     reader = spark.readStream.schema(_STORED).option("maxFileAge", FILE_AGE)
     if bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)

@@ -290,6 +290,20 @@ def test_last_value_stream_and_empty_state(spark, hundred):
     assert seqs(newest) == list(range(93, 100))
 
 
+def test_batches_leave_no_staged_tables(spark, hundred):
+    path, out = workspace(spark, "spool"), workspace(spark, "last")
+    small = SpoolLayout(batch_size=5, partitions=1)
+    write_spool(hundred, path, small)
+    base = Path(out).parent
+    before = set(os.listdir(base))
+    p.run_available(p.last_value_stream(
+        stream_raw(spark, path, 1, 5), out, workspace(spark, "cp"), ["destination"]))
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - before}
+    assert left <= {"last", "cp"} and len(os.listdir(f"{out}/epoch=0")) == 20
+    newest = p.read_last_value(spark, out, RAW_MESSAGE, ["destination"])
+    assert seqs(newest) == [99]
+
+
 def test_reader_by_options(spark, spool, hundred):
     reader = QueueReader(spark).option("queue", spool).options(
         partitions="2", batchSize="25", includeHeaders="true", offsetIndicator="CORRELATION_ID")

@@ -12,6 +12,7 @@ from tidelog.llm import (
     bpe,
     decontamination,
     language_id,
+    licenses,
     line_dedup,
     lm_scoring,
     minhash,
@@ -102,6 +103,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
+@_query("op7_license_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its notices, the licenses they name, and how close the farthest match is."""
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct(F.col("notices.license")))
+    return found.select(
+        "doc_id", F.size("notices").cast("long").alias("n_notices"),
+        F.array_join(names, ",").alias("licenses"),
+        F.array_max("notices.n_diff").alias("max_diff"),
+        F.array_min("notices.saving").alias("min_saving"),
+    )
+
+
 WORDS = r"regexp_extract_all(translate(coalesce(text, ''), {}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 

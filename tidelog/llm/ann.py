@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.batches import ship_package
+from tidelog.llm.batches import lowest, ship_package
 from tidelog.session import stage
 
 # Bounds of the index: vectors that trees are grown on, and their bytes; trees; depth; vectors a leaf
@@ -158,7 +158,8 @@ def nearest(
         "entries",
     )
     bound = max(1, min(sample, SAMPLE_BYTES // (8 * length)))
-    some = entries.orderBy(F.xxhash64("entry"), "entry").limit(bound).select("v").toArrow()
+    drawn = entries.select("entry", "v", F.xxhash64("entry").alias("draw"))
+    some = lowest(drawn, "draw", ["entry"], bound).select("v").toArrow()
     grown = np.concatenate(
         [_matrix(chunk, length) for chunk in some.column("v").chunks]
     ).astype(np.float32)

@@ -108,6 +108,18 @@ def document_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
 DOC_KEY = ["k1", "k2"]
 
 
+def lowest(df: DataFrame, draw: str, ties: list[str], bound: int) -> DataFrame:
+    """The ``bound`` rows with the lowest hashes in column ``draw``.
+
+    About twice as many rows pass a literal bound on the hash first, so that what meets in one place
+    to be sorted depends on ``bound`` alone, not on the number of rows or partitions.
+    """
+    share = 2 * bound / max(1, df.count())
+    if share < 0.5:
+        df = df.where(F.col(draw) < int(-(2.0 ** 63) + share * 2.0 ** 64))
+    return df.orderBy(draw, *ties).limit(bound)
+
+
 def labelled(
     docs: DataFrame, labels: DataFrame, label_col: str, bound: int,
     id_col: str = "doc_id", text_col: str = "text",
@@ -121,7 +133,6 @@ def labelled(
         labels[id_col].alias("id"), labels[label_col].cast("int").alias("label"),
         draw.alias("draw"),
     ).where("label IN (0, 1) AND id IS NOT NULL").dropDuplicates(["id"])
-    first = known.orderBy("draw", "id").limit(bound)
-    chosen = stage(first, "labelled")
+    chosen = stage(lowest(known, "draw", ["id"], bound), "labelled")
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     return texts.join(F.broadcast(chosen), "id").select("text", "label")

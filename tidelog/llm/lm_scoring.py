@@ -36,7 +36,7 @@ from tidelog.llm.batches import (
     ship_package,
     steps,
 )
-from tidelog.session import stage
+from tidelog.session import scratch, stage
 
 # Classes of the model (the last one holds all rarer words), the vectors' length, training rounds, and
 # the partitions of the trigram table a round starts from at least.
@@ -271,6 +271,24 @@ class Model:
     normalisers: np.ndarray | None
 
 
+def _commonest(counts: DataFrame, bound: int) -> DataFrame:
+    """Words of the highest counts, as many as fit ``bound`` with all words of equal rank.
+
+    Ranks are counts, in steps of a third of a percent from 4,096 on. There is a fixed number of
+    them, so the rank to cut at is found without sorting words anywhere.
+    """
+    n = F.col("n")
+    rank = F.when(n < 4096, n).otherwise(4096 + F.floor(F.log2(n / 4096) * 256)).cast("long")
+    sizes = counts.groupBy(rank.alias("rank")).agg(F.count("*").alias("words")).collect()
+    cut, held = None, 0
+    for r in sorted(sizes, key=lambda r: -r["rank"]):
+        held += r.words
+        if held > bound:
+            break
+        cut = r["rank"]
+    return counts.where(F.lit(False) if cut is None else rank >= cut).select("h", "n")
+
+
 def fit(
     docs: DataFrame, text_col: str = "text", classes: int = CLASSES, head: int = HEAD,
     rounds: int = ROUNDS,
@@ -280,7 +298,7 @@ def fit(
         _tally(docs, text_col, "h", lambda: lambda texts: hashes(texts)[0]), "token-counts"
     )
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "h").limit(head).toArrow()
+    top = _commonest(counts, head).toArrow()
     top_hash, top_n = top.column("h").to_numpy(), top.column("n").to_numpy()
     # The end has class 0 whatever its count, the commonest words follow, the rest is one class.
     words = [i for i in np.lexsort((top_hash, -top_n)) if top_hash[i] != END][:classes - 2]
@@ -306,8 +324,9 @@ def fit(
 
             return codes
 
-        trigrams = stage(_tally(docs, text_col, "code", make), "trigrams")
-        model.params = _train(trigrams, unigram, rounds)
+        with scratch(docs.sparkSession):
+            trigrams = stage(_tally(docs, text_col, "code", make), "trigrams")
+            model.params = _train(trigrams, unigram, rounds)
         model.normalisers = model.params.normalisers()
     return model
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.batches import DOC_KEY, document_key
 from tidelog.operators.lookup import lookup_join
-from tidelog.session import stage
+from tidelog.session import scratch, stage
 
 # Fixed value: the white space that a line's key is stripped of, \x20 and \x09 to \x0D.
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -65,21 +65,22 @@ def line_masks(
     """
     line = F.col("line")
     parts = _key_parts(line)
-    # Stored, so that sampling the range bounds does not split the texts a second time.
-    lines = stage(
-        docs.select(*document_key(docs, id_col, text_col),
-                    F.posexplode(_lines(docs[text_col])).alias("pos", "line"))
-        .where(F.char_length(F.trim(line, F.lit(STRIPPED))) >= max(1, min_chars))
-        .select(F.xxhash64(F.lit(1), *parts).alias("h1"), F.xxhash64(*parts, F.lit(2)).alias("h2"),
-                *DOC_KEY, "pos"),
-        "lines",
-    )
-    ranged = (
-        lines.repartitionByRange(*_HASH, *DOC_KEY)
-        .sortWithinPartitions(*_HASH, *DOC_KEY, "pos")
-    )
-    firsts = ranged.groupBy(*_HASH, *DOC_KEY).agg(F.collect_set("pos").alias("positions"))
-    firsts = stage(firsts, "line-keys")
+    with scratch(docs.sparkSession) as kept:
+        # Stored, so that sampling the range bounds does not split the texts a second time.
+        lines = stage(
+            docs.select(*document_key(docs, id_col, text_col),
+                        F.posexplode(_lines(docs[text_col])).alias("pos", "line"))
+            .where(F.char_length(F.trim(line, F.lit(STRIPPED))) >= max(1, min_chars))
+            .select(F.xxhash64(F.lit(1), *parts).alias("h1"), F.xxhash64(*parts, F.lit(2)).alias("h2"),
+                    *DOC_KEY, "pos"),
+            "lines",
+        )
+        ranged = (
+            lines.repartitionByRange(*_HASH, *DOC_KEY)
+            .sortWithinPartitions(*_HASH, *DOC_KEY, "pos")
+        )
+        firsts = ranged.groupBy(*_HASH, *DOC_KEY).agg(F.collect_set("pos").alias("positions"))
+        firsts = kept.keep(stage(firsts, "line-keys"))
     common = stage(
         firsts.groupBy(*_HASH).agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
         .select(*_HASH),

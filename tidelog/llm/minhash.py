@@ -31,11 +31,13 @@ from pyspark.sql import functions as F
 from tidelog.llm.batches import map_texts, ship_package
 from tidelog.llm.components import LOOKUP_BYTES, connected_components
 from tidelog.operators.lookup import lookup_join
-from tidelog.session import stage
+from tidelog.session import scratch, stage
 
-BINS = 128
-BAND_ROWS = 4  # at similarity 0.8, all 32 bands differ with a chance of 5 in 10^8
-BLOCK = 256
+BINS = 256
+BANDS, BAND_ROWS = 32, 4  # at similarity 0.8, all bands differ with a chance of 5 in 10^8
+BLOCK = 1024
+# Sets of at most so many shingles are compared by two bytes of every shingle, larger ones by sketch.
+FOLDED = 512
 # Bins may fall short of the threshold by so many standard deviations before a pair is passed over.
 SLACK = 5.0
 
@@ -77,7 +79,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     cells = out.ravel()
     for i in range(2 * BINS):
         mixed = _mix(flat ^ _SEEDS[i])
-        bins = (mixed >> np.uint64(57)).astype(np.intp) if i < BINS else i - BINS
+        bins = (mixed >> np.uint64(56)).astype(np.intp) if i < BINS else i - BINS
         np.minimum.at(cells, owner * BINS + bins, (mixed & _VALUE) | np.uint64(i << 48))
         unfilled = (out == _EMPTY).any(axis=1)
         still = unfilled[owner]
@@ -90,9 +92,9 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
 
 def bands(sketch: np.ndarray) -> np.ndarray:
     """A 64-bit key for each band of each sketch."""
-    groups = sketch.reshape(len(sketch), -1, BAND_ROWS)
+    groups = sketch[:, :BANDS * BAND_ROWS].reshape(len(sketch), BANDS, BAND_ROWS)
     key = np.broadcast_to(
-        np.arange(1, groups.shape[1] + 1, dtype=np.uint64) * _MULTIPLY[0], groups.shape[:2]
+        np.arange(1, BANDS + 1, dtype=np.uint64) * _MULTIPLY[0], groups.shape[:2]
     ).copy()
     for i in range(BAND_ROWS):
         key = _mix(key ^ groups[:, :, i])
@@ -100,24 +102,33 @@ def bands(sketch: np.ndarray) -> np.ndarray:
 
 
 def _signatures(size: int):
-    """Per text: the size and digest of its set, the bands and a short form of the sketch."""
+    """Per text: the size and digest of its set, the bands, and what pairs are compared by.
+
+    ``brief`` holds a byte of every bin and four of every band; ``folded`` two bytes of each member
+    of a set that is not large.
+    """
 
     def step(texts: list[str | None]) -> dict[str, list]:
         sets = [shingles(t, size) for t in texts]
         full = [i for i, s in enumerate(sets) if len(s)]
         out = {
             "n": [len(s) for s in sets], "f1": [0] * len(sets), "f2": [0] * len(sets),
-            "bands": [[] for _ in sets], "sketch": [None] * len(sets),
+            "bands": [[] for _ in sets], "brief": [None] * len(sets), "folded": [None] * len(sets),
         }
         if full:
             made = sketches([sets[i] for i in full])
             keys = bands(made)
-            short = (_mix(made) >> np.uint64(48)).astype("<u2")
+            brief = np.hstack([
+                (_mix(made) >> np.uint64(56)).astype(np.uint8),
+                keys.astype("<u4").view(np.uint8).reshape(len(full), -1),
+            ])
             for row, i in enumerate(full):
                 digest = xxhash.xxh3_128_digest(sets[i].tobytes())
                 out["f1"][i], out["f2"][i] = np.frombuffer(digest, np.int64).tolist()
                 out["bands"][i] = keys[row]
-                out["sketch"][i] = short[row].tobytes()
+                out["brief"][i] = brief[row].tobytes()
+                if len(sets[i]) <= FOLDED:
+                    out["folded"][i] = (sets[i] >> np.uint64(48)).astype("<u2").tobytes()
         return out
 
     return step
@@ -135,42 +146,49 @@ def near_duplicates(
     Documents are linked if 100 * intersection >= ``percent`` * union of their shingle sets; the
     component is the smallest id reachable, and the row with that id is kept.
     """
-    source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    signed = stage(
-        map_texts(
-            source, ["id"], "text",
-            "n long, f1 long, f2 long, bands array<bigint>, sketch binary",
-            lambda: _signatures(shingle_words),
-        ),
-        "signatures",
-    )
-    real = signed.where("n > 0 AND id IS NOT NULL")
-    classes = stage(real.groupBy("f1", "f2").agg(F.min("id").alias("id")), "classes")
-    firsts = lookup_join(real, classes, ["f1", "f2", "id"], "left_semi", LOOKUP_BYTES)
-    banded = stage(firsts.select("id", "n", F.explode("bands").alias("band")), "bands")
-    buckets = stage(
-        banded.groupBy("band").agg(F.min(F.struct("id", "n")).alias("hub"),
-                                   F.count("*").alias("members"))
-        .where("members > 1")
-        .select("band", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), "members"),
-        "buckets",
-    )
-    in_hub = lookup_join(banded, buckets, "band", "inner", LOOKUP_BYTES)
-    small, large = F.least("n", "hub_n"), F.greatest("n", "hub_n")
-    pairs = in_hub.where((F.col("id") != F.col("hub")) & (100 * small >= percent * large))
-    pairs = stage(pairs.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-    links = stage(_confirmed(pairs, source, shingle_words, percent), "near-links")
-    part = stage(connected_components(links), "parts")
-    more = _missed(banded, buckets, part, firsts, percent)
-    if more is not None:
-        late = stage(_confirmed(more, source, shingle_words, percent), "near-links")
-        if not late.isEmpty():
-            part = stage(connected_components(links.unionByName(late)), "parts")
-    named = lookup_join(classes, part, "id", "left", LOOKUP_BYTES).select(
-        "f1", "f2", F.coalesce("component", "id").alias("component")
-    )
-    named = stage(named, "components")
-    rest = signed.select("id", "n", "f1", "f2")
+    with scratch(docs.sparkSession) as kept:
+        source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+        signed = stage(
+            map_texts(
+                source, ["id"], "text",
+                "n long, f1 long, f2 long, bands array<bigint>, brief binary, folded binary",
+                lambda: _signatures(shingle_words),
+            ),
+            "signatures",
+        )
+        real = signed.where("n > 0 AND id IS NOT NULL")
+        classes = stage(
+            real.groupBy("f1", "f2").agg(
+                F.min("id").alias("id"), F.min_by(F.struct("n", "bands"), "id").alias("of")
+            ).select("f1", "f2", "id", "of.n", "of.bands"),
+            "classes",
+        )
+        banded = stage(classes.select("id", "n", F.posexplode("bands").alias("no", "band")), "bands")
+        buckets = stage(
+            banded.groupBy("band").agg(F.min(F.struct("id", "n")).alias("hub"),
+                                       F.count("*").alias("members"))
+            .where("members > 1")
+            .select("band", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), "members"),
+            "buckets",
+        )
+        in_hub = banded.join(buckets, "band")  # buckets grow with the documents: never broadcast
+        small, large = F.least("n", "hub_n"), F.greatest("n", "hub_n")
+        pairs = in_hub.where((F.col("id") != F.col("hub")) & (100 * small >= percent * large))
+        pairs = pairs.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+        pairs = stage(pairs, "pairs")
+        links = stage(_confirmed(pairs, source, shingle_words, percent), "near-links")
+        part = stage(connected_components(links), "parts")
+        more = _missed(banded, buckets, part, real, percent)
+        if more is not None:
+            late = stage(_confirmed(more, source, shingle_words, percent), "near-links")
+            if not late.isEmpty():
+                part = stage(connected_components(links.unionByName(late)), "parts")
+        named = classes.select("f1", "f2", "id")
+        named = lookup_join(named, part, "id", "left", LOOKUP_BYTES).select(
+            "f1", "f2", F.coalesce("component", "id").alias("component")
+        )
+        named = kept.keep(stage(named, "components"))
+        rest = kept.keep(stage(signed.select("id", "n", "f1", "f2"), "documents"))
     joined = lookup_join(rest, named, ["f1", "f2"], "left", LOOKUP_BYTES)
     component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(
         F.col("id")
@@ -221,7 +239,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
 
 
 def _missed(
-    banded: DataFrame, buckets: DataFrame, part: DataFrame, firsts: DataFrame, percent: int
+    banded: DataFrame, buckets: DataFrame, part: DataFrame, signed: DataFrame, percent: int
 ) -> DataFrame | None:
     """Pairs from different components that share a bucket and may be similar, by their sketches.
 
@@ -232,7 +250,7 @@ def _missed(
     large = buckets.where("members > 2").select("band")
     inside = lookup_join(banded, large, "band", "left_semi", LOOKUP_BYTES)
     inside = lookup_join(inside, part, "id", "left", LOOKUP_BYTES).select(
-        "band", "id", "n", F.coalesce("component", "id").alias("component")
+        "band", "no", "id", "n", F.coalesce("component", "id").alias("component")
     )
     sizes = inside.groupBy("band", "component").agg(F.count("*").alias("size"))
     mixed = sizes.groupBy("band").agg(
@@ -265,30 +283,28 @@ def _missed(
         ),
     ).otherwise(F.transform(others, lambda x: F.struct(
         x.alias("i"), F.col("block").alias("j"), F.lit(True).alias("with_top"))))
-    rows = rows.select("band", "id", "n", "component", F.explode(places).alias("place"))
+    rows = rows.select("band", "no", "id", "n", "component", F.explode(places).alias("place"))
     place = ["band", "i", "j", "with_top"]
-    short = firsts.select("id", "sketch")
-    rows = rows.join(short, "id").select(
-        "band", "place.i", "place.j", "place.with_top", "id", "n", "component", "sketch"
+    rows = stage(rows, "meetings")
+    needed = stage(rows.select("id").distinct(), "needed")
+    forms = lookup_join(signed.select("id", "brief", "folded"), needed, "id", "left_semi",
+                        LOOKUP_BYTES).dropDuplicates(["id"])
+    rows = rows.join(forms, "id").select(
+        "band", "place.i", "place.j", "place.with_top", "id", "n", "component", "no", "brief",
+        "folded",
     )
     dealt = rows.repartition(*place).sortWithinPartitions(*place)
     share = percent / 100
     floor = BINS * (share - SLACK * (share * (1 - share) / BINS) ** 0.5)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, group in _groups(batches):
-            ids, n, parts, made = group
-            sketch = np.frombuffer(b"".join(made), np.uint16).reshape(len(ids), BINS)
-            for i in range(len(ids) - 1):
-                rest = slice(i + 1, None)
-                apart = parts[rest] != parts[i]
-                sized = 100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
-                at = np.flatnonzero(apart & sized) + i + 1
-                if len(at):
-                    at = at[(sketch[at] == sketch[i]).sum(axis=1) >= floor]
-                if len(at):
-                    a = np.full(len(at), ids[i])
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(ids[at])], ["a", "b"])
+        for group in _groups(batches):
+            pairs = _apart(group, percent, floor)
+            if pairs:
+                a, b = zip(*pairs, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
+                )
 
     found = dealt.mapInArrow(run, "a long, b long").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
@@ -296,6 +312,39 @@ def _missed(
     return stage(found.distinct(), "late-pairs")
 
 
+def _apart(group: pa.RecordBatch, percent: int, floor: float) -> list[tuple[int, int]]:
+    """Pairs of one meeting place from different components that may be similar.
+
+    A pair is taken up in the first band it shares and passed over in all others. Sets that are not
+    large are compared by the folds of their members: equal members have equal folds, so a pair
+    whose equal folds are too few is apart. Others are compared by their sketches alone.
+    """
+    ids, n, parts = (group.column(i).to_numpy(zero_copy_only=False) for i in (4, 5, 6))
+    no = group.column(7)[0].as_py()
+    brief = np.frombuffer(b"".join(group.column(8).to_pylist()), np.uint8).reshape(len(ids), -1)
+    bins, keys = brief[:, :BINS], np.ascontiguousarray(brief[:, BINS:]).view("<u4")
+    folds = [None if f is None else np.frombuffer(f, "<u2") for f in group.column(9).to_pylist()]
+    out = []
+    for i in range(len(ids) - 1):
+        rest = slice(i + 1, None)
+        apart = parts[rest] != parts[i]
+        sized = 100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
+        at = np.flatnonzero(apart & sized) + i + 1
+        if len(at):
+            at = at[(bins[at] == bins[i]).sum(axis=1) >= floor]
+            at = at[(keys[at] == keys[i]).argmax(axis=1) == no]
+        if len(at) and folds[i] is not None:
+            member = np.zeros(1 << 16, bool)
+            member[folds[i]] = True
+        for j in at.tolist():
+            if folds[i] is not None and folds[j] is not None:
+                shared = int(member[folds[j]].sum())
+                if 100 * shared < percent * (n[i] + n[j] - shared):
+                    continue
+            out.append((ids[i], ids[j]))
+    return out
+
+
 def _groups(batches: Iterable[pa.RecordBatch]):
     """Runs of rows with one meeting place, from sorted batches."""
     held = None
@@ -307,13 +356,7 @@ def _groups(batches: Iterable[pa.RecordBatch]):
             turns[1:] |= k[1:] != k[:-1]
         starts = [0, *np.flatnonzero(turns).tolist()]
         for a, b in zip(starts, starts[1:], strict=False):
-            yield _group(held, a, b)
+            yield held.slice(a, b - a)
         held = held.slice(starts[-1])
     if held is not None and held.num_rows:
-        yield _group(held, 0, held.num_rows)
-
-
-def _group(batch: pa.RecordBatch, a: int, b: int):
-    part = batch.slice(a, b - a)
-    ids, n, parts = (part.column(i).to_numpy(zero_copy_only=False) for i in (4, 5, 6))
-    return None, (ids, n, parts, part.column(7).to_pylist())
+        yield held

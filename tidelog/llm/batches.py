@@ -17,14 +17,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidelog.session import stage
 
 # Bytes that one step of a batch may hold; a longer text is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
+# Rows that Spark puts into one Arrow batch, on its side and in Python. Texts are long, so its default of
+# 10,000 rows would hold tens of megabytes in every task at once.
+BATCH_ROWS = "500"
 
 
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the Python workers of all executors, which need not have it installed.
 
-    Spark's own file service sends it; nothing is read from the driver's folders by path.
+    Spark's own file service sends it; nothing is read from the driver's folders by path. The session's
+    Arrow batches are made shorter, which bounds the memory of tasks and changes no result.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     _ship(spark.sparkContext.applicationId, spark.sparkContext)
 
 

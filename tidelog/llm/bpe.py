@@ -28,8 +28,8 @@ from tidelog.llm.batches import map_texts
 
 # Code points in one step of a long text, pieces in each of the cache's two generations, bytes of a
 # piece that is merged side by side with others, and the rank of a pair that cannot merge.
-CHUNK = 1 << 20
-CACHE_PIECES = 300_000
+CHUNK = 1 << 19
+CACHE_PIECES = 200_000
 SHORT = 48
 NEVER = 1 << 30
 

@@ -58,6 +58,38 @@ def test_long_runs_are_searched_whole():
     assert found == ["MIT"]
 
 
+def test_notices_inside_longer_sentences():
+    """Each notice amid 20 to 200 varied words, without any sentence or line end around it."""
+    rnd = random.Random(1)
+    scanner = licenses.Scanner()
+    for name, notice in licenses.NOTICES:
+        for size in (20, 60, 200):
+            prose = ["".join(rnd.choices("bdfgklmnoprstuvaeiou", k=rnd.randint(2, 10)))
+                     for _ in range(size)]
+            cut = rnd.randrange(size + 1)
+            before, after = " ".join(prose[:cut] + [""]), " ".join(["", *prose[cut:]])
+            bare = notice.rstrip(".:")
+            found = scanner.scan(f"{before}{bare}{after}")
+            assert [(n["license"], n["n_diff"]) for n in found] == [(name, 0)], (notice, size)
+    for text in [
+        "The source code of this package and its documentation are released under the MIT License "
+        "and contributions are welcome from everybody.",
+        "Copyright 2021 Jane Doe and others, all code in this repository is released under the MIT "
+        "license, see the file for details.",
+    ]:
+        assert names(text) == ["MIT"]
+
+
+def test_lines_with_two_notices():
+    text = ("Our code is released under the MIT License and, as for the manual, this work is licensed "
+            "under CC BY 4.0 since last year, while old parts stay released under the MIT License too")
+    found = licenses.Scanner().scan(text)
+    assert [text[n["start"]:n["stop"]] for n in found] == [
+        "released under the MIT License", "this work is licensed under CC BY 4.0",
+        "released under the MIT License"]
+    assert names("It was released under the license that the owner chose.") == []
+
+
 def test_edges(edges, nothing):
     rows = licenses.scan_licenses(edges).collect()
     assert sorted((repr(r.doc_id), len(r.notices)) for r in rows) == sorted(

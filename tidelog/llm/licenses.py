@@ -1,22 +1,23 @@
 """License scans: which license notices a text holds, by conditional compression.
 
-A candidate block is a sentence or line that uses words of the notices, or several in a row; long runs
-are cut into overlapping windows. Each block is compressed alone, and with every notice as a raw zstandard
-dictionary: what the dictionary saves says how much of the block the notice explains. The notices that
-save most are then compared with the block word by word, and the one with the fewest differences wins if
-they are few enough.
+Every notice is looked for in blocks of about its own length, wherever they stand in a sentence, line or
+wrapped paragraph: the words of a text that differ least from the notice's, as an exact alignment of the
+notice with the whole text finds them. Windows that lack too many of the notice's words to come within
+the allowed differences are passed over first, which loses nothing. Each block is then compressed alone,
+and with the notice as a raw zstandard dictionary: what the dictionary saves says how much of the block
+the notice explains. Of overlapping blocks the closest one wins; all that do not overlap are reported.
 
 Defined results: null and empty texts hold no notice; ties go to the larger saving, then to the name that
-sorts first; blocks that repeat in a text are reported once each; rows are scanned one by one, so repeated
-rows get equal results; an empty table gives an empty table; only the named columns are read.
+sorts first; notices that repeat in a text are reported once each; rows are scanned one by one, so
+repeated rows get equal results; an empty table gives an empty table; only the named columns are read.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from difflib import SequenceMatcher
+from collections import Counter
 
+import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
 
@@ -57,20 +58,19 @@ _PLAIN = frozenset(
 # One of these words makes a candidate; of the notices' other rare words it takes two.
 _TELLING = frozenset("license licensed licence licenced copyright redistribution".split())
 
-# A notice may differ from its template by this share of the template's words. Savings below the least
-# share of the block's compressed size are not looked into.
+# A notice may differ from its template by this share of the template's words. The dictionary must save
+# this share of the compressed size of a block, which is about as long as the notice.
 MAX_DIFFERENCE, LEAST_SAVING = 0.2, 0.15
-# Words that a line beside a candidate may have to be tried as its first or last line.
-_BESIDE = 20
 
 _TELLING_BYTES = frozenset(w.encode() for w in _TELLING)
 _APART = bytes(b if b < 0x80 and chr(b).isalnum() else 0x20 for b in range(256))
-_WORD = re.compile(r"[a-z0-9]+")
-_END = re.compile(r"\n|(?<=[.!?])\s+")
+_WORD = re.compile(r"[A-Za-z0-9]+")
+# What closes a notice belongs to its span.
+_CLOSE = re.compile(r"""["')\]]*[.!?:;]?""")
 
 
 def _words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [w.lower() for w in _WORD.findall(text)]
 
 
 class Scanner:
@@ -82,7 +82,10 @@ class Scanner:
             w for _, words in self.notices for w in words if len(w) > 3 and w.isalpha()
         ) - _PLAIN
         self.rare_bytes = frozenset(w.encode() for w in self.rare)
-        self.longest = max(len(words) for _, words in self.notices)
+        names = Counter(w for w, _ in {(w, n) for n, words in self.notices for w in words})
+        self.distinct = [sorted(set(words)) for _, words in self.notices]
+        # Words of one license only: a block has to hold one of them, where the notice has any.
+        self.own = [frozenset(w for w in words if names[w] == 1) for words in self.distinct]
         self.alone = zstandard.ZstdCompressor(level=19)
         self.given = []
         for _, words in self.notices:
@@ -95,85 +98,96 @@ class Scanner:
     def _telling(words, rare: frozenset, telling: frozenset) -> bool:
         return not telling.isdisjoint(words) or len(rare.intersection(words)) > 1
 
-    def blocks(self, text: str) -> Iterator[tuple[int, int, list[str]]]:
-        """Candidate spans of a text with their words: single sentences, and runs of them."""
-        # Most texts are told by their set of words alone.
-        every = set(text.lower().encode("utf-8", "replace").translate(_APART).split())
-        if not self._telling(every, self.rare_bytes, _TELLING_BYTES):
-            return
-        run: list[tuple[int, int, list[str]]] = []
-        before = None
-        at = 0
-        ends = [*((m.start(), m.end()) for m in _END.finditer(text)), (len(text), len(text))]
-        for stop, then in ends:
-            words = _words(text[at:stop])
-            unit = (at, stop, words)
-            if self._telling(words, self.rare, _TELLING):
-                # A wrapped notice may begin, and end, on a line without any telling word.
-                run += [before] if before and not run else []
-                run.append(unit)
-                before = None
-            elif words:
-                beside = unit if len(words) <= _BESIDE else None
-                yield from self._cut(run + [beside] if run and beside else run)
-                run, before = [], beside
-            at = then
-        yield from self._cut(run)
-
-    def _cut(self, run: list) -> Iterator[tuple[int, int, list[str]]]:
-        for start, stop, words in run:
-            if len(words) <= 2 * self.longest:
-                yield start, stop, words
-            else:
-                for i in range(0, len(words) - self.longest, self.longest):
-                    yield start, stop, words[i:i + 2 * self.longest]
-        # A notice may be wrapped over lines: each start of a run, as far as a notice can reach.
-        for i in range(len(run) - 1):
-            words, j = list(run[i][2]), i + 1
-            while j < len(run) and len(words) + len(run[j][2]) <= 2 * self.longest:
-                words += run[j][2]
-                yield run[i][0], run[j][1], list(words)
-                j += 1
-
-    def savings(self, words: list[str]) -> list[tuple[float, int]]:
-        """What each notice saves of the block's compressed size, most first."""
+    def regions(self, i: int, at: dict[str, np.ndarray], size: int) -> list[tuple[int, int]]:
+        """Runs of words, of ``size``, outside of which notice ``i`` cannot be."""
+        allowed = int(MAX_DIFFERENCE * len(self.notices[i][1]))
+        own = [at[w] for w in self.distinct[i] if w in at]
+        least = max(1, len(self.distinct[i]) - allowed)
+        if len(own) < least:
+            return []
+        # Different words of the notice in the window that ends with each word.
+        reach = len(self.notices[i][1]) + allowed
+        change = np.zeros(size + 1, np.int32)
+        for places in own:
+            ends = np.minimum(places + reach, size)
+            ends[:-1] = np.minimum(ends[:-1], places[1:])
+            np.add.at(change, places, 1)
+            np.subtract.at(change, ends, 1)
+        full = np.flatnonzero(np.cumsum(change[:-1]) >= least)
+        if not len(full):
+            return []
+        cuts = np.flatnonzero(np.diff(full) > reach)
+        starts, stops = full[np.append(0, cuts + 1)], full[np.append(cuts, len(full) - 1)]
+        return [(max(0, int(a) - reach + 1), int(b) + 1)
+                for a, b in zip(starts, stops, strict=True)]
+
+    def align(self, i: int, words: list[str]) -> list[tuple[int, int, int]]:
+        """Blocks within the allowed differences of notice ``i``: differences, first word, end.
+
+        Differences are the notice's words that are missing and the words of others in between; of
+        blocks with one end, the one with the fewest differences, and of these the shortest.
+        """
+        notice = self.notices[i][1]
+        allowed, n = int(MAX_DIFFERENCE * len(notice)), len(words)
+        codes = {w: k for k, w in enumerate(self.distinct[i])}
+        got = np.array([codes.get(w, -1) for w in words], np.int64)
+        # Costs in steps of ``unit``; below that, the later start is the smaller number.
+        unit, place = n + 1, np.arange(n + 1, dtype=np.int64)
+        row = n - place
+        for w in notice:
+            new = row + unit
+            same = np.flatnonzero(got == codes[w]) + 1
+            new[same] = np.minimum(new[same], row[same - 1])
+            row = np.minimum.accumulate(new - place * unit) + place * unit
+        cost, start = row // unit, n - row % unit
+        # The last word of a block is the notice's: one word less is no closer.
+        ends = np.flatnonzero((cost[1:] <= allowed) & (cost[1:] <= cost[:-1])) + 1
+        return [(int(cost[e]), int(start[e]), int(e)) for e in ends if start[e] < e]
+
+    def saving(self, i: int, words: list[str]) -> float:
+        """What notice ``i`` saves of the words' compressed size."""
         data = " ".join(words).encode()
         alone = len(self.alone.compress(data))
-        ranked = [((alone - len(z.compress(data))) / alone, i) for i, z in enumerate(self.given)]
-        return sorted(ranked, key=lambda x: (-x[0], self.notices[x[1]][0], x[1]))
-
-    def differences(self, notice: list[str], words: list[str]) -> int:
-        """Words of the notice that are missing, and words of others among those that match."""
-        match = SequenceMatcher(None, notice, words, autojunk=False).get_matching_blocks()[:-1]
-        if not match:
-            return len(notice)
-        same = sum(m.size for m in match)
-        return len(notice) - same + (match[-1].b + match[-1].size - match[0].b) - same
+        return (alone - len(self.given[i].compress(data))) / alone
 
     def scan(self, text: str | None) -> list[dict]:
         """The notices of a whole text, in order; of overlapping blocks the closest match."""
-        found = []
-        for start, stop, words in self.blocks(text or ""):
-            best = None
-            for saving, i in self.savings(words):
-                if saving < LEAST_SAVING:
-                    break
-                name, notice = self.notices[i]
-                apart = self.differences(notice, words)
-                if apart <= MAX_DIFFERENCE * len(notice):
-                    rank = (apart / len(notice), -saving, name)
-                    if best is None or rank < best[0]:
-                        best = (rank, {
-                            "start": start, "stop": stop, "license": name, "saving": saving,
-                            "n_diff": apart,
-                        })
-            if best:
-                found.append(best)
-        out: list[dict] = []
-        for _, hit in sorted(found, key=lambda x: (x[0], x[1]["start"], x[1]["stop"])):
-            if all(hit["stop"] <= o["start"] or hit["start"] >= o["stop"] for o in out):
+        # Most texts are told by their set of words alone.
+        every = set((text or "").lower().encode("utf-8", "replace").translate(_APART).split())
+        if not self._telling(every, self.rare_bytes, _TELLING_BYTES):
+            return []
+        spans = [m.span() for m in _WORD.finditer(text)]
+        words = [text[a:b].lower() for a, b in spans]
+        wanted = frozenset(w for distinct in self.distinct for w in distinct)
+        at: dict = {}
+        for k, w in enumerate(words):
+            if w in wanted:
+                at.setdefault(w, []).append(k)
+        at = {w: np.array(places) for w, places in at.items()}
+        found, savings = [], {}
+        for i, (name, notice) in enumerate(self.notices):
+            for a, b in self.regions(i, at, len(words)):
+                for apart, start, stop in self.align(i, words[a:b]):
+                    block = words[a + start:a + stop]
+                    if self.own[i] and self.own[i].isdisjoint(block):
+                        continue
+                    key = (i, tuple(block))
+                    if key not in savings:
+                        savings[key] = self.saving(i, block)
+                    if savings[key] >= LEAST_SAVING:
+                        found.append((apart / len(notice), -savings[key], name, a + start,
+                                      a + stop, apart))
+        out: list[tuple] = []
+        taken = np.zeros(len(words), bool)
+        for hit in sorted(found):
+            if not taken[hit[3]:hit[4]].any():
+                taken[hit[3]:hit[4]] = True
                 out.append(hit)
-        return sorted(out, key=lambda x: x["start"])
+        return [
+            {"start": spans[start][0], "stop": _CLOSE.match(text, spans[stop - 1][1]).end(),
+             "license": name, "saving": -saved, "n_diff": apart}
+            for _, saved, name, start, stop, apart in sorted(out, key=lambda x: x[3])
+        ]
 
 
 def scan_licenses(

@@ -15,8 +15,8 @@ from tidelog.llm.queries import table, vocabulary_path
 from tidelog.operators.lookup import lookup_join
 from tidelog.session import stage
 
-# A text whose language wins with less than this share of the votes is rejected, as is ``und``.
-MIN_SCORE = 0.25
+# A text that fits every learned language worse than chance is rejected, as is ``und``.
+MIN_FIT = 0.0
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        docs["text"].alias("text"))
     found = language_id.predict_keeping(rows, model, ["row"])
-    known = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_SCORE))
+    known = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("fit") >= MIN_FIT))
     return known.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -59,3 +60,21 @@ def test_unknown_languages_go(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     left = corpus_pipeline.keep_known_languages(spark, docs, SMALL)
     assert sorted(r.doc_id for r in left.collect()) == [*range(8), 22]
+
+
+def test_gibberish_and_unlearned_languages_go(spark):
+    rnd = random.Random(0)
+    mash = " ".join("".join(rnd.choices("asdfghjklqwertyuiopzxcvbnm", k=rnd.randint(2, 9)))
+                    for _ in range(60))
+    hexes = " ".join(f"{rnd.getrandbits(64):016x}" for _ in range(60))
+    polish = ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni "
+              "obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.")
+    russian = ("Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены "
+               "разумом и совестью и должны поступать в отношении друг друга в духе братства.")
+    given = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    new = [(-1, mash, None), (-2, hexes, None), (-3, polish, None), (-4, russian, None),
+           (-5, "asdkjh qwoeiu zxmcnb qpwoei", None)]
+    docs = given.unionByName(spark.createDataFrame(new, given.schema))
+    left = corpus_pipeline.keep_known_languages(spark, docs, SMALL)
+    # Of the given texts all stay, and of the new ones none.
+    assert sorted(r.doc_id for r in left.collect()) == sorted(r.doc_id for r in given.collect())

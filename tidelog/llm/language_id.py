@@ -5,6 +5,11 @@ one for each pair of classes, vote: first between families, then between the lan
 that won. The machines are trained in numpy on a bounded sample that is spread evenly over the
 languages; every text is scored whole, in place, without a shuffle.
 
+Machines choose between the learned languages, whatever the text. How well a text fits a language is
+measured apart: the mean log ratio of its trigrams' shares in that language to even chance, with three
+standard errors granted to it. The fit is that of the chosen language or, if its trigrams are less likely
+there than by chance, of the language it fits best; it is negative for texts that fit none.
+
 Defined results: a null text or one without a letter is ``und`` with score 0, and so is every text if
 no language can be learned; ties go to the name that sorts first; a language with one document is
 learned from it; rows are scored one by one, so repeated rows get equal results; an empty table gives
@@ -30,6 +35,8 @@ TRAIN_DOCS = 2400
 MAX_LANGUAGES = 400
 # Votes are logistic in the margin, with this slope.
 SLOPE = 4.0
+# Standard errors granted to the fit of a text, and the least share of chance in a language's trigrams.
+ERRORS, CHANCE = 3.0, 0.1
 # Families of languages with close relatives; any other language is its own family.
 FAMILIES = {
     "germanic": "af da de en fy is lb nb nl nn no sv yi",
@@ -51,15 +58,19 @@ def family(lang: str) -> str:
     return _FAMILY.get(lang.lower().split("-")[0], lang)
 
 
-def features(text: str) -> np.ndarray:
-    """Square roots of the shares of hashed trigrams of letters and gaps, over the whole text."""
+def trigrams(text: str) -> np.ndarray:
+    """Counts of hashed trigrams of letters and gaps, over the whole text."""
     data = (" " + text.lower() + " ").encode("utf-8", "replace").translate(_BARE)
     b = np.frombuffer(data, np.uint8).astype(np.uint32)
     gap = b == 0x20
     real = ~(gap[:-2] & gap[1:-1] | gap[1:-1] & gap[2:])
     mixed = (b[:-2] * 0x9E3779B1 ^ b[1:-1] * 0x85EBCA77 ^ b[2:] * 0xC2B2AE3D)[real]
     mixed ^= mixed >> 15
-    counts = np.bincount(mixed * np.uint32(0x2C1B3C6D) >> 20, minlength=SLOTS)
+    return np.bincount(mixed * np.uint32(0x2C1B3C6D) >> 20, minlength=SLOTS)
+
+
+def features(counts: np.ndarray) -> np.ndarray:
+    """Square roots of the shares of trigrams."""
     return np.sqrt(counts / max(1, counts.sum())).astype(np.float32)
 
 
@@ -116,15 +127,28 @@ class Votes:
         return total / (len(self.names) - 1)
 
 
+def log_ratios(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Log ratios of a language's trigrams to chance, from its texts' features and trigram counts.
+
+    Chance has the share that new trigrams have in the texts: the fewer were seen, the more.
+    """
+    shares = (x.astype(np.float64) ** 2).mean(axis=0)
+    shares /= max(shares.sum(), 1e-9)
+    kinds = np.count_nonzero(shares)
+    chance = max(CHANCE, kinds / max(1, kinds + sizes.sum()))
+    return np.log((1 - chance) * shares * SLOTS + chance)
+
+
 @dataclass
 class Model:
-    """Machines between families, and between the languages of each."""
+    """Machines between families, and between the languages of each; log ratios by language."""
 
     families: Votes
     within: dict[str, Votes]
+    ratios: dict[str, np.ndarray]
 
     @staticmethod
-    def train(x: np.ndarray, langs: list[str]) -> Model | None:
+    def train(x: np.ndarray, langs: list[str], sizes: list[int]) -> Model | None:
         if not langs:
             return None
         names = sorted(set(langs))
@@ -134,13 +158,18 @@ class Model:
             own = [i for i, k in enumerate(kinds) if k == kind]
             inside = [lang for lang in names if family(lang) == kind]
             within[kind] = Votes.train(x[own], [langs[i] for i in own], inside)
-        return Model(Votes.train(x, kinds, sorted(set(kinds))), within)
+        got, sizes = np.array(langs), np.array(sizes)
+        ratios = {lang: log_ratios(x[got == lang], sizes[got == lang]) for lang in names}
+        return Model(Votes.train(x, kinds, sorted(set(kinds))), within, ratios)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float | None]]:
+        """Languages, scores and fits; ``und`` has no fit."""
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        fits: list[float | None] = [None] * len(texts)
         rows = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
         if rows:
-            x = np.stack([features(texts[i]) for i in rows])
+            counts = [trigrams(texts[i]) for i in rows]
+            x = np.stack([features(c) for c in counts])
             shares = self.families.shares(x)
             best = shares.argmax(axis=1)
             for k, kind in enumerate(self.families.names):
@@ -151,7 +180,22 @@ class Model:
                     for j, p, i in zip(inside.argmax(1), inside.max(1), own, strict=True):
                         langs[rows[i]] = votes.names[j]
                         scores[rows[i]] = float(p * shares[i, k])
-        return langs, scores
+                        fit = self.fit_of(counts[i], votes.names[j])
+                        if fit < 0:
+                            fit = max(self.fit_of(counts[i], lang) for lang in self.ratios)
+                        fits[rows[i]] = fit
+        return langs, scores, fits
+
+    def fit_of(self, counts: np.ndarray, lang: str) -> float:
+        """The mean log ratio of a text's trigrams, with the standard errors granted to it."""
+        at = np.flatnonzero(counts)
+        n = counts[at].sum()
+        if not n:
+            return 0.0
+        ratios = self.ratios[lang][at]
+        mean = counts[at] @ ratios / n
+        spread = max(0.0, counts[at] @ (ratios - mean) ** 2 / n)
+        return float(mean + ERRORS * (spread / n) ** 0.5)
 
 
 def fit(
@@ -183,41 +227,47 @@ def fit(
     ).withColumn("draw", draw)
 
     def make():
-        return lambda texts: {"x": [features(t).astype("<f2").tobytes() for t in texts]}
+        def step(texts):
+            counts = [trigrams(t) for t in texts]
+            return {"x": [features(c).astype("<f2").tobytes() for c in counts],
+                    "n": [int(c.sum()) for c in counts]}
+
+        return step
 
-    made = map_texts(some, ["lang", "draw"], "text", "x binary", make)
+    made = map_texts(some, ["lang", "draw"], "text", "x binary, n long", make)
     first = Window.partitionBy("lang").orderBy("draw", "x")
     rows = made.withColumn("r", F.row_number().over(first)).where(F.col("r") <= each).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r.lang, r.r))
     x = np.stack([np.frombuffer(r.x, "<f2") for r in rows]).astype(np.float32)
-    return Model.train(x, [r.lang for r in rows])
+    return Model.train(x, [r.lang for r in rows], [r.n for r in rows])
 
 
 def predict(
     docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The id column with ``lang_pred`` and ``score`` (0 to 1) of every whole text."""
-    return predict_keeping(docs, model, [id_col], text_col)
+    return predict_keeping(docs, model, [id_col], text_col).drop("fit")
 
 
 def predict_keeping(
     docs: DataFrame, model: Model | None, keep: list[str], text_col: str = "text"
 ) -> DataFrame:
-    """The ``keep`` columns with ``lang_pred`` and ``score``."""
+    """The ``keep`` columns with ``lang_pred``, ``score`` and ``fit`` (null for ``und``)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         def step(texts):
             if shared.value is None:
-                return {"lang_pred": [UNKNOWN] * len(texts), "score": [0.0] * len(texts)}
-            langs, scores = shared.value.predict(texts)
-            return {"lang_pred": langs, "score": scores}
+                n = len(texts)
+                return {"lang_pred": [UNKNOWN] * n, "score": [0.0] * n, "fit": [None] * n}
+            langs, scores, fits = shared.value.predict(texts)
+            return {"lang_pred": langs, "score": scores, "fit": fits}
 
         return step
 
-    return map_texts(docs, keep, text_col, "lang_pred string, score double", make)
+    return map_texts(docs, keep, text_col, "lang_pred string, score double, fit double", make)
 
 
 def held_out(docs: DataFrame, id_col: str = "doc_id"):

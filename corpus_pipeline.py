@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import bpe, decontamination, language_id, line_dedup, minhash
+from tidelog.llm.batches import document_key
 from tidelog.llm.queries import table, vocabulary_path
 from tidelog.operators.lookup import lookup_join
 from tidelog.session import stage
@@ -41,15 +42,39 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    found = minhash.near_duplicates(docs, shingle_words=5, percent=80)
-    gone = stage(found.where(~F.col("kept")).select("doc_id").distinct(), "copies")
-    left = lookup_join(docs, gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = left.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
-    if repeated.isEmpty():
-        return left
-    named = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(left.where("doc_id IS NULL"))
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more.
+
+    A document is an id with its text. Where ids stand for several texts, hashes of both take the ids'
+    place, and each group keeps its smallest id. Rows without an id all stay.
+    """
+    k1 = document_key(docs, "doc_id", "text")[0]
+    named = docs["doc_id"].isNotNull()
+    texts = docs.select(docs["doc_id"].alias("id"), k1.alias("k")).where("id IS NOT NULL")
+    clashes = texts.groupBy("id").agg(F.min("k").alias("a"), F.max("k").alias("b")).where("a <> b")
+    clash = not clashes.isEmpty()
+    keyed = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("id"),
+        docs["text"].alias("text"), (F.when(named, k1) if clash else docs["doc_id"]).alias("key"),
+    )
+    found = minhash.near_duplicates(keyed, "key", shingle_words=5, percent=80)
+    if clash:
+        members = found.where("key IS NOT NULL").select("key", "component_id").distinct().join(
+            keyed.select("key", "id").distinct(), "key"
+        )
+        members = stage(members, "members")
+        least = stage(
+            members.groupBy("component_id").agg(F.min(F.struct("id", "key")).alias("least")), "least"
+        )
+        found = lookup_join(members, least, "component_id").select(
+            "key", (F.col("key") == F.col("least.key")).alias("kept")
+        )
+    gone = stage(found.where(~F.col("kept")).select("key").distinct(), "copies")
+    left = lookup_join(keyed, gone, "key", "left_anti")
+    repeated = left.groupBy("key").count().where("count > 1 AND key IS NOT NULL")
+    if not repeated.isEmpty():
+        once = left.where("key IS NOT NULL").dropDuplicates(["key"])
+        left = once.unionByName(left.where("key IS NULL"))
+    return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,3 +78,18 @@ def test_gibberish_and_unlearned_languages_go(spark):
     left = corpus_pipeline.keep_known_languages(spark, docs, SMALL)
     # Of the given texts all stay, and of the new ones none.
     assert sorted(r.doc_id for r in left.collect()) == sorted(r.doc_id for r in given.collect())
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    """Only copies go: neither other texts of a copy's id, nor all but one text of an id."""
+    prose = "nobody knew where the river went and the old men said nothing of it that {} day"
+    rows = [(1, prose.format("first"), "a"), (2, prose.format("first"), "b"),
+            (2, "quite another text that shares its id with a copy of the first one", "c"),
+            (3, "one text of three words", "d"), (3, "and one with other words in it", "e"),
+            (3, "and one with other words in it", "f"), (None, prose.format("first"), "g"),
+            (0, "and one with other words in it", "h"), (5, "", "i"), (5, None, "j")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    left = corpus_pipeline.keep_one_of_each_group(spark, docs, SMALL)
+    assert left.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=repr)
+    assert got == sorted(((i, t) for i, t, k in rows if k in "acdghij"), key=repr)

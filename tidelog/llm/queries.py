@@ -1,7 +1,8 @@
-"""The registered queries of the ten operators, and the SQL of those that SQL can express."""
+"""The registered queries of the operators, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,12 @@ from tidelog.llm import (
     licenses,
     line_dedup,
     lm_scoring,
+    merkle,
     minhash,
     quality,
+    top_products,
     toxicity,
+    vector_codes,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +194,168 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", lm_scoring.held_out(found).alias("held_out"), "n_tokens", "n_known",
         "train_tokens", "base_score", "score",
     )
+
+
+# Integer components of the vectors that take part, as a table of rows (vec_id, label, i, x).
+INTEGERS = """kept AS (
+  SELECT vec_id, label, embedding AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+cell AS (
+  SELECT vec_id, label, unnest(range(len(v))) AS i,
+    unnest(list_transform(v, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT))) AS x
+  FROM kept)"""
+
+
+def _assigned(number: int) -> str:
+    """Nearest entries by the codebooks of round ``number``; a distance and its entry are one number."""
+    return f"""a{number} AS MATERIALIZED (
+  SELECT vec_id, label, p, min(d * 64 + j) % 64 AS j, min(d * 64 + j) // 64 AS d
+  FROM (SELECT vec_id, label, p, j, sum((part.x - c.x) * (part.x - c.x))::BIGINT AS d
+        FROM part JOIN c{number} c USING (p, w) GROUP BY ALL)
+  GROUP BY vec_id, label, p)"""
+
+
+def _averaged(number: int) -> str:
+    """The codebooks after round ``number``: floored means, unused entries as they were."""
+    return f"""c{number} AS MATERIALIZED (
+  SELECT p, j, w, coalesce((s - ((s % n) + n) % n) // n, x) AS x
+  FROM c{number - 1} LEFT JOIN (
+    SELECT p, j, w, sum(x)::BIGINT AS s, count(*) AS n
+    FROM part JOIN a{number - 1} USING (vec_id, p) GROUP BY p, j, w) USING (p, j, w))"""
+
+
+@_query("op11_vector_codes", f"""
+WITH {INTEGERS},
+part AS MATERIALIZED (
+  SELECT vec_id, label, i // n AS p, i % n AS w, x
+  FROM cell, (SELECT (max(i) + 1) // 16 AS n FROM cell)),
+c0 AS MATERIALIZED (
+  SELECT p, j, w, x FROM part JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS j
+    FROM kept ORDER BY vec_id LIMIT 64) USING (vec_id)),
+{_assigned(0)}, {_averaged(1)}, {_assigned(1)}, {_averaged(2)}, {_assigned(2)},
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', CAST(j AS INTEGER)), '' ORDER BY p) AS code,
+    sum(d)::BIGINT AS error
+  FROM a2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, j, w)) FROM c2) AS codebooks_sha256
+FROM coded
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digest = hashlib.sha256((books.text() if books else "").encode()).hexdigest()
+    return found.select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error",
+        F.lit(digest).alias("codebooks_sha256"),
+    )
+
+
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _row_digest(text: str) -> str:
+    parts = [f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in
+             ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _climb(name: str, start: str) -> str:
+    """All levels of trees whose leaves are ``start`` (tree, idx, n, h): runs of three make a node."""
+    return f"""{name}(tree, level, idx, n, h) AS (
+  SELECT tree, 0, idx, n, h FROM {start}
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 3, n)"""
+
+
+def _steps(name: str, tree: str) -> str:
+    """Per leaf and level of ``tree``, what comes before its own node in the run and what after it."""
+    return f"""{name} AS (
+  SELECT o.tree, o.idx, o.level,
+    coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx < o.own), '') AS before,
+    coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx > o.own), '') AS after
+  FROM (SELECT a.tree, a.idx, l.level, a.idx // CAST(3 ** l.level AS BIGINT) AS own
+        FROM {tree} a JOIN (SELECT DISTINCT tree, level FROM {tree} WHERE n > 1) l
+          ON a.level = 0 AND a.tree IS NOT DISTINCT FROM l.tree) o
+  JOIN {tree} s ON s.tree IS NOT DISTINCT FROM o.tree AND s.level = o.level
+    AND s.idx // 3 = o.own // 3
+  GROUP BY o.tree, o.idx, o.level)"""
+
+
+@_query("op12_merkle_manifest", f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source AS tree, {_row_digest("text")} AS leaf,
+    CASE WHEN list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+        lambda c: CAST(ascii(c) AS BIGINT)), lambda r, b: list_reduce(
+          [xor(r, b)] || [0, 0, 0, 0, 0, 0, 0, 0],
+          lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))) % 2 = 1
+      THEN {_row_digest("replace(text, chr(10), '')")} END AS tampered
+  FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY tree) AS n, leaf AS h FROM docs),
+{_climb("grown", "leaves")},
+subroots AS MATERIALIZED (
+  SELECT tree AS source, h, CAST(NULL AS VARCHAR) AS tree,
+    row_number() OVER (ORDER BY encode(tree) NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+  FROM grown WHERE n = 1),
+{_climb("top", "subroots")},
+{_steps("inner_steps", "grown")}, {_steps("top_steps", "top")},
+path AS MATERIALIZED (
+  SELECT d.tree, d.idx, s.level AS k, before, after
+  FROM leaves d JOIN inner_steps s ON s.tree IS NOT DISTINCT FROM d.tree AND s.idx = d.idx
+  UNION ALL
+  SELECT d.tree, d.idx, 1000 + s.level, before, after
+  FROM leaves d JOIN subroots r ON r.source IS NOT DISTINCT FROM d.tree
+    JOIN top_steps s ON s.idx = r.idx),
+ordered AS MATERIALIZED (
+  SELECT tree, idx, before, after, row_number() OVER (PARTITION BY tree, idx ORDER BY k) AS k
+  FROM path),
+folded(tree, idx, k, h) AS (
+  SELECT tree, idx, 0, coalesce(tampered, leaf) FROM leaves
+  UNION ALL
+  SELECT f.tree, f.idx, f.k + 1, sha256(o.before || f.h || o.after)
+  FROM folded f JOIN ordered o
+    ON o.tree IS NOT DISTINCT FROM f.tree AND o.idx = f.idx AND o.k = f.k + 1),
+proof AS (
+  SELECT tree, idx, max(k) AS k, string_agg(before || after, '' ORDER BY k) AS p
+  FROM ordered GROUP BY tree, idx),
+root AS (SELECT h FROM top WHERE n = 1)
+SELECT d.doc_id, d.leaf, r.h AS subroot, root.h AS root, sha256(coalesce(p.p, '')) AS proof_sha256,
+  f.h AS folded_root, f.h = root.h AS verified
+FROM leaves d JOIN subroots r ON r.source IS NOT DISTINCT FROM d.tree
+  LEFT JOIN proof p ON p.tree IS NOT DISTINCT FROM d.tree AND p.idx = d.idx
+  JOIN folded f ON f.tree IS NOT DISTINCT FROM d.tree AND f.idx = d.idx AND f.k = coalesce(p.k, 0),
+  root
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the rows later present a text without line breaks; rows without an id never do."""
+    docs = table(spark, sf_dir, "documents")
+    stripped = F.replace(docs["text"], F.lit("\n"), F.lit(""))
+    changed = merkle.leaf_digest([docs[c] for c in FIELDS[:-1]] + [stripped])
+    drawn = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 2 == 0
+    manifest = merkle.build(docs, FIELDS, claim=F.when(drawn, changed))
+    found = merkle.prove(manifest, docs)
+    return found.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@_query("op13_exact_top_k", f"""
+WITH {INTEGERS},
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM cell q JOIN cell c USING (i) WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+  GROUP BY 1, 2),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products.top_products(
+        table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, k=5
+    )

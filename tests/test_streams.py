@@ -11,14 +11,7 @@ from tidelog.operators import batching, delivery
 from tidelog.schema import RAW_MESSAGE
 from tidelog.session import workspace
 from tidelog.sinks.publish import Publisher, read_rejects
-from tidelog.sources.spool import (
-    SpoolLayout,
-    append_spool,
-    open_queue,
-    read_queue,
-    stream_raw,
-    write_spool,
-)
+from tidelog.sources.spool import open_queue, read_queue, stream_raw
 from tidelog.streaming import jobs as p
 from tidelog.streaming.batches import (
     batch_path,
@@ -27,14 +20,16 @@ from tidelog.streaming.batches import (
     write_batch,
 )
 
-LAYOUT = SpoolLayout(batch_size=25, partitions=2)
-ONE_BY_ONE = SpoolLayout(batch_size=25, partitions=1)
+def store(raw, path, start=0, stop=10**9, files=1):
+    """Append the messages from one position to before another, in so many files."""
+    inside = raw.where((F.col("spool_seq") >= start) & (F.col("spool_seq") < stop))
+    inside.repartitionByRange(files, "spool_seq").write.mode("append").parquet(path)
 
 
 @pytest.fixture(scope="module")
 def spool(spark, hundred):
     path = workspace(spark, "spool")
-    write_spool(hundred, path, LAYOUT)
+    store(hundred, path, files=3)
     return path
 
 
@@ -42,19 +37,6 @@ def seqs(df):
     return sorted(r.spool_seq for r in df.select("spool_seq").collect())
 
 
-def test_files_hold_one_batch_each(spark, spool):
-    sizes = read_queue(spark, spool).groupBy(F.input_file_name().alias("f")).agg(
-        F.count("*").alias("n"), (F.max("spool_seq") - F.min("spool_seq")).alias("span")).collect()
-    assert [(r.n, r.span) for r in sizes] == [(25, 24)] * 4
-
-
-def test_a_spool_needs_positions_without_gaps(spark, hundred):
-    with pytest.raises(ValueError, match="without gaps"):
-        write_spool(hundred.where("spool_seq <> 50"), workspace(spark, "gap"), LAYOUT)
-    with pytest.raises(ValueError, match="above 0"):
-        append_spool(hundred, workspace(spark, "zero"), 0)
-
-
 def test_files_of_any_age_are_read(spark, hundred):
     path, out, checkpoint = (workspace(spark, n) for n in ("old", "out", "cp"))
     for i, days in enumerate((0, 30)):
@@ -68,17 +50,6 @@ def test_files_of_any_age_are_read(spark, hundred):
     assert seqs(spark.read.parquet(out)) == list(range(100))
 
 
-def test_longer_files_than_a_batch_are_refused(spark, spool):
-    for size, fits in ((25, True), (24, False)):
-        reader = QueueReader(spark).options(queue=spool, batchSize=str(size), partitions="1")
-        if fits:
-            assert reader.load().isStreaming
-        else:
-            with pytest.raises(ValueError, match="25 messages"):
-                reader.load()
-        assert reader.loadBatch().count() == 100
-
-
 def test_another_folder_is_refused(spark, hundred):
     path = workspace(spark, "other")
     hundred.select("spool_seq", F.col("rgmid").alias("Id")).write.parquet(path)
@@ -134,7 +105,7 @@ def test_batches_come_in_message_order(spark, spool):
 
 def test_same_checkpoint_starts_no_batch_until_messages_come(spark, hundred):
     path, out, checkpoint = (workspace(spark, n) for n in ("spool", "out", "cp"))
-    write_spool(hundred, path, LAYOUT, 0, 50)
+    store(hundred, path, 0, 50)
 
     def run():
         stream = open_queue(spark, path, partitions=2, batch_size=25, keep=("spool_seq",))
@@ -142,7 +113,7 @@ def test_same_checkpoint_starts_no_batch_until_messages_come(spark, hundred):
         return seqs(spark.read.parquet(out))
 
     assert run() == run() == list(range(50))
-    write_spool(hundred, path, LAYOUT, 50, 100)
+    store(hundred, path, 50, 100)
     assert run() == list(range(100))
 
 
@@ -156,13 +127,13 @@ def test_lost_checkpoint_recovers_from_published_state(spark, hundred, monkeypat
     """Three quarters of the log, the stream's own checkpoint is lost, then the rest."""
     monkeypatch.setattr("tidelog.streaming.batches.SNAPSHOT_EVERY", every)
     path, rows, state = (workspace(spark, n) for n in ("spool", "rows", "state"))
-    write_spool(hundred, path, ONE_BY_ONE, 0, 75)
+    store(hundred, path, 0, 75)
     stream = dealt(spark, path)
     p.run_available(p.commit_publish(stream, rows, state, workspace(spark, "cp")))
     committed = p.committed_state(spark, state)
     assert sorted((r.partitionId, r.messageIDs[-2:]) for r in committed.collect()) == [
         ("0", "74"), ("1", "73")]
-    write_spool(hundred, path, ONE_BY_ONE, 75, 100)
+    store(hundred, path, 75, 100)
     left = QueueReader(spark).options(
         queue=path, ackLastProcessedMessages="true", state=state, host="tcp://unused"
     ).loadBatch()
@@ -182,7 +153,7 @@ def test_snapshots_hold_the_whole_state(spark, hundred, monkeypatch):
     monkeypatch.setattr("tidelog.streaming.batches.SNAPSHOT_EVERY", 2)
     path, out = workspace(spark, "spool"), workspace(spark, "last")
     keyed = hundred.withColumn("destination", F.col("spool_seq").cast("string"))
-    write_spool(keyed, path, ONE_BY_ONE)
+    store(keyed, path)
     p.run_available(p.last_value_stream(
         stream_raw(spark, path, 1, 25), out, workspace(spark, "cp"), ["destination"]))
     sizes = read_batches(spark, out, RAW_MESSAGE).groupBy("batch_id").count().collect()
@@ -204,7 +175,7 @@ def test_late_repeats_are_dropped(spark, hundred):
     path, out = workspace(spark, "spool"), workspace(spark, "out")
     hot = hundred.withColumn(
         "rgmid", F.when(F.col("spool_seq") % 3 == 0, "hot").otherwise(F.col("rgmid")))
-    write_spool(hot, path, ONE_BY_ONE)
+    store(hot, path)
     stream = open_queue(spark, path, partitions=1, batch_size=25, keep=("spool_seq",))
     twice = stream.withColumn("attempt", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
         "delivery", F.col("spool_seq") * 2 + F.col("attempt"))
@@ -217,23 +188,33 @@ def test_late_repeats_are_dropped(spark, hundred):
 def test_batches_without_rows_keep_the_state(spark, hundred, monkeypatch):
     monkeypatch.setattr("tidelog.streaming.batches.SNAPSHOT_EVERY", 2)
     path, rows, state = (workspace(spark, n) for n in ("spool", "rows", "state"))
-    write_spool(hundred, path, ONE_BY_ONE)
+    store(hundred, path)
     few = dealt(spark, path).where("spool_seq < 30")
     p.run_available(p.commit_publish(few, rows, state, workspace(spark, "cp")))
     committed = p.committed_state(spark, state).collect()
     assert sorted(r.messageIDs[-2:] for r in committed) == ["28", "29"]
 
 
-def test_a_log_out_of_order_commits_no_state(spark, hundred):
+def test_files_that_were_written_out_of_order_are_read_in_order(spark, hundred):
     path, rows, state = (workspace(spark, n) for n in ("spool", "rows", "state"))
-    for start in (50, 25, 75):
-        write_spool(hundred, path, ONE_BY_ONE, start, start + 25)
-    checkpoint = workspace(spark, "cp")
-    for _ in range(2):  # the same after a restart
-        with pytest.raises(Exception, match="position 25 came after 74"):
-            p.run_available(p.commit_publish(dealt(spark, path), rows, state, checkpoint))
-        committed = p.committed_state(spark, state).collect()
-        assert sorted(r.messageIDs[-2:] for r in committed) == ["73", "74"]
+    for start in (50, 25, 75, 0):
+        store(hundred, path, start, start + 25)
+    p.run_available(p.commit_publish(dealt(spark, path), rows, state, workspace(spark, "cp")))
+    committed = p.committed_state(spark, state).collect()
+    assert sorted(r.messageIDs[-2:] for r in committed) == ["98", "99"]
+
+
+def test_positions_that_a_stream_has_passed_fail_it(spark, hundred):
+    path, out = workspace(spark, "spool"), workspace(spark, "out")
+    store(hundred, path, 50, 100)
+    query = p.land_parquet(stream_raw(spark, path, 1, 25), out, workspace(spark, "cp")).start()
+    try:
+        query.processAllAvailable()
+        store(hundred, path, 0, 25)
+        with pytest.raises(Exception, match="holds position 0, but the stream is at 100"):
+            query.processAllAvailable()
+    finally:
+        query.stop()
 
 
 def test_a_failed_batch_runs_again_and_replaces_itself(spark, spool):
@@ -269,7 +250,7 @@ def test_foreach_batch_publish_with_rejects(spark, spool):
 @pytest.mark.parametrize(("mode", "sizes"), [("update", [3, 3, 3, 3]), ("complete", [3, 6, 9, 12])])
 def test_changed_or_whole_results_are_appended(spark, hundred, mode, sizes):
     path, out = workspace(spark, "spool"), workspace(spark, "out")
-    write_spool(hundred, path, ONE_BY_ONE)
+    store(hundred, path)
     key = (F.expr("spool_seq div 25") * 3 + F.col("spool_seq") % 3).alias("key")
     totals = stream_raw(spark, path, 1, 25).groupBy(key).agg(F.count("*").alias("n"))
     p.run_available(p.update_as_append(totals, out, workspace(spark, "cp"), mode))
@@ -283,7 +264,7 @@ def test_last_value_stream_and_empty_state(spark, hundred):
     path, out = workspace(spark, "spool"), workspace(spark, "last")
     assert p.read_last_value(spark, out, RAW_MESSAGE, ["destination"]).count() == 0
     keyed = hundred.withColumn("destination", F.concat(F.lit("t"), F.col("spool_seq") % 7))
-    write_spool(keyed, path, LAYOUT)
+    store(keyed, path)
     p.run_available(p.last_value_stream(
         stream_raw(spark, path, 1, 25), out, workspace(spark, "cp"), ["destination"]))
     newest = p.read_last_value(spark, out, RAW_MESSAGE, ["destination"])
@@ -292,8 +273,7 @@ def test_last_value_stream_and_empty_state(spark, hundred):
 
 def test_batches_leave_no_staged_tables(spark, hundred):
     path, out = workspace(spark, "spool"), workspace(spark, "last")
-    small = SpoolLayout(batch_size=5, partitions=1)
-    write_spool(hundred, path, small)
+    store(hundred, path)
     base = Path(out).parent
     before = set(os.listdir(base))
     p.run_available(p.last_value_stream(

@@ -10,14 +10,14 @@ from tidelog.functions.headers import header_problem, typed_headers, user_proper
 from tidelog.schema import (
     DEFAULT_HEADER_PREFIX,
     DEFAULT_PRIORITY,
+    FAILED,
+    ID_PREFIX,
+    OK,
+    PLACE_DIGITS,
     RAW_MESSAGE,
     envelope_schema,
 )
 
-OK, FAILED = "OK", "FAILED"
-# Digits of the largest position, so that ids of one width order as their positions do.
-PLACE_DIGITS = 19
-
 
 def bind_columns(
     df: DataFrame,
@@ -149,7 +149,7 @@ def as_raw(
     ``message_id`` does. Unset fields take the broker's defaults.
     """
     place = F.col(position).cast("bigint")
-    own_id = F.concat(F.lit("rmid1:"), F.lpad(place.cast("string"), PLACE_DIGITS, "0"))
+    own_id = F.concat(F.lit(ID_PREFIX), F.lpad(place.cast("string"), PLACE_DIGITS, "0"))
     values = {
         "spool_seq": place,
         "rgmid": own_id if message_id is None else message_id,

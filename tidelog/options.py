@@ -9,7 +9,7 @@ from tidelog.functions.messages import MESSAGE_ID, envelope
 from tidelog.operators.replay import AFTER_MESSAGE, BEGINNING, TIMEBASED, replay, start_instant
 from tidelog.schema import DEFAULT_HEADER_PREFIX
 from tidelog.sinks.publish import Publisher, publish, publish_stream
-from tidelog.sources.spool import open_queue, read_queue, resume
+from tidelog.sources.spool import open_queue, position_of, read_queue, resume
 from tidelog.streaming.jobs import committed_state
 
 # Option names and defaults. `queue` is the log's folder, `headerPrefix` the broker's
@@ -50,14 +50,14 @@ WRITE_DEFAULTS = {
 }
 
 
-# Client and login properties of a broker session come in families, told by their first word.
-CONNECTION_FAMILIES = ("client", "oauth", "ssl", "tls", "authentication", "jcsmp", "api")
+# The queue's own dotted options; any other dotted or underscored name is a client property.
+OWN_FAMILIES = ("lvq", "queue")
 
 
 def _ignored(name: str) -> bool:
-    words = name.replace("_", ".").lower().split(".")
-    dotted = len(words) > 1 and any(w.startswith(CONNECTION_FAMILIES) for w in words[:-1])
-    return name in CONNECTION_OPTIONS or dotted
+    """Whether an option configures a client, its login or its transport: ``<family>.<property>``."""
+    family, dot, _ = name.replace("_", ".").lower().partition(".")
+    return name in CONNECTION_OPTIONS or bool(dot) and family not in OWN_FAMILIES
 
 
 def _merge(defaults: dict, options: dict) -> dict:
@@ -141,8 +141,10 @@ class QueueReader:
         """The same rows as a bounded table; ``batchSize`` and ``partitions`` bound streams only."""
         o = self._checked()
         log = read_queue(self._spark, o["queue"])
+        after = position_of(o["replayReplicationGroupMessageId"])
+        skips = o["replayStrategy"] == AFTER_MESSAGE and after is not None
         raw = replay(
-            log,
+            read_queue(self._spark, o["queue"], after) if skips else log,
             o["replayStrategy"],
             o["replayStartTime"],
             o["replayStartTimeTimezone"],

@@ -1,4 +1,4 @@
-"""Streaming queries: each runs over a spooled copy of the whole log and equals a batch query."""
+"""Streaming queries: each runs over a stored copy of the whole log and equals a batch query."""
 
 from __future__ import annotations
 
@@ -25,36 +25,32 @@ from tidelog.plans.registry import query
 from tidelog.schema import RAW_MESSAGE
 from tidelog.session import workspace
 from tidelog.sinks.publish import Publisher, publish_stream
-from tidelog.sources.spool import (
-    SpoolLayout,
-    open_queue,
-    read_queue,
-    stream_parquet,
-    stream_raw,
-    write_spool,
-)
+from tidelog.sources.spool import open_queue, read_queue, stream_parquet, stream_raw
 from tidelog.streaming import jobs as p
 from tidelog.streaming.batches import read_batches
 
-LAYOUT = SpoolLayout(batch_size=1000, partitions=8)
+# Messages for each consumer in a micro-batch, and consumers.
+BATCH_SIZE, PARTITIONS = 1000, 8
+STEP = BATCH_SIZE * PARTITIONS
+# Rows of a file of the stored log; batches and consumers end inside of files.
+FILE_ROWS = 7_500
 
 
 def spooled(spark: SparkSession, sf_dir: str) -> str:
-    """The event log on storage, in files of one consumer's batch each."""
-    path = workspace(spark, "spool")
-    write_spool(fx.raw_messages(spark, sf_dir), path, LAYOUT)
+    """The event log on storage."""
+    path = workspace(spark, "log")
+    fx.raw_messages(spark, sf_dir).write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     return path
 
 
 def opened(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
     return open_queue(
-        spark, spooled(spark, sf_dir), partitions=LAYOUT.partitions, batch_size=LAYOUT.batch_size,
-        **options,
+        spark, spooled(spark, sf_dir), partitions=PARTITIONS, batch_size=BATCH_SIZE, **options
     )
 
 
 def raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_raw(spark, spooled(spark, sf_dir), LAYOUT.partitions, LAYOUT.batch_size)
+    return stream_raw(spark, spooled(spark, sf_dir), PARTITIONS, BATCH_SIZE)
 
 
 def landed(stream: DataFrame) -> DataFrame:
@@ -86,7 +82,7 @@ def queue_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scalar_envelope(landed(opened(spark, sf_dir, checkpoints=merged(spark, sf_dir))))
 
 
-@query("queue_stream_batches", f"""SELECT event_id // {LAYOUT.step} AS batch_id,
+@query("queue_stream_batches", f"""SELECT event_id // {STEP} AS batch_id,
   count(*) AS messages FROM events GROUP BY 1""")
 def queue_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = workspace(spark, "batches")
@@ -96,7 +92,7 @@ def queue_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, out, counts).drop("epoch")
 
 
-@query("isempty_then_read", f"""SELECT event_id // {LAYOUT.step} AS batch_id, FALSE AS empty,
+@query("isempty_then_read", f"""SELECT event_id // {STEP} AS batch_id, FALSE AS empty,
   count(*) AS first_read, count(*) AS second_read FROM events GROUP BY 1""")
 def isempty_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = workspace(spark, "probes")
@@ -133,13 +129,12 @@ def restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fx.raw_messages(spark, sf_dir)
     first, last = raw.agg(F.min("spool_seq"), F.max("spool_seq")).first()
     rows = last - first + 1
-    half = first + max(1, rows // 2 // LAYOUT.batch_size) * LAYOUT.batch_size
-    path, out, checkpoint = (workspace(spark, n) for n in ("spool", "out", "checkpoint"))
+    half = first + rows // 2
+    path, out, checkpoint = (workspace(spark, n) for n in ("log", "out", "checkpoint"))
     for start, stop in ((first, half), (half, last + 1)):
-        write_spool(raw, path, LAYOUT, start, stop)
-        stream = open_queue(
-            spark, path, partitions=LAYOUT.partitions, batch_size=LAYOUT.batch_size
-        )
+        inside = (F.col("spool_seq") >= start) & (F.col("spool_seq") < stop)
+        raw.where(inside).write.mode("append").parquet(path)
+        stream = open_queue(spark, path, partitions=PARTITIONS, batch_size=BATCH_SIZE)
         p.run_available(p.land_parquet(stream, out, checkpoint))
     return scalar_envelope(spark.read.schema(stream.schema).parquet(out))
 
@@ -161,13 +156,13 @@ def stream_to_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("publish_stream", f"WITH {MSG}, {FAULTY} {STORED_SQL}")
 def publish_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Faulty rows as a stream through the sink in report mode, laid out by topic; none is lost."""
+    """Faulty rows as a stream through the sink in report mode; none is lost."""
     rows = workspace(spark, "rows")
     fx.publish_rows(spark, sf_dir).write.parquet(rows)
     out = workspace(spark, "published")
     publisher = Publisher(include_headers=True, mode="report")
     p.run_available(publish_stream(
-        stream_parquet(spark, rows), out, workspace(spark, "checkpoint"), publisher, by_topic=True
+        stream_parquet(spark, rows), out, workspace(spark, "checkpoint"), publisher
     ))
     return stored_messages(spark, out)
 

@@ -13,6 +13,11 @@ PARTITION_KEY_PROPERTY = "JMSXGroupID"
 LEGACY_PARTITION_ID = "old-checkpoint"
 DEFAULT_PRIORITY = 4
 
+# A published message's id: its position, of one width, so that ids order as positions do.
+ID_PREFIX, PLACE_DIGITS = "rmid1:", 19
+# What became of a published row.
+OK, FAILED = "OK", "FAILED"
+
 # System headers share a prefix that belongs to the broker, so it is a parameter everywhere.
 DEFAULT_HEADER_PREFIX = "mq_"
 

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.operators.publishing import (
-    FAILED,
-    OK,
-    PLACE_DIGITS,
     as_raw,
     bind_columns,
     publish_envelope,
@@ -21,14 +17,16 @@ from tidelog.operators.publishing import (
     reject_report,
     split_rejects,
 )
-from tidelog.schema import DEFAULT_HEADER_PREFIX, PUBLISHED_FIELDS, RAW_MESSAGE
+from tidelog.schema import DEFAULT_HEADER_PREFIX, FAILED, OK, PUBLISHED_FIELDS, RAW_MESSAGE
+from tidelog.sources.datasource import FORMAT, register
 
 
 @dataclass(frozen=True)
 class Publisher:
     """What every publish form shares: overrides, headers, and what a bad row does.
 
-    ``mode`` is ``strict`` (a bad row fails the job) or ``report`` (it is stored as a reject).
+    ``mode`` is ``strict`` (bad rows fail the job, which names them) or ``report`` (they are stored as
+    rejects).
     """
 
     topic: str | None = None
@@ -57,73 +55,65 @@ class Publisher:
     def rejects(self, df: DataFrame) -> DataFrame:
         return reject_report(self.checked(df))
 
-    def log_rows(
-        self, df: DataFrame, base: int | None = None, counts: Observation | None = None
-    ) -> DataFrame:
+    def log_rows(self, df: DataFrame, counts: Observation | None = None) -> DataFrame:
         """Every row as the log stores it: good ones as messages, bad ones with status and reason.
 
-        Positions are those of a ``spool_seq`` column if there is one. Else, after ``base``, they
-        follow the rows; without a base, as in a stream, they are the time of the micro-batch, and
-        ids tell its messages apart. ``counts`` observes what is written.
+        Positions and ids are those of the place that rows get in the log, so they are null here.
+        ``counts`` observes what is written.
         """
-        given = "spool_seq" in df.columns
-        keep = tuple(dict.fromkeys((*self.keep, *(["spool_seq"] if given else []))))
-        checked = replace(self, keep=keep).checked(df)
+        bound = bind_columns(df, self.topic, self.message_id, self.include_headers, self.keep)
+        checked = publish_validate(bound, self.header_prefix)
         if counts is not None:
-            good = F.col("status") == OK
-            checked = checked.observe(
-                counts,
-                F.count("*").alias("published"),
-                F.count_if(good).alias("acknowledged"),
-                F.count_if(~good).alias("failed"),
-            )
-        kept = (*(c for c in keep if c != "spool_seq"), "status", "reason")
+            checked = checked.observe(counts, *_counts())
         rows = publish_envelope(
-            checked, self.header_prefix, keep=(*kept, *(["spool_seq"] if given else []))
-        )
-        message_id = None
-        if not given:
-            if base is None:
-                rows = rows.withColumn("spool_seq", F.unix_micros(F.current_timestamp()))
-                place = F.lpad(F.col("spool_seq").cast("string"), PLACE_DIGITS, "0")
-                message_id = F.concat(F.lit("rmid1:"), place, F.lit("-"), F.uuid())
-            else:
-                rows = rows.withColumn("spool_seq", F.monotonically_increasing_id() + F.lit(base))
+            checked, self.header_prefix, keep=(*self.keep, "status", "reason")
+        ).withColumn("_place", F.lit(None).cast("long"))
+        kept = (*self.keep, "status", "reason")
         extra = [f.name for f in PUBLISHED_FIELDS.fields if f.name not in kept]
-        more = tuple(c for c in self.keep if c not in RAW_MESSAGE.names)
-        return as_raw(
-            rows, "spool_seq", message_id=message_id, keep=(*extra, "status", "reason", *more)
-        )
+        more = [c for c in self.keep if c not in RAW_MESSAGE.names]
+        return as_raw(rows, "_place", keep=(*extra, "status", "reason", *more))
+
+
+def _counts() -> list[Column]:
+    good = F.col("status") == OK
+    return [
+        F.count("*").alias("published"),
+        F.count_if(good).alias("acknowledged"),
+        F.count_if(~good).alias("failed"),
+    ]
 
 
 def publish(
-    df: DataFrame, path: str, publisher: Publisher = Publisher(), save_mode: str = "append"
+    df: DataFrame,
+    path: str,
+    publisher: Publisher = Publisher(),
+    save_mode: str = "append",
+    writer: str | None = None,
+    batch: int | None = None,
 ) -> dict[str, int]:
     """Write ``df`` to a log that :func:`tidelog.sources.spool.read_queue` reads back.
 
-    Rows are checked once and written once. In ``report`` mode bad rows are stored in the log too,
-    where readers pass them over and :func:`read_rejects` finds them. Appended unless ``save_mode``
-    is ``overwrite``. Returns how many rows were published, acknowledged and failed, counted while
-    they were written.
+    Rows are checked once and written once. Each gets the next position of the log, without gaps, and an
+    id made of it; all become readable at once. In ``strict`` mode bad rows fail the job, and none of its
+    rows are in the log. In ``report`` mode bad rows are stored too, where readers pass them over and
+    :func:`read_rejects` finds them. Appended unless ``save_mode`` is ``overwrite``, which starts a new
+    log. A ``batch`` of a ``writer`` that is in the log already adds nothing. Returns how many rows were
+    published, acknowledged and failed, counted while they were written.
     """
+    register(df.sparkSession)
     counts = Observation()
-    base = 0 if save_mode == "overwrite" else next_position(df.sparkSession, path)
-    publisher.log_rows(df, base, counts).write.mode(save_mode).parquet(path)
+    out = publisher.log_rows(df, counts).write.format(FORMAT).mode(save_mode).options(
+        path=path, strict=publisher.mode == "strict"
+    )
+    if batch is not None:
+        out = out.options(writer=writer, batch=batch)
+    out.save()
     got = counts.get
     if got["published"] != got["acknowledged"] + got["failed"]:
         raise RuntimeError(f"rows are missing: {got}")
     return got
 
 
-def next_position(spark: SparkSession, path: str) -> int:
-    """The position after all that a log holds."""
-    try:
-        last = spark.read.schema(RAW_MESSAGE).parquet(path).agg(F.max("spool_seq")).first()[0]
-    except AnalysisException:  # nothing there yet
-        return 0
-    return 0 if last is None else last + 1
-
-
 def read_rejects(spark: SparkSession, path: str, *more: str) -> DataFrame:
     """Rows that could not be published to a log, with ``Id``, ``status``, ``reason`` and ``more``."""
     stored = spark.read.schema(T.StructType(RAW_MESSAGE.fields + PUBLISHED_FIELDS.fields))
@@ -132,25 +122,32 @@ def read_rejects(spark: SparkSession, path: str, *more: str) -> DataFrame:
     )
 
 
+def publish_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Per commit of a published log: its first position, who wrote it, and how many of its rows were
+    published, acknowledged and failed. Only one column is read.
+
+    ``writer`` is a stream's query id or a job of its own, ``batch`` the stream's batch (else 0).
+    """
+    stored = spark.read.schema("status string, commit long").parquet(path)
+    name = F.split(F.col("_metadata.file_name"), "-")
+    return stored.groupBy(
+        F.col("commit").alias("first_position"), F.get(name, F.lit(2)).alias("writer"),
+        F.get(name, F.lit(3)).cast("long").alias("batch"),
+    ).agg(*_counts())
+
+
 def publish_stream(
-    df: DataFrame,
-    path: str,
-    checkpoint: str,
-    publisher: Publisher = Publisher(),
-    by_topic: bool = False,
+    df: DataFrame, path: str, checkpoint: str, publisher: Publisher = Publisher()
 ) -> DataStreamWriter:
     """A writer that appends a stream to a log, exactly once; the caller starts it.
 
-    In ``report`` mode bad rows are stored beside the messages, as :func:`publish` does. ``by_topic``
-    lays the log out by destination, for queues with few topics.
+    Every micro-batch is a commit: its rows get the next positions, without gaps, and a batch that runs
+    again after it was committed adds nothing. Bad rows are dealt with as :func:`publish` does;
+    :func:`publish_counts` counts them by batch.
     """
-    rows = publisher.log_rows(df)
-    if by_topic:
-        rows = rows.withColumn("topic", F.col("destination"))
-    writer = (
-        rows.writeStream.format("parquet")
+    register(df.sparkSession)
+    return (
+        publisher.log_rows(df).writeStream.format(FORMAT)
         .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
+        .options(path=path, strict=publisher.mode == "strict", checkpointLocation=checkpoint)
     )
-    return writer.partitionBy("topic") if by_topic else writer

@@ -1,160 +1,99 @@
-"""The message log on storage: writing it, reading it as a table, opening it as a stream."""
+"""The message log on storage: reading it as a table, opening it as a stream."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.messages import MESSAGE_ID, envelope, raw_id
-from tidelog.operators.publishing import OK
-from tidelog.operators.replay import replay
+from tidelog.operators.replay import AFTER_MESSAGE, replay
 from tidelog.operators.resume import locate_ids, padded, resume_filter
-from tidelog.schema import DEFAULT_HEADER_PREFIX, RAW_MESSAGE
-
-
-@dataclass(frozen=True)
-class SpoolLayout:
-    """How a log is cut: rows per file and files per trigger. One file is one consumer's batch."""
-
-    batch_size: int
-    partitions: int
-
-    @property
-    def step(self) -> int:
-        """Positions in one micro-batch; how many micro-batches there are grows with the log."""
-        return self.batch_size * self.partitions
-
+from tidelog.schema import DEFAULT_HEADER_PREFIX, ID_PREFIX, OK, PLACE_DIGITS, RAW_MESSAGE
+from tidelog.sources.datasource import FORMAT, register
 
-def append_spool(
-    raw: DataFrame, path: str, batch_size: int, blocks: int | None = None, order: str = "spool_seq"
-) -> None:
-    """Append messages as files of at most ``batch_size`` rows, each one block of positions.
 
-    One parallel job: rows meet by block, blocks are sorted inside their task, and a file is closed
-    at every ``batch_size`` rows. A dense log gets exactly one block per file. With ``blocks``, how
-    many consecutive ones there are, each has a task of its own.
-    """
-    if batch_size <= 0:
-        raise ValueError("a spool needs a batch size above 0")
-    block = F.expr(f"`{order}` div {batch_size}")
-    rows = raw.select(*RAW_MESSAGE.names)
-    met = (
-        rows.repartitionById(blocks, F.pmod(block, F.lit(blocks)).cast("int"))
-        if blocks
-        else rows.repartition(block)
-    )
-    (
-        met.sortWithinPartitions(order)
-        .write.mode("append")
-        .option("maxRecordsPerFile", batch_size)
-        .parquet(path)
-    )
-
-
-def write_spool(
-    raw: DataFrame, path: str, layout: SpoolLayout, start: int = 0, stop: int | None = None,
-    order: str = "spool_seq",
-) -> None:
-    """Write the positions from ``start`` to before ``stop``, one append per micro-batch.
-
-    A stream takes files by age, so appends in position order make a reader with the same layout
-    see messages in order: every micro-batch is one append. That needs positions without gaps. The
-    number of appends is the number of micro-batches, and each is a parallel job.
-    """
-    if stop is None:
-        first, last, rows = raw.agg(F.min(order), F.max(order), F.count("*")).first()
-        if rows == 0:
-            return
-        if last - first + 1 != rows:
-            raise ValueError("an ordered spool needs positions without gaps")
-        start, stop = max(start, first), last + 1
-    step = layout.step
-    begin = start - start % step
-    for low in range(begin, stop, step):
-        here, there = max(low, start), min(low + step, stop)
-        blocks = (there - 1) // layout.batch_size - here // layout.batch_size + 1
-        inside = (F.col(order) >= here) & (F.col(order) < there)
-        append_spool(raw.where(inside), path, layout.batch_size, blocks, order)
-
-
-# Files of any age are read: a log that was copied or restored keeps its old file times.
-FILE_AGE = "36500d"
+# Columns that a published log does not store: they follow from a row's place in it.
+_PLACED = ("spool_seq", "rgmid")
 _STORED = T.StructType([*RAW_MESSAGE.fields, T.StructField("status", T.StringType())])
+_COMMITS = T.StructType([
+    *(f for f in _STORED.fields if f.name not in _PLACED), T.StructField("commit", T.LongType())
+])
 
 
-def _messages(stored: DataFrame) -> DataFrame:
-    """What of a stored log are messages: all rows but rejects."""
-    good = F.col("status").isNull() | (F.col("status") == OK)
-    return stored.where(good).select(*RAW_MESSAGE.names)
-
-
-def check_log(spark: SparkSession, path: str) -> None:
-    """Refuse a folder whose files are something else than messages; an empty one passes."""
+def check_log(spark: SparkSession, path: str) -> bool:
+    """Refuse a folder whose files are something else than messages; whether it is a published log."""
     try:
         have = spark.read.parquet(path).schema
     except AnalysisException:  # nothing there yet
-        return
+        return False
     kinds = {f.name: f.dataType for f in have.fields}
+    published = "commit" in kinds
     wrong = [
         f.name for f in RAW_MESSAGE.fields
-        if f.name not in kinds or kinds[f.name].typeName() != f.dataType.typeName()
+        if not (published and f.name in _PLACED)
+        and (f.name not in kinds or kinds[f.name].typeName() != f.dataType.typeName())
     ]
     if wrong:
         raise ValueError(f"{path} is not a message log: {', '.join(wrong)} missing or of another type")
+    return published
 
 
-def longest_file(spark: SparkSession, path: str) -> int:
-    """Rows in the longest file of a log; only file footers are read."""
-    try:
-        rows = spark.read.schema(RAW_MESSAGE).parquet(path)
-        sizes = rows.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
-        return sizes.agg(F.max("n")).first()[0] or 0
-    except AnalysisException:  # nothing there yet
-        return 0
-
+def read_queue(spark: SparkSession, path: str, after: int | None = None) -> DataFrame:
+    """The whole log as a bounded table of raw messages, or what comes after a position.
 
-def read_queue(spark: SparkSession, path: str) -> DataFrame:
-    """The whole log as a bounded table of raw messages."""
-    check_log(spark, path)
-    return _messages(spark.read.schema(_STORED).parquet(path))
+    A published log's positions are in its files' names, so files that end before are not opened.
+    """
+    good = F.col("status").isNull() | (F.col("status") == OK)
+    if not check_log(spark, path):
+        rows = spark.read.schema(_STORED).parquet(path).where(good)
+        rows = rows if after is None else rows.where(F.col("spool_seq") > after)
+        return rows.select(*RAW_MESSAGE.names)
+    rows = spark.read.schema(_COMMITS).parquet(path).where(good)
+    name = F.col("_metadata.file_name")
+    first = F.substring(name, 1, PLACE_DIGITS).cast("long")
+    place = first + F.col("_metadata.row_index")
+    if after is not None:
+        length = F.substring_index(F.substring(name, PLACE_DIGITS + 2, 20), "-", 1).cast("long")
+        rows = rows.where(first + length > after + 1).where(place > after)
+    digits = F.lpad(place.cast("string"), PLACE_DIGITS, "0")
+    placed = {"spool_seq": place, "rgmid": F.concat(F.lit(ID_PREFIX), digits)}
+    return rows.select([placed.get(c, F.col(c)).alias(c) for c in RAW_MESSAGE.names])
+
+
+def position_of(message_id: str | None) -> int | None:
+    """The position that an id of a published log stands for; None for any other id."""
+    digits = (message_id or "").removeprefix(ID_PREFIX)
+    own = message_id == ID_PREFIX + digits and len(digits) == PLACE_DIGITS and digits.isdecimal()
+    return int(digits) if own else None
 
 
 def stream_raw(
-    spark: SparkSession,
-    path: str,
-    partitions: int = 1,
-    batch_size: int = 0,
-    bytes_per_trigger: str | None = None,
+    spark: SparkSession, path: str, partitions: int = 1, batch_size: int = 0,
+    columns: list[str] | None = None, after: int | None = None,
 ) -> DataFrame:
-    """The log as a stream of raw messages.
+    """The log as a stream of raw messages in order of position.
 
-    With a batch size a micro-batch takes one file per consumer. A source takes files whole, so a
-    log that holds a longer file than that is refused; :func:`write_spool` cuts it anew. Files that
-    come later are not looked at. A batch size of 0 sets no bound. ``bytes_per_trigger`` bounds a
-    micro-batch by size instead, for logs with files of any length.
+    With a batch size a micro-batch holds at most so many messages for each of ``partitions`` consumers
+    (0: one per core), however long the log's files are; a consumer is a task. A batch size of 0 sets no
+    bound. ``columns`` reads fewer of them, ``after`` starts behind a position. A file that comes late,
+    with positions that the stream has passed, fails it.
     """
     if partitions < 0:
         raise ValueError("partitions must be >= 0")
     if batch_size < 0:
         raise ValueError("batch size must be >= 0")
     check_log(spark, path)
-    if batch_size and not bytes_per_trigger:
-        longest = longest_file(spark, path)
-        if longest > batch_size:
-            raise ValueError(
-                f"a file of {path} holds {longest} messages, more than a batch of {batch_size}"
-            )
-    reader = spark.readStream.schema(_STORED).option("maxFileAge", FILE_AGE)
-    if bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
-    elif batch_size:
-        n = partitions or spark.sparkContext.defaultParallelism
-        reader = reader.option("maxFilesPerTrigger", n)
-    return _messages(reader.parquet(path))
+    register(spark)
+    options = {
+        "path": path, "batchSize": batch_size,
+        "partitions": partitions or spark.sparkContext.defaultParallelism,
+        "startPosition": 0 if after is None else after + 1,
+    }
+    if columns is not None:
+        options["columns"] = ",".join(columns)
+    return spark.readStream.format(FORMAT).options(**options).load()
 
 
 def resume(
@@ -191,14 +130,14 @@ def open_queue(
     replay_timezone: str | None = "UTC",
     replay_message_id: str | None = None,
     checkpoints: DataFrame | None = None,
-    bytes_per_trigger: str | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Streaming envelope rows of a log, replayed and resumed as asked.
 
     ``checkpoints`` switches the restart filter on, unless a replay is asked for.
     """
-    raw = stream_raw(spark, path, partitions, batch_size, bytes_per_trigger)
+    after = position_of(replay_message_id) if replay_strategy == AFTER_MESSAGE else None
+    raw = stream_raw(spark, path, partitions, batch_size, after=after)
     raw = replay(raw, replay_strategy, replay_start_time, replay_timezone, replay_message_id)
     if checkpoints is not None:
         log = read_queue(spark, path)

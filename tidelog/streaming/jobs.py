@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from threading import Event, Timer
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,18 +30,32 @@ STATE_LINE = T.StructType([T.StructField("json", T.StringType())])
 
 
 def run_available(writer: DataStreamWriter, wait: int | None = None) -> None:
-    """Process all that is there now, in the bounded batches the source was opened with.
+    """Process all there is, in the bounded batches the source was opened with, then stop.
 
-    There is no time limit unless ``wait`` sets one, in seconds.
+    A log bounds its batches itself, which Spark's trigger for what is available now would join into
+    one. There is no time limit unless ``wait`` sets one, in seconds.
     """
-    query = writer.trigger(availableNow=True).start()
+    query = writer.trigger(processingTime="0 seconds").start()
+    late = Event()
+
+    def stop() -> None:
+        late.set()
+        query.stop()
+
+    clock = Timer(wait, stop) if wait is not None else None
+    if clock is not None:
+        clock.start()
     try:
-        if wait is None:
-            query.awaitTermination()
-        elif not query.awaitTermination(wait):
-            raise TimeoutError(f"stream did not finish in {wait} s")
+        query.processAllAvailable()
+    except Exception:
+        if not late.is_set():
+            raise
     finally:
+        if clock is not None:
+            clock.cancel()
         query.stop()
+    if late.is_set():
+        raise TimeoutError(f"stream did not finish in {wait} s")
 
 
 def land_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
@@ -65,11 +81,15 @@ def foreach_batch_publish(
     checkpoint: str,
     publisher: Publisher = Publisher(),
 ) -> DataStreamWriter:
-    """Every micro-batch through the batch publisher; a repeated batch replaces its own folder."""
-    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
-        publish(rows, batch_path(path, epoch, batch_id), publisher, "overwrite")
+    """Every micro-batch through the batch publisher, a commit each; a repeated one adds nothing."""
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        publish(rows, path, publisher, writer=query, batch=batch_id)
 
-    return for_each_batch(stream, checkpoint, handle, path)
+    return (
+        stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+        .foreachBatch(handle)
+    )
 
 
 def count_batches(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:

@@ -13,12 +13,7 @@ from tidelog.session import workspace
 from tidelog.sinks.publish import Publisher, read_rejects
 from tidelog.sources.spool import open_queue, read_queue, stream_raw
 from tidelog.streaming import jobs as p
-from tidelog.streaming.batches import (
-    batch_path,
-    read_batches,
-    read_since_snapshot,
-    write_batch,
-)
+from tidelog.streaming.batches import read_batches
 
 def store(raw, path, start=0, stop=10**9, files=1):
     """Append the messages from one position to before another, in so many files."""
@@ -58,14 +53,6 @@ def test_another_folder_is_refused(spark, hundred):
             getattr(QueueReader(spark).options(queue=path), load)()
 
 
-def test_a_torn_epoch_note_is_written_again(spark, spool):
-    out, checkpoint = workspace(spark, "counts"), workspace(spark, "cp")
-    os.makedirs(f"{checkpoint}/epoch/_temporary")
-    stream = open_queue(spark, spool, partitions=2, batch_size=25)
-    p.run_available(p.count_batches(stream, out, checkpoint))
-    assert spark.read.parquet(out).agg(F.sum("messages")).first()[0] == 100
-
-
 def test_dedup_stream_keeps_late_first_deliveries(spark, hundred):
     path, out = workspace(spark, "late"), workspace(spark, "out")
     for i in (3, 2, 1, 0, 3, 1):  # time runs backwards, and two blocks come again
@@ -122,10 +109,8 @@ def dealt(spark, path, **options):
     return batching.assign_consumer(stream, 2)
 
 
-@pytest.mark.parametrize("every", [100, 2])
-def test_lost_checkpoint_recovers_from_published_state(spark, hundred, monkeypatch, every):
+def test_lost_checkpoint_recovers_from_published_state(spark, hundred):
     """Three quarters of the log, the stream's own checkpoint is lost, then the rest."""
-    monkeypatch.setattr("tidelog.streaming.batches.SNAPSHOT_EVERY", every)
     path, rows, state = (workspace(spark, n) for n in ("spool", "rows", "state"))
     store(hundred, path, 0, 75)
     stream = dealt(spark, path)
@@ -140,37 +125,16 @@ def test_lost_checkpoint_recovers_from_published_state(spark, hundred, monkeypat
     assert left.count() == 26
     again = dealt(spark, path, checkpoints=committed)
     p.run_available(p.commit_publish(again, rows, state, workspace(spark, "cp")))
-    # The new stream counts from batch 0 in an epoch of its own. The unkeyed rule keeps what is
-    # after the lowest checkpoint, so 74 comes a second time.
+    # The new stream counts from batch 0 as a query of its own. The unkeyed rule keeps what is after
+    # the lowest checkpoint, so 74 comes a second time.
     written = read_batches(spark, rows, stream.schema)
-    assert seqs(written.where("epoch = 0")) == list(range(75))
-    assert seqs(written.where("epoch = 1")) == list(range(74, 100))
+    queries = [r[0] for r in written.groupBy("query").count().orderBy("count").select("query").collect()]
+    assert seqs(written.where(F.col("query") == queries[1])) == list(range(75))
+    assert seqs(written.where(F.col("query") == queries[0])) == list(range(74, 100))
     latest = p.committed_state(spark, state).collect()
     assert sorted((r.partitionId, r.messageIDs[-2:]) for r in latest) == [("0", "98"), ("1", "99")]
 
 
-def test_snapshots_hold_the_whole_state(spark, hundred, monkeypatch):
-    monkeypatch.setattr("tidelog.streaming.batches.SNAPSHOT_EVERY", 2)
-    path, out = workspace(spark, "spool"), workspace(spark, "last")
-    keyed = hundred.withColumn("destination", F.col("spool_seq").cast("string"))
-    store(keyed, path)
-    p.run_available(p.last_value_stream(
-        stream_raw(spark, path, 1, 25), out, workspace(spark, "cp"), ["destination"]))
-    sizes = read_batches(spark, out, RAW_MESSAGE).groupBy("batch_id").count().collect()
-    assert sorted(tuple(r) for r in sizes) == [(0, 25), (1, 25), (2, 75), (3, 25)]
-    newest = p.read_last_value(spark, out, RAW_MESSAGE, ["destination"])
-    assert seqs(newest) == list(range(100))
-
-
-def test_a_batch_cut_short_is_not_state(spark, hundred):
-    out = workspace(spark, "state")
-    rows = hundred.select("spool_seq")
-    for batch_id in (0, 1):
-        write_batch(rows.where(F.col("spool_seq") % 2 == batch_id), out, 0, batch_id)
-    (Path(batch_path(out, 0, 1)) / "_SUCCESS").unlink()
-    assert read_since_snapshot(spark, out, rows.schema).count() == 50
-
-
 def test_late_repeats_are_dropped(spark, hundred):
     path, out = workspace(spark, "spool"), workspace(spark, "out")
     hot = hundred.withColumn(
@@ -185,8 +149,7 @@ def test_late_repeats_are_dropped(spark, hundred):
     assert sorted(r.delivery for r in got) == [2 * i for i in want]
 
 
-def test_batches_without_rows_keep_the_state(spark, hundred, monkeypatch):
-    monkeypatch.setattr("tidelog.streaming.batches.SNAPSHOT_EVERY", 2)
+def test_batches_without_rows_keep_the_state(spark, hundred):
     path, rows, state = (workspace(spark, n) for n in ("spool", "rows", "state"))
     store(hundred, path)
     few = dealt(spark, path).where("spool_seq < 30")
@@ -261,27 +224,55 @@ def test_changed_or_whole_results_are_appended(spark, hundred, mode, sizes):
 
 
 def test_last_value_stream_and_empty_state(spark, hundred):
-    path, out = workspace(spark, "spool"), workspace(spark, "last")
-    assert p.read_last_value(spark, out, RAW_MESSAGE, ["destination"]).count() == 0
-    keyed = hundred.withColumn("destination", F.concat(F.lit("t"), F.col("spool_seq") % 7))
-    store(keyed, path)
-    p.run_available(p.last_value_stream(
-        stream_raw(spark, path, 1, 25), out, workspace(spark, "cp"), ["destination"]))
-    newest = p.read_last_value(spark, out, RAW_MESSAGE, ["destination"])
-    assert seqs(newest) == list(range(93, 100))
+    path, checkpoint, keys = workspace(spark, "spool"), workspace(spark, "cp"), ["destination"]
+    assert p.read_last_value(spark, checkpoint, RAW_MESSAGE, keys).count() == 0
+    topic = F.when(F.col("spool_seq") % 7 != 3, F.concat(F.lit("t"), F.col("spool_seq") % 7))
+    store(hundred.withColumn("destination", topic), path, 0, 60)
+    for stop, want in ((60, range(53, 60)), (100, range(93, 100))):
+        store(hundred.withColumn("destination", topic), path, 60, stop)
+        p.run_available(p.last_value_stream(stream_raw(spark, path, 1, 25), checkpoint, keys))
+        newest = p.read_last_value(spark, checkpoint, RAW_MESSAGE, keys)
+        assert seqs(newest) == list(want) and newest.schema.names == RAW_MESSAGE.names
+        flat = [F.to_json("user_props").alias("user_props") if c == "user_props" else c for c in newest.columns]
+        whole = read_queue(spark, path).where(F.col("spool_seq").isin(list(want)))
+        assert sorted(map(repr, newest.select(flat).collect())) == sorted(map(repr, whole.select(flat).collect()))
 
 
 def test_batches_leave_no_staged_tables(spark, hundred):
-    path, out = workspace(spark, "spool"), workspace(spark, "last")
+    path, rows, state, checkpoint = (workspace(spark, n) for n in ("spool", "rows", "state", "cp"))
     store(hundred, path)
-    base = Path(out).parent
+    base = Path(path).parent
     before = set(os.listdir(base))
-    p.run_available(p.last_value_stream(
-        stream_raw(spark, path, 1, 5), out, workspace(spark, "cp"), ["destination"]))
+    stream = dealt(spark, path)
+    p.run_available(p.commit_publish(stream, rows, state, checkpoint))
     left = {n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - before}
-    assert left <= {"last", "cp"} and len(os.listdir(f"{out}/epoch=0")) == 20
-    newest = p.read_last_value(spark, out, RAW_MESSAGE, ["destination"])
-    assert seqs(newest) == [99]
+    assert left <= {"rows", "state", "cp"}
+
+
+def test_state_is_published_once_however_often_a_batch_runs(spark, hundred, monkeypatch):
+    """The rows of a batch are written, then its state fails, then the stream is started again."""
+    path, rows, state, checkpoint = (workspace(spark, n) for n in ("spool", "rows", "state", "cp"))
+    store(hundred, path)
+    real, calls = p.publish, []
+
+    def flaky(*args, **options):
+        calls.append(options["batch"])
+        got = real(*args, **options)
+        if len(calls) in (2, 4):  # once published, once more before the batch is noted as done
+            raise RuntimeError("lost")
+        return got
+
+    monkeypatch.setattr(p, "publish", flaky)
+    stream = dealt(spark, path)
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            p.run_available(p.commit_publish(stream, rows, state, checkpoint))
+    p.run_available(p.commit_publish(stream, rows, state, checkpoint))
+    assert calls == [0, 1, 1, 2, 2, 3]
+    assert read_queue(spark, state).count() == 8
+    assert seqs(read_batches(spark, rows, stream.schema)) == list(range(100))
+    got = p.committed_state(spark, state).collect()
+    assert sorted((r.partitionId, r.messageIDs[-2:]) for r in got) == [("0", "98"), ("1", "99")]
 
 
 def test_reader_by_options(spark, spool, hundred):

@@ -89,7 +89,7 @@ def queue_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = opened(spark, sf_dir)
     p.run_available(p.count_batches(stream, out, workspace(spark, "checkpoint")))
     counts = T.StructType([T.StructField("messages", T.LongType())])
-    return read_batches(spark, out, counts).drop("epoch")
+    return read_batches(spark, out, counts).drop("query")
 
 
 @query("isempty_then_read", f"""SELECT event_id // {STEP} AS batch_id, FALSE AS empty,
@@ -102,7 +102,7 @@ def isempty_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
         T.StructField("first_read", T.LongType()),
         T.StructField("second_read", T.LongType()),
         T.StructField("empty", T.BooleanType()),
-    ])).drop("epoch")
+    ])).drop("query")
 
 
 @query("parquet_stream_in", "SELECT event_type, count(*) AS messages FROM events GROUP BY 1")
@@ -242,12 +242,10 @@ def commit_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("last_value_stream", f"""WITH {MSG} SELECT topic AS Topic, rgmid AS Id, body AS text FROM msg
   WHERE e IN (SELECT max(e) FROM msg GROUP BY topic)""")
 def last_value_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = workspace(spark, "last")
-    stream = raw_stream(spark, sf_dir)
-    p.run_available(p.last_value_stream(
-        stream, out, workspace(spark, "checkpoint"), ["destination"]
-    ))
-    newest = p.read_last_value(spark, out, RAW_MESSAGE, ["destination"])
+    """The last value per topic, kept in Spark's state store and read back from there."""
+    checkpoint, keys = workspace(spark, "checkpoint"), ["destination"]
+    p.run_available(p.last_value_stream(raw_stream(spark, sf_dir), checkpoint, keys))
+    newest = p.read_last_value(spark, checkpoint, RAW_MESSAGE, keys)
     return m.envelope(newest).select("Topic", "Id", m.payload_text().alias("text"))
 
 

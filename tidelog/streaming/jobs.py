@@ -4,30 +4,28 @@ from __future__ import annotations
 
 from threading import Event, Timer
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from tidelog.functions.messages import payload
 from tidelog.functions.offsets import encode_offset, migrate_offsets
 from tidelog.operators.checkpoints import consumer_checkpoint, last_value
 from tidelog.operators.delivery import dedup_by_id, has_id
 from tidelog.operators.lookup import pick_by
 from tidelog.schema import CHECKPOINT
 from tidelog.sinks.publish import Publisher, publish, publish_stream
+from tidelog.sources.spool import read_queue
 from tidelog.streaming.batches import (
     batch_path,
-    commit_order,
-    earlier_batches,
     for_each_batch,
+    query_id,
     read_batches,
-    read_since_snapshot,
     write_batch,
-    write_state,
 )
 
-STATE_LINE = T.StructType([T.StructField("json", T.StringType())])
-
 
 def run_available(writer: DataStreamWriter, wait: int | None = None) -> None:
     """Process all there is, in the bounded batches the source was opened with, then stop.
@@ -83,8 +81,7 @@ def foreach_batch_publish(
 ) -> DataStreamWriter:
     """Every micro-batch through the batch publisher, a commit each; a repeated one adds nothing."""
     def handle(rows: DataFrame, batch_id: int) -> None:
-        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        publish(rows, path, publisher, writer=query, batch=batch_id)
+        publish(rows, path, publisher, writer=query_id(rows), batch=batch_id)
 
     return (
         stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
@@ -94,21 +91,24 @@ def foreach_batch_publish(
 
 def count_batches(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """One row with the size of every micro-batch."""
-    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
-        write_batch(rows.agg(F.count("*").alias("messages")), path, epoch, batch_id)
+    def handle(rows: DataFrame, query: str, batch_id: int) -> None:
+        write_batch(rows.agg(F.count("*").alias("messages")), path, query, batch_id)
 
-    return for_each_batch(stream, checkpoint, handle, path)
+    return for_each_batch(stream, checkpoint, handle)
 
 
 def probe_batches(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Probe each micro-batch for emptiness, then read it twice: every read sees the whole batch."""
-    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
+    def handle(rows: DataFrame, query: str, batch_id: int) -> None:
         empty = rows.isEmpty()
         first, second = (rows.agg(F.count("*").alias(n)) for n in ("first_read", "second_read"))
         seen = first.withColumn("second_read", second.scalar()).withColumn("empty", F.lit(empty))
-        write_batch(seen, path, epoch, batch_id)
+        write_batch(seen, path, query, batch_id)
+
+    return for_each_batch(stream, checkpoint, handle)
+
 
-    return for_each_batch(stream, checkpoint, handle, path)
+STATE_TOPIC = "state/"
 
 
 def commit_publish(
@@ -122,76 +122,70 @@ def commit_publish(
 ) -> DataStreamWriter:
     """Write each micro-batch, then publish what it processed as state messages.
 
-    State is one JSON line per partition that moved; :func:`committed_state` reads the newest. Rows
-    come first: a batch lost between the two writes runs again and replaces both.
-
-    A checkpoint stands for all messages before it, so the log must be read in message order: open
-    it with the layout ``write_spool`` wrote. A batch that reaches back before an earlier one of the
-    same checkpoint fails the stream, ahead of its state.
+    State is a log of its own with a topic per partition; a batch sends one message for each partition
+    that moved, and the last value of a topic is where its partition stands (:func:`committed_state`).
+    Rows come first: a batch lost between the two writes runs again, replaces its rows and publishes its
+    state once. A checkpoint stands for all messages before it, so the stream must come in message
+    order, as :func:`tidelog.sources.spool.stream_raw` reads it.
     """
-    reached: list[int | None] = []
-
-    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
+    def handle(rows: DataFrame, query: str, batch_id: int) -> None:
         spark = rows.sparkSession
-        write_batch(rows, rows_path, epoch, batch_id)
-        written = spark.read.schema(rows.schema).parquet(batch_path(rows_path, epoch, batch_id))
-        if not reached:  # first batch of this run: the newest one before it that had rows
-            reached.append(None)
-            for path in earlier_batches(spark, rows_path, epoch, batch_id):
-                before = spark.read.schema(rows.schema).parquet(path)
-                reached[0] = before.agg(F.max(order)).first()[0]
-                if reached[0] is not None:
-                    break
-        first, last = written.agg(F.min(order), F.max(order)).first()
-        if None not in (first, reached[0]) and first <= reached[0]:
-            raise ValueError(
-                f"position {first} came after {reached[0]}: the log is not read in message order"
-            )
+        write_batch(rows, rows_path, query, batch_id)
+        written = spark.read.schema(rows.schema).parquet(batch_path(rows_path, query, batch_id))
         moved = consumer_checkpoint(written, partition, message_id, order)
-        lines = moved.select(encode_offset(F.lit(batch_id).cast("bigint")).alias("json"))
-        write_state(lines, state_path, epoch, batch_id, _fold_lines)
-        if last is not None:
-            reached[0] = last
-
-    return for_each_batch(stream, checkpoint, handle, state_path)
-
+        name = F.coalesce("partitionId", F.lit(""))
+        state = moved.select(
+            name.alias("Id"), F.concat(F.lit(STATE_TOPIC), name).alias("Topic"),
+            encode_offset(F.lit(batch_id).cast("bigint")).cast("binary").alias("Payload"),
+        )
+        publish(state, state_path, writer=query, batch=batch_id)
 
-def _fold_lines(lines: DataFrame) -> DataFrame:
-    """Newest state line of every partition, by order of commit."""
-    entries = migrate_offsets(lines).where("readable").withColumn(
-        "partitionId", F.element_at("checkpoints", 1)["partitionId"]
-    )
-    return pick_by(entries.withColumn("_commit", commit_order()), ["partitionId"], "_commit")
+    return for_each_batch(stream, checkpoint, handle)
 
 
 def committed_state(spark: SparkSession, state_path: str) -> DataFrame:
-    """The newest checkpoint of every partition in a state folder."""
-    newest = _fold_lines(read_since_snapshot(spark, state_path, STATE_LINE))
-    return newest.select(F.inline("checkpoints")).select(*CHECKPOINT.names)
+    """The newest checkpoint of every partition in a state log; none if nothing was published yet."""
+    try:
+        newest = last_value(read_queue(spark, state_path))
+    except AnalysisException:  # nothing there yet
+        return spark.createDataFrame([], CHECKPOINT)
+    entries = migrate_offsets(newest.select(payload().cast("string").alias("json")))
+    return entries.where("readable").select(F.inline("checkpoints")).select(*CHECKPOINT.names)
 
 
 def last_value_stream(
-    stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: str = "spool_seq"
+    stream: DataFrame, checkpoint: str, keys: list[str], order: str = "spool_seq"
 ) -> DataStreamWriter:
-    """Append the last value of every key that a micro-batch touched.
+    """Keep the last row of every key in the state store of the query.
 
-    :func:`read_last_value` folds the batches with the same rule. Batches commute, so arrival order
-    does not matter.
+    A streaming aggregate with partial sums on the map side, so a hot key is one row per task. Its state
+    is what :func:`read_last_value` reads back; nothing else is written. Rows without a position never
+    win. Sessions with many keys should keep state in RocksDB
+    (``spark.sql.streaming.stateStore.providerClass``).
     """
-    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
-        def fold(state: DataFrame) -> DataFrame:
-            return last_value(state, keys, order)
-
-        write_state(last_value(rows, keys, order), path, epoch, batch_id, fold)
-
-    return for_each_batch(stream, checkpoint, handle, path)
+    named = stream.where(F.col(order).isNotNull())
+    rest = F.struct(*[c for c in stream.columns if c not in keys])
+    newest = named.groupBy(*keys).agg(F.max_by(rest, order).alias("row"))
+    return (
+        newest.writeStream.format("noop").outputMode("update")
+        .option("checkpointLocation", checkpoint)
+    )
 
 
 def read_last_value(
-    spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: str = "spool_seq"
+    spark: SparkSession, checkpoint: str, schema: T.StructType, keys: list[str]
 ) -> DataFrame:
-    state = read_since_snapshot(spark, path, schema)
-    return last_value(state, keys, order).drop("epoch", "batch_id")
+    """The last rows that a :func:`last_value_stream` keeps, as of its last finished batch."""
+    try:
+        state = spark.read.format("statestore").option("path", checkpoint).load()
+    except Exception as e:
+        if "STDS" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)  # no batch ran yet
+    row = state.schema["value"].dataType.names[0]  # the kept row, beside its position
+    return state.select([
+        (F.col("key")[c] if c in keys else F.col("value")[row][c]).alias(c) for c in schema.names
+    ])
 
 
 def update_as_append(
@@ -201,17 +195,18 @@ def update_as_append(
 
     In ``complete`` mode every batch appends the whole result; nothing is truncated.
     """
-    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
-        write_batch(rows, path, epoch, batch_id)
+    def handle(rows: DataFrame, query: str, batch_id: int) -> None:
+        write_batch(rows.withColumn("written", F.current_timestamp()), path, query, batch_id)
 
-    return for_each_batch(aggregate, checkpoint, handle, path, mode)
+    return for_each_batch(aggregate, checkpoint, handle, mode)
 
 
 def read_updates(
     spark: SparkSession, path: str, schema: T.StructType, keys: list[str]
 ) -> DataFrame:
-    """The newest row per key of an update-mode output."""
-    updates = read_batches(spark, path, schema).withColumn("_commit", commit_order())
+    """The newest row per key of an update-mode output, by the driver's clock over all queries."""
+    stored = T.StructType([*schema.fields, T.StructField("written", T.TimestampType())])
+    updates = read_batches(spark, path, stored).withColumn("_commit", F.unix_micros("written"))
     return pick_by(updates, keys, "_commit").select(*schema.names)
 
 
@@ -228,13 +223,13 @@ def dedup_append(
     where a stateful ``dropDuplicates`` would send all of it to one task. Then both sides of the
     anti join against earlier batches hold an id once. Only the id column of those is read.
     """
-    def handle(rows: DataFrame, epoch: int, batch_id: int) -> None:
+    def handle(rows: DataFrame, query: str, batch_id: int) -> None:
         once = dedup_by_id(rows, message_id, order)
         before = read_batches(rows.sparkSession, path, rows.schema).where(
-            (F.col("epoch") < epoch) | ((F.col("epoch") == epoch) & (F.col("batch_id") < batch_id))
+            (F.col("query") != query) | (F.col("batch_id") < batch_id)
         )
         seen = before.select(F.col(message_id).alias("_seen")).where(has_id("_seen"))
         fresh = once.join(seen, once[message_id] == seen["_seen"], "left_anti")
-        write_batch(fresh, path, epoch, batch_id)
+        write_batch(fresh, path, query, batch_id)
 
-    return for_each_batch(stream, checkpoint, handle, path)
+    return for_each_batch(stream, checkpoint, handle)

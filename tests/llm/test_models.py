@@ -172,3 +172,103 @@ def test_folds_are_by_id_text(spark):
     ids = spark.createDataFrame([(i,) for i in [None, *range(50)]], "doc_id long")
     got = {r.doc_id: r.x for r in ids.select("doc_id", lm_scoring.held_out(ids).alias("x")).collect()}
     assert got == {i: crc(i) % 5 == 1 for i in got}
+
+
+def made_up(rng, lang, words):
+    """Prose of a made-up language: syllables of its own."""
+    own = np.random.default_rng(lang)
+    syllables = ["".join(own.choice(list("abcdefghijklmnopqrstuvwxyz"), 3)) for _ in range(30)]
+    return " ".join("".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(words))
+
+
+def test_hundreds_of_languages_all_can_be_predicted(spark):
+    """450 languages that no list of families names, one of them with a thousandth of the rows."""
+    rng = np.random.default_rng(0)
+    rows = [(1000 * k + i, made_up(rng, k, 80), f"x{k:03d}") for k in range(450) for i in range(3 if k else 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    tests = [(k, made_up(rng, k, 60)) for k in range(450)]
+    found = model.predict([t for _, t in tests])[0]
+    assert sum(f"x{k:03d}" == f for (k, _), f in zip(tests, found, strict=True)) >= 0.95 * 450
+    machines, trees = 0, [model.tree]
+    while trees:
+        tree = trees.pop()
+        machines += len(tree.votes.weights)
+        assert len(tree.below) <= language_id.BRANCH
+        trees += [b for b in tree.below if not isinstance(b, str)]
+    assert machines < 450 * language_id.BRANCH
+
+
+def test_two_steps_equal_votes_counted_by_hand():
+    """Families first, then the languages of the winner; all pairs' votes by plain loops."""
+    rng = np.random.default_rng(1)
+    langs = ["de", "en", "fr", "es", "xx"]
+    texts = [(lang, made_up(rng, k, 40)) for k, lang in enumerate(langs) for _ in range(6)]
+    x = np.stack([language_id.features(language_id.trigrams(t)) for _, t in texts])
+    model = language_id.Model.train(x, [lang for lang, _ in texts], [1] * len(texts))
+
+    def best(votes, row):
+        n = len(votes.names)
+        total = [0.0] * n
+        for k, (a, b) in enumerate(votes.pairs):
+            margin = float(np.dot(votes.weights[k, :-1], row) + votes.weights[k, -1])
+            p = 1 / (1 + np.exp(-language_id.SLOPE * margin))
+            total[a] += p / (n - 1)
+            total[b] += (1 - p) / (n - 1)
+        return max(range(n), key=lambda i: total[i]), max(total)
+
+    for k, lang in enumerate(langs):
+        text = made_up(rng, k, 30)
+        row = language_id.features(language_id.trigrams(text))
+        node, score = model.tree, 1.0
+        while not isinstance(node, str):
+            i, share = best(node.votes, row)
+            node, score = node.below[i], score * share
+        got = model.predict([text])
+        assert (got[0][0], got[1][0]) == (node, pytest.approx(score, rel=1e-4)) and node == lang
+
+
+def test_long_labelled_documents_are_learned_from(spark):
+    """Only documents of thousands of lines carry a label; one id is on many rows."""
+    rows = [(i, "\n".join(["good words in a calm line"] * 3000), 1) for i in range(4)]
+    rows += [(10 + i, "\n".join(["BUY!!! $$$ NOW 999"] * 3000), 0) for i in range(4)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows + rows[:1] * 50], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    model = quality.fit(docs, labels, train_lines=2000)
+    good, bad = model.scores([rows[0][1], rows[-1][1]])
+    assert good > 0.8 > 0.2 > bad
+
+
+def test_lines_are_shared_out_and_spread():
+    assert quality.longest_part([(3, 10), (5, 2)], 1000) == 5
+    assert quality.longest_part([(3, 10), (1000, 2)], 130) == 50
+    assert quality.longest_part([(9, 10)], 5) == 1 and quality.longest_part([], 5) == 1
+    for lines, most in ((10, 10), (1000, 100), (1000, 7), (26, 25), (3000, 2000)):
+        at = quality.spread_lines(lines, most)
+        assert len(at) <= most and at.max() < lines and (len(at) > 0.5 * most)
+        assert most < 50 or lines <= most or (at[0] == 0 and at[-1] == lines - 1)
+
+
+def test_quality_is_the_length_weighted_mean_over_all_labelings():
+    """The score of small documents, from the sum over every labelling of their lines."""
+    from itertools import product
+    texts = ["a plain line\nshort", "BUY NOW!!!\n$$$ 999\nmore words here", ""]
+    rng = np.random.default_rng(4)
+    x, size, counts = quality.line_features(texts)
+    full = quality.with_neighbours(x, quality.firsts(counts))
+    model = quality.Model(full.mean(axis=0), full.std(axis=0) + 1, rng.normal(size=full.shape[1]),
+                          rng.normal(size=(2, 2)), rng.normal(size=2), (0.3, 1.2))
+    emit = ((full - model.mean) / model.scale) @ model.weights
+    start = 0
+    for text, n, got in zip(texts, counts, model.scores(texts), strict=True):
+        own, weight = emit[start:start + n], size[start:start + n] + 1
+        total = good = 0.0
+        for labels in product((0, 1), repeat=int(n)):
+            energy = model.begin[labels[0]] + sum(e for e, y in zip(own, labels, strict=True) if y)
+            energy += sum(model.moves[a, b] for a, b in zip(labels, labels[1:], strict=False))
+            p = np.exp(energy)
+            total += p
+            good += p * (np.array(labels) @ weight) / weight.sum()
+        q = good / total
+        assert got == pytest.approx(1 / (1 + np.exp(-(0.3 + 1.2 * np.log(q / (1 - q))))), rel=1e-6), text
+        start += n

@@ -127,11 +127,12 @@ def lowest(df: DataFrame, draw: str, ties: list[str], bound: int) -> DataFrame:
 
 def labelled(
     docs: DataFrame, labels: DataFrame, label_col: str, bound: int,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", once: bool = False,
 ) -> DataFrame:
     """``text, label`` of at most ``bound`` labelled documents, those with the lowest id hashes.
 
-    The cut is found on ids alone, so that only texts that are learned from are joined.
+    The cut is found on ids alone, so that only texts that are learned from are joined. With ``once``
+    an id on several rows gives one text, that with the lowest hash.
     """
     draw = F.xxhash64(F.lit("draw"), labels[id_col])
     known = labels.select(
@@ -140,4 +141,8 @@ def labelled(
     ).where("label IN (0, 1) AND id IS NOT NULL").dropDuplicates(["id"])
     chosen = stage(lowest(known, "draw", ["id"], bound), "labelled")
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    return texts.join(F.broadcast(chosen), "id").select("text", "label")
+    known = texts.join(F.broadcast(chosen), "id")
+    if once:
+        least = F.min_by(F.struct("text", "label"), F.xxhash64("text"))
+        known = known.groupBy("id").agg(least.alias("row")).select("row.*")
+    return known.select("text", "label")

@@ -2,8 +2,11 @@
 
 A text is the square root of the shares of its hashed letter trigrams. Linear support vector machines,
 one for each pair of classes, vote: first between families, then between the languages of the family
-that won. The machines are trained in numpy on a bounded sample that is spread evenly over the
-languages; every text is scored whole, in place, without a shuffle.
+that won. Families are those that are known, each other language is one of its own; where more than
+``BRANCH`` families or languages meet, those with like trigrams are put together first, so a language
+adds about as many machines as others stand beside it, and there is no bound on languages. The machines
+are trained in numpy on a bounded sample that is spread evenly over the languages; every text is scored
+whole, in place, without a shuffle.
 
 Machines choose between the learned languages, whatever the text. How well a text fits a language is
 measured apart: the mean log ratio of its trigrams' shares in that language to even chance, with three
@@ -30,9 +33,12 @@ from tidelog.llm.batches import map_texts, remainder
 
 UNKNOWN = "und"
 SLOTS = 4096
-# Bounds of what is learned: documents over all languages, and languages (the commonest are kept).
+# Bound of what is learned: documents over all languages, and one of each language at least. A column
+# of more values than MOST_LANGUAGES does not name languages, and is refused.
 TRAIN_DOCS = 2400
-MAX_LANGUAGES = 400
+MOST_LANGUAGES = 20_000
+# Classes that machines tell apart at once; beyond that, like ones are grouped first.
+BRANCH = 12
 # Votes are logistic in the margin, with this slope.
 SLOPE = 4.0
 # Standard errors granted to the fit of a text, and the least share of chance in a language's trigrams.
@@ -139,12 +145,71 @@ def log_ratios(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.log((1 - chance) * shares * SLOTS + chance)
 
 
+def group_alike(centres: np.ndarray, groups: int) -> list[list[int]]:
+    """Rows put together by their nearest of some rows that lie far apart; each group has one of them."""
+    chosen = [0]
+    apart = np.full(len(centres), np.inf)
+    nearest = np.zeros(len(centres), int)
+    for k in range(groups):
+        gap = ((centres - centres[chosen[-1]]) ** 2).sum(axis=1)
+        nearest = np.where(gap < apart, k, nearest)
+        apart = np.minimum(apart, gap)
+        chosen.append(int(apart.argmax()))
+    return [g for k in range(groups) if (g := np.flatnonzero(nearest == k).tolist())]
+
+
+@dataclass
+class Tree:
+    """Machines between groups of languages, and what tells each group's languages apart."""
+
+    votes: Votes
+    below: list[Tree | str]
+
+    @staticmethod
+    def grow(x: np.ndarray, langs: np.ndarray, groups: list[list[str]]) -> Tree | str:
+        """``groups`` of languages are told apart first, then the languages of each."""
+        if len(groups) == 1:
+            if len(groups[0]) == 1:
+                return groups[0][0]
+            groups = [[lang] for lang in groups[0]]
+        whole = groups
+        if len(groups) > BRANCH:
+            centres = np.stack([x[np.isin(langs, g)].mean(axis=0) for g in groups])
+            alike = group_alike(centres, BRANCH)
+            if len(alike) > 1:  # equal centres cannot be grouped: their machines meet at once
+                whole = [[lang for i in some for lang in groups[i]] for some in alike]
+        of = {lang: k for k, g in enumerate(whole) for lang in g}
+        labels = [str(of[lang]) for lang in langs.tolist()]
+        votes = Votes.train(x, labels, [str(k) for k in range(len(whole))])
+        below = []
+        for g in whole:
+            own = np.isin(langs, g)
+            inside = [h for h in groups if h[0] in set(g)] if whole is not groups else [g]
+            below.append(Tree.grow(x[own], langs[own], inside))
+        return Tree(votes, below)
+
+    def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's language, and the product of the shares of votes that led to it."""
+        langs, scores = np.empty(len(x), object), np.zeros(len(x))
+        if not len(x):
+            return langs, scores
+        shares = self.votes.shares(x)
+        best = shares.argmax(axis=1)
+        for k, child in enumerate(self.below):
+            own = np.flatnonzero(best == k)
+            if isinstance(child, str):
+                langs[own], scores[own] = child, shares[own, k]
+            elif len(own):
+                found, inner = child.predict(x[own])
+                langs[own], scores[own] = found, inner * shares[own, k]
+        return langs, scores
+
+
 @dataclass
 class Model:
-    """Machines between families, and between the languages of each; log ratios by language."""
+    """Machines between families and between the languages of each; log ratios by language."""
 
-    families: Votes
-    within: dict[str, Votes]
+    tree: Tree
     ratios: dict[str, np.ndarray]
 
     @staticmethod
@@ -152,15 +217,15 @@ class Model:
         if not langs:
             return None
         names = sorted(set(langs))
-        kinds = [family(lang) for lang in langs]
-        within = {}
-        for kind in sorted(set(kinds)):
-            own = [i for i, k in enumerate(kinds) if k == kind]
-            inside = [lang for lang in names if family(lang) == kind]
-            within[kind] = Votes.train(x[own], [langs[i] for i in own], inside)
-        got, sizes = np.array(langs), np.array(sizes)
+        families: dict[str, list[str]] = {}
+        for lang in names:
+            families.setdefault(family(lang), []).append(lang)
+        got, sizes = np.array(langs, object), np.array(sizes)
+        tree = Tree.grow(x, got, [families[f] for f in sorted(families)])
+        if isinstance(tree, str):
+            tree = Tree(Votes.train(x, ["0"] * len(x), ["0"]), [tree])
         ratios = {lang: log_ratios(x[got == lang], sizes[got == lang]) for lang in names}
-        return Model(Votes.train(x, kinds, sorted(set(kinds))), within, ratios)
+        return Model(tree, ratios)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float | None]]:
         """Languages, scores and fits; ``und`` has no fit."""
@@ -169,21 +234,13 @@ class Model:
         rows = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
         if rows:
             counts = [trigrams(texts[i]) for i in rows]
-            x = np.stack([features(c) for c in counts])
-            shares = self.families.shares(x)
-            best = shares.argmax(axis=1)
-            for k, kind in enumerate(self.families.names):
-                own = np.flatnonzero(best == k)
-                if len(own):
-                    votes = self.within[kind]
-                    inside = votes.shares(x[own])
-                    for j, p, i in zip(inside.argmax(1), inside.max(1), own, strict=True):
-                        langs[rows[i]] = votes.names[j]
-                        scores[rows[i]] = float(p * shares[i, k])
-                        fit = self.fit_of(counts[i], votes.names[j])
-                        if fit < 0:
-                            fit = max(self.fit_of(counts[i], lang) for lang in self.ratios)
-                        fits[rows[i]] = fit
+            found, shares = self.tree.predict(np.stack([features(c) for c in counts]))
+            for i, row in enumerate(rows):
+                langs[row], scores[row] = found[i], float(shares[i])
+                fit = self.fit_of(counts[i], found[i])
+                if fit < 0:
+                    fit = max(self.fit_of(counts[i], lang) for lang in self.ratios)
+                fits[row] = fit
         return langs, scores, fits
 
     def fit_of(self, counts: np.ndarray, lang: str) -> float:
@@ -204,22 +261,26 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     train_docs: int = TRAIN_DOCS,
-    max_languages: int = MAX_LANGUAGES,
 ) -> Model | None:
-    """Learn from at most ``train_docs`` documents, as many of each language as there can be."""
+    """Learn from at most ``train_docs`` documents, as many of each language as there can be, but one
+    of each language at least."""
     known = docs.select(
         docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = docs.where(docs[lang_col].isNotNull() & docs[text_col].isNotNull()).groupBy(
         docs[lang_col].alias("lang")
     ).agg(F.count("*").alias("n"))
-    counts = counts.orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    counts = counts.limit(MOST_LANGUAGES + 1).collect()
     if not counts:
         return None
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} values: it does not name languages")
     each = max(1, train_docs // len(counts))
     # Twice as many candidates as are kept, by a hash, so that few texts are read through.
+    # Few would be too few by chance.
+    several = max(2 * each, 64)
     shares = docs.sparkSession.createDataFrame(
-        [(r.lang, min(1.0, 2 * each / r.n)) for r in counts], "lang string, share double"
+        [(r.lang, min(1.0, several / r.n)) for r in counts], "lang string, share double"
     )
     draw = F.xxhash64(F.col("id").cast("string"), "text")
     some = known.join(F.broadcast(shares), "lang").where(

@@ -22,13 +22,16 @@ from operator import eq
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tidelog.llm.batches import labelled, map_texts, remainder
 from tidelog.llm.scans import chain
 
-# Bounds of what is learned: labelled documents, and lines of a document that is learned from.
+# Bounds of what is learned: labelled documents, and lines over all of them. If they have more, the
+# longest documents are learned from in part, by evenly spaced runs of so many lines.
 TRAIN_DOCS = 3000
-TRAIN_LINES = 2000
+TRAIN_LINES = 300_000
+RUN = 25
 ROUNDS, RATE, PENALTY = 250, 0.05, 1e-4
 
 _KINDS = 8
@@ -219,6 +222,29 @@ def held_out(docs: DataFrame, id_col: str = "doc_id") -> Column:
     return remainder(docs[id_col], 5) == 0
 
 
+def longest_part(sizes: list[tuple[int, int]], total: int) -> int:
+    """The most lines a document may give, so that all give at most ``total``; at least one each.
+
+    ``sizes`` are numbers of lines with how many documents have them.
+    """
+    left, docs = total, sum(d for _, d in sizes)
+    for n, d in sorted(sizes):
+        if n * docs > left:
+            return max(1, left // docs)
+        left, docs = left - n * d, docs - d
+    return max((n for n, _ in sizes), default=1)
+
+
+def spread_lines(lines: int, most: int, run: int = RUN) -> np.ndarray:
+    """Which of a document's lines are learned from: all, or evenly spaced runs that make ``most``."""
+    if lines <= most:
+        return np.arange(lines)
+    run = min(run, most)
+    runs = most // run
+    starts = np.linspace(0, lines - run, runs).astype(int) if runs > 1 else [(lines - run) // 2]
+    return np.unique(np.concatenate([np.arange(s, s + run) for s in starts]))
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -228,27 +254,31 @@ def fit(
     train_docs: int = TRAIN_DOCS,
     train_lines: int = TRAIN_LINES,
 ) -> Model | float:
-    """Learn from at most ``train_docs`` labelled documents of at most ``train_lines`` lines.
+    """Learn from at most ``train_docs`` labelled documents and ``train_lines`` lines of theirs.
 
-    Lines become features where the texts are; only those reach the driver. Without labels of both
-    kinds the share of good labels is returned, and stands for every score.
+    Lines become features where the texts are; only those reach the driver. An id on several rows is
+    learned from once. Without labels of both kinds the share of good labels is returned, and stands
+    for every score.
     """
-    known = labelled(docs, labels, label_col, train_docs, id_col, text_col)
+    known = labelled(docs, labels, label_col, train_docs, id_col, text_col, once=True)
+    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n"))
+    sizes = known.groupBy(lines.alias("n")).agg(F.count("*").alias("docs")).collect()
+    most = longest_part([(r.n, r.docs) for r in sizes], train_lines)
 
     def make():
         def step(texts):
             x, size, counts = line_features(texts)
             at = np.cumsum(counts)[:-1]
-            rows = zip(np.split(x, at), np.split(size, at), counts, strict=True)
+            rows = zip(np.split(x, at), np.split(size, at), counts.tolist(), strict=True)
             made = [
-                np.column_stack([a, s]).astype("<f4").tobytes() if c <= train_lines else None
+                np.column_stack([a, s])[spread_lines(c, most)].astype("<f4").tobytes()
                 for a, s, c in rows
             ]
             return {"lines": made}
 
         return step
 
-    rows = map_texts(known, ["label"], "text", "lines binary", make).where("lines IS NOT NULL")
+    rows = map_texts(known, ["label"], "text", "lines binary", make)
     rows = sorted(rows.collect(), key=lambda r: (r.label, bytes(r.lines)))
     y = np.array([r.label for r in rows], np.int64)
     if len(set(y.tolist())) < 2:

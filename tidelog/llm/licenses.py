@@ -1,14 +1,16 @@
 """License scans: which license notices a text holds, by conditional compression.
 
-Every notice is looked for in blocks of about its own length, wherever they stand in a sentence, line or
-wrapped paragraph: the words of a text that differ least from the notice's, as an exact alignment of the
-notice with the whole text finds them. Windows that lack too many of the notice's words to come within
-the allowed differences are passed over first, which loses nothing. Each block is then compressed alone,
-and with the notice as a raw zstandard dictionary: what the dictionary saves says how much of the block
-the notice explains. Of overlapping blocks the closest one wins; all that do not overlap are reported.
-
-Defined results: null and empty texts hold no notice; ties go to the larger saving, then to the name that
-sorts first; notices that repeat in a text are reported once each; rows are scanned one by one, so
+Candidate blocks are windows of about a notice's length, wherever they stand in a sentence, line or wrapped
+paragraph; windows that lack too many of a notice's words to be it are passed over, which loses nothing.
+Each block is compressed alone, and with every candidate notice as a raw zstandard dictionary. The bytes
+that a dictionary saves rank the notices: the one that explains most of a block comes first, a longer
+notice before one that is part of it. In that order winners are confirmed by their exact wording: an
+alignment of the notice with the words there may differ in few words, and in none that decides between
+licenses, such as a number, ``lesser`` or a clause (:data:`tidelog.llm.notices.DECISIVE`). A notice that is
+not confirmed leaves its words to the next one; all that do not overlap are reported.
+
+Defined results: null and empty texts hold no notice; of equal savings the name that sorts first wins;
+notices that repeat in a text are reported once each; rows are scanned one by one, so
 repeated rows get equal results; an empty table gives an empty table; only the named columns are read.
 """
 
@@ -22,34 +24,8 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from tidelog.llm.batches import map_texts
+from tidelog.llm.notices import DECISIVE, NOTICES
 
-# Short notices and the opening sentences of notices in common use, by license name.
-NOTICES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use "
-     "this file except in compliance with the License."),
-    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without "
-     "modification, are permitted provided that the following conditions are met:"),
-    ("CC-BY-4.0", "This work is licensed under CC BY 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International "
-     "License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-     "International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the "
-     "terms of the GNU General Public License as published by the Free Software Foundation, either "
-     "version 3 of the License, or (at your option) any later version."),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-     "software and associated documentation files, to deal in the Software without restriction."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, "
-     "v. 2.0."),
-)
 # Words of notices that any prose may use.
 _PLAIN = frozenset(
     "this that with from under have either later either person files work terms code form free use "
@@ -57,14 +33,18 @@ _PLAIN = frozenset(
 )
 # One of these words makes a candidate; of the notices' other rare words it takes two.
 _TELLING = frozenset("license licensed licence licenced copyright redistribution".split())
+# Of notices longer than this many words only such long ones count as rare: full texts use plain words.
+_FULL_TEXT, _LONG_WORD = 40, 10
 
-# A notice may differ from its template by this share of the template's words. The dictionary must save
-# this share of the compressed size of a block, which is about as long as the notice.
-MAX_DIFFERENCE, LEAST_SAVING = 0.2, 0.15
+# A notice may differ from its template by this share of the template's words. On a block it must save
+# this share of the bytes that it saves on its own template.
+MAX_DIFFERENCE, LEAST_SAVING = 0.2, 0.35
 
 _TELLING_BYTES = frozenset(w.encode() for w in _TELLING)
 _APART = bytes(b if b < 0x80 and chr(b).isalnum() else 0x20 for b in range(256))
 _WORD = re.compile(r"[A-Za-z0-9]+")
+# What makes a number or a name go on behind its last word.
+_GOES_ON = re.compile(r"\.[0-9]+|-[A-Za-z0-9]+|\+")
 # What closes a notice belongs to its span.
 _CLOSE = re.compile(r"""["')\]]*[.!?:;]?""")
 
@@ -79,13 +59,20 @@ class Scanner:
     def __init__(self, notices=NOTICES):
         self.notices = [(name, _words(text)) for name, text in notices]
         self.rare = frozenset(
-            w for _, words in self.notices for w in words if len(w) > 3 and w.isalpha()
+            w for _, words in self.notices for w in words
+            if len(w) > (3 if len(words) <= _FULL_TEXT else _LONG_WORD - 1) and w.isalpha()
         ) - _PLAIN
         self.rare_bytes = frozenset(w.encode() for w in self.rare)
-        names = Counter(w for w, _ in {(w, n) for n, words in self.notices for w in words})
         self.distinct = [sorted(set(words)) for _, words in self.notices]
-        # Words of one license only: a block has to hold one of them, where the notice has any.
-        self.own = [frozenset(w for w in words if names[w] == 1) for words in self.distinct]
+        self.numbered = [any(w.isdigit() for w in words) for _, words in self.notices]
+        self.decisive = [self._decisive(i, words) for i, (_, words) in enumerate(self.notices)]
+        # What must not follow a notice: the decisive words by which a longer one goes on.
+        self.goes_on = [
+            [(len(long) - len(words), self._decisive(j, long[len(words):]).keys())
+             for j, (_, long) in enumerate(self.notices)
+             if len(long) > len(words) and long[:len(words)] == words and self.decisive[j] != own]
+            for (_, words), own in zip(self.notices, self.decisive, strict=True)
+        ]
         self.alone = zstandard.ZstdCompressor(level=19)
         self.given = []
         for _, words in self.notices:
@@ -93,6 +80,12 @@ class Scanner:
                 (" ".join(words) + " ").encode().rjust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT
             )
             self.given.append(zstandard.ZstdCompressor(level=19, dict_data=held))
+        self.full = [self.saved(i, words)[0] for i, (_, words) in enumerate(self.notices)]
+
+    def _decisive(self, i: int, words: list[str]) -> Counter:
+        """The words that decide between licenses, as far as they do for notice ``i``."""
+        numbers = self.numbered[i]
+        return Counter(w for w in words if w in DECISIVE or numbers and w.isdigit())
 
     @staticmethod
     def _telling(words, rare: frozenset, telling: frozenset) -> bool:
@@ -144,14 +137,52 @@ class Scanner:
         ends = np.flatnonzero((cost[1:] <= allowed) & (cost[1:] <= cost[:-1])) + 1
         return [(int(cost[e]), int(start[e]), int(e)) for e in ends if start[e] < e]
 
-    def saving(self, i: int, words: list[str]) -> float:
-        """What notice ``i`` saves of the words' compressed size."""
+    def saved(self, i: int, words: list[str], alone: int | None = None) -> tuple[int, int]:
+        """Bytes that notice ``i`` as dictionary saves on the words, and their size without it."""
         data = " ".join(words).encode()
-        alone = len(self.alone.compress(data))
-        return (alone - len(self.given[i].compress(data))) / alone
+        size = len(self.alone.compress(data)) if alone is None else alone
+        return size - len(self.given[i].compress(data)), size
+
+    def ranked(self, words: list[str], regions: list[tuple[int, int, int]]) -> list[tuple]:
+        """Candidates ``(-saved, license, notice, first word, end, region)``, the largest saving first.
+
+        Blocks are cut for every notice's length; in each, all notices whose region is there compete.
+        """
+        blocks = set()
+        for i, a, b in regions:
+            reach = len(self.notices[i][1]) + int(MAX_DIFFERENCE * len(self.notices[i][1]))
+            step = max(1, reach // 4)
+            blocks |= {(k, min(k + reach, b)) for k in range(a, max(a + 1, b - reach + step), step)}
+        out, known = [], {}
+        for a, b in sorted(blocks):
+            block = words[a:b]
+            for r, (i, low, high) in enumerate(regions):
+                if low >= b or high <= a:
+                    continue
+                key = (i, tuple(block))
+                if key not in known:
+                    alone = known.get(key[1])
+                    saved, known[key[1]] = self.saved(i, block, alone)
+                    known[key] = saved
+                if known[key] >= LEAST_SAVING * self.full[i]:
+                    out.append((-known[key], self.notices[i][0], i, a, b, r))
+        return sorted(out)
+
+    def confirmed(self, i: int, text: str, spans: list, words: list[str], start: int, stop: int) -> bool:
+        """Whether the words of a block are the notice's in all that decides, and end where it ends."""
+        if self._decisive(i, words[start:stop]) != self.decisive[i]:
+            return False
+        for more, signs in self.goes_on[i]:
+            reach = more + int(MAX_DIFFERENCE * more) + 1
+            if 2 * len(signs & set(words[stop:stop + reach])) >= len(signs):
+                return False
+        # A version or a name that goes on, such as 2.1 after 2, or MIT-0; but 3.0 is 3.
+        end = spans[stop - 1][1]
+        rest = _GOES_ON.match(text, end)
+        return rest is None or rest[0] == ".0"
 
     def scan(self, text: str | None) -> list[dict]:
-        """The notices of a whole text, in order; of overlapping blocks the closest match."""
+        """The notices of a whole text, in order."""
         # Most texts are told by their set of words alone.
         every = set((text or "").lower().encode("utf-8", "replace").translate(_APART).split())
         if not self._telling(every, self.rare_bytes, _TELLING_BYTES):
@@ -164,29 +195,28 @@ class Scanner:
             if w in wanted:
                 at.setdefault(w, []).append(k)
         at = {w: np.array(places) for w, places in at.items()}
-        found, savings = [], {}
-        for i, (name, notice) in enumerate(self.notices):
-            for a, b in self.regions(i, at, len(words)):
-                for apart, start, stop in self.align(i, words[a:b]):
-                    block = words[a + start:a + stop]
-                    if self.own[i] and self.own[i].isdisjoint(block):
-                        continue
-                    key = (i, tuple(block))
-                    if key not in savings:
-                        savings[key] = self.saving(i, block)
-                    if savings[key] >= LEAST_SAVING:
-                        found.append((apart / len(notice), -savings[key], name, a + start,
-                                      a + stop, apart))
-        out: list[tuple] = []
-        taken = np.zeros(len(words), bool)
-        for hit in sorted(found):
-            if not taken[hit[3]:hit[4]].any():
-                taken[hit[3]:hit[4]] = True
-                out.append(hit)
+        regions = [
+            (i, a, b) for i in range(len(self.notices)) for a, b in self.regions(i, at, len(words))
+        ]
+        taken, out, aligned = np.zeros(len(words), bool), [], {}
+        for _, name, i, low, high, r in self.ranked(words, regions):
+            if taken[low:high].all():
+                continue
+            if r not in aligned:
+                _, a, b = regions[r]
+                aligned[r] = sorted(
+                    (apart, a + start, a + stop) for apart, start, stop in self.align(i, words[a:b])
+                    if self.confirmed(i, text, spans, words, a + start, a + stop)
+                )
+            for apart, start, stop in aligned[r]:
+                if start < high and stop > low and not taken[start:stop].any():
+                    taken[start:stop] = True
+                    saved, alone = self.saved(i, words[start:stop])
+                    out.append((start, stop, name, saved / alone, apart))
         return [
             {"start": spans[start][0], "stop": _CLOSE.match(text, spans[stop - 1][1]).end(),
-             "license": name, "saving": -saved, "n_diff": apart}
-            for _, saved, name, start, stop, apart in sorted(out, key=lambda x: x[3])
+             "license": name, "saving": saving, "n_diff": apart}
+            for start, stop, name, saving, apart in sorted(out)
         ]
 
 

@@ -50,8 +50,8 @@ def test_language_edges(spark, edges, nothing):
 
 @pytest.mark.parametrize(
     ("name", "label", "held", "recall"),
-    [("op4_quality", "quality", lambda i: crc(i) % 5 == 0, 0.95),
-     ("op6_toxicity", "toxic", lambda i: crc(i) % 3 == 1, 0.5)],
+    [("op4_quality", "quality", lambda i: crc(i) % 5 == 0, 0.98),
+     ("op6_toxicity", "toxic", lambda i: crc(i) % 3 == 1, 0.75)],
 )
 def test_label_accuracy(spark, name, label, held, recall):
     rows = queries.QUERIES[name](spark, DATA).collect()
@@ -61,7 +61,9 @@ def test_label_accuracy(spark, name, label, held, recall):
     test = [r for r in rows if r.held_out and r.doc_id in known]
     right = sum(r.predicted == known[r.doc_id] for r in test)
     found = [r.predicted for r in test if known[r.doc_id] == 1]
-    assert right >= 0.94 * len(test) and np.mean(found) >= recall
+    clean = [r.predicted for r in test if known[r.doc_id] == 0]
+    assert right >= 0.96 * len(test) and np.mean(found) >= recall
+    assert name != "op6_toxicity" or not any(clean)
 
 
 @pytest.mark.parametrize("module", [quality, toxicity])
@@ -92,9 +94,57 @@ def test_channel_restores():
                          ("stuuupid", "stupid"), ("d1sgust1ng,", "disgusting"), ("m0r0n!", "moron"),
                          ("p@thet1c", "pathetic"), ("class", "class")]:
         assert meant in channel.readings(shown), shown
-    assert toxicity.tokens("an i d i o t ok")[1] == ["i d i o t"]
+    assert toxicity.tokens("an i d i o t ok")[1] == ["idiot"]
+    assert toxicity.tokens("a  b c d  e f g h  x y")[1] == ["bcd", "efgh"]
+    assert toxicity.tokens("l   o\to  s")[1] == [] and toxicity.tokens("o d d")[1] == ["odd"]
     assert channel.restore("i d i o t") == "idiot"
     assert channel.readings("###") == set()
+    for shown, meant in [("idiot", {"idiot"}), ("astupid", {"stupid"}),
+                         ("1d10tmor0n", {"idiot", "moron"})]:
+        assert meant <= channel.words(shown), shown
+
+
+def test_words_of_a_run_are_the_likeliest_split():
+    """The lattice with word edges against every split of the letters, by plain sums."""
+    channel = toxicity.Channel(toxicity.trigram_counts(["the cat sat on a mat", "a dog ran to the hat"] * 50))
+
+    def cost(words):
+        total, a, b = 0.0, toxicity._EDGE, toxicity._EDGE
+        for word in words:
+            for letter in word:
+                c = toxicity._symbol(letter)
+                total, a, b = total + channel.cost[a][b][c], b, c
+            total, a, b = total + channel.cost[a][b][toxicity._EDGE], b, toxicity._EDGE
+        return total
+
+    for letters in ("thecat", "adogran", "onamat", "zzz", "tothehat"):
+        cuts = range(2 ** (len(letters) - 1))
+        splits = ["".join(x + (" " if cut >> i & 1 else "") for i, x in enumerate(letters)).split() for cut in cuts]
+        best = min(splits, key=cost)
+        assert {w for w in best if len(w) > 2} <= channel.words(letters)
+
+
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    return toxicity.fit(docs, spark.read.parquet(f"{DATA}/labels.parquet").select("doc_id", "toxic"))
+
+
+def test_disguises_score_as_the_plain_word(toxic_model):
+    hits = toxic_model.scorer()
+
+    def score(text):
+        return toxic_model.score(*hits(text))
+
+    plain, clean = score("you are a loser"), score("you are a farmer")
+    assert plain > 0.6 > 0.2 > clean
+    for text in ["losser", "l0ser", "looser!!", "l.o.s.e.r", "l o s e r", "l  o  s  e  r", "a l o s e r",
+                 "you are a l o s e r now", "lllooossseeerrr"]:
+        assert score(text) == pytest.approx(plain), text
+    for text in ["l o s e r i d i o t", "l o s e r  i d i o t", "iddiot loserr"]:
+        assert score(text) >= plain - 0.02, text
+    for text in ["a b c", "i a m", "plan b c d e", "a loose letter rolls off the hill", "", None]:
+        assert score(text) == pytest.approx(clean), text
 
 
 def test_marginals_equal_enumeration():

@@ -49,10 +49,14 @@ SIGN, GAP, REPEAT = 0.5, 0.3, 1.0
 _EDGE, _OTHER, _SYMBOLS = 26, 27, 28
 _SIGNS = re.escape("".join(LEET))
 _HIDING = re.compile(rf"[{_SIGNS}]|(.)\1\1|\w[{re.escape(SEPARATORS)}]+\w")
-_SPACED = re.compile(rf"(?<!\S)(?:[^\W_]|[{_SIGNS}])(?:\s(?:[^\W_]|[{_SIGNS}])){{3,}}(?!\S)")
+_SPACED = re.compile(rf"(?<!\S)(?:[^\W_]|[{_SIGNS}])(?:\s+(?:[^\W_]|[{_SIGNS}])){{2,}}(?!\S)")
+_BLANKS = re.compile(r"\s+")
 _CORE = re.compile(r"[^\W\d_](?:.*[^\W\d_])?", re.DOTALL)
 _SIDES = re.compile(rf"[{_SIGNS}]{{0,2}}[^\W\d_](?:.*[^\W\d_])?[{_SIGNS}]{{0,2}}", re.DOTALL)
 _RUNS = re.compile(r"(.)\1+", re.DOTALL)
+_DOUBLED = re.compile(r"([^\W\d_])\1")
+# Words of one letter in the languages that use these letters.
+_ALONE = frozenset("aeiouy")
 
 
 def _symbol(letter: str) -> int:
@@ -122,12 +126,51 @@ class Channel:
             letters.append(letter)
         return "".join(reversed(letters))
 
+    def words(self, letters: str) -> set[str]:
+        """What letters that stood apart may say: one word, or the likeliest words in a row.
+
+        Between two letters the lattice may close a word and begin the next one.
+        """
+        paths = {(_EDGE, _EDGE): (0.0, None)}
+        for at, sign in enumerate(letters):
+            moves = [(sign, 0.0)] if sign.isalpha() else []
+            moves += [(letter, SIGN) for letter in LEET.get(sign, "")]
+            after: dict = {}
+            for (a, b), (cost, path) in paths.items():
+                for letter, extra in moves or [("", GAP)]:
+                    if not letter:
+                        ways = [((a, b), cost + extra, path)]
+                    else:
+                        c = _symbol(letter)
+                        ways = [((b, c), cost + extra + self.cost[a][b][c], (path, letter))]
+                        if at and b != _EDGE:
+                            close = self.cost[a][b][_EDGE] + self.cost[b][_EDGE][c]
+                            ways.append(((_EDGE, c), cost + extra + close, (path, f" {letter}")))
+                    for key, total, way in ways:
+                        if key not in after or total < after[key][0]:
+                            after[key] = (total, way)
+            paths = after
+        _, path = min(
+            ((cost + self.cost[a][b][_EDGE], path) for (a, b), (cost, path) in paths.items()),
+            key=lambda x: x[0],
+        )
+        said = []
+        while path:
+            path, letter = path
+            said.append(letter)
+        whole = {self.restore(letters), self.restore(_RUNS.sub(r"\1", letters))}
+        # A word of one letter may stand in front of the spaced one.
+        rest = {self.restore(letters[1:])} if len(letters) > 3 and letters[0] in _ALONE else set()
+        return whole | rest | {w for w in "".join(reversed(said)).split() if len(w) > 2}
+
     def readings(self, token: str) -> set[str]:
         """What a token of text may say: itself without signs around it, and its restored forms."""
         core = _CORE.search(token)
         if not core:
             return set()
         out = {core[0]}
+        if _DOUBLED.search(core[0]):
+            out.add(_RUNS.sub(r"\1", core[0]))
         for shape in {core[0], _SIDES.search(token)[0]}:
             if _HIDING.search(shape):
                 out.add(self.restore(shape))
@@ -142,11 +185,22 @@ def entries(word: str) -> list[str]:
 
 
 def tokens(text: str | None) -> tuple[set[str], list[str]]:
-    """Distinct tokens in lower case, and runs of single letters with spaces between them."""
+    """Distinct tokens in lower case, and runs of three or more letters with blanks between them.
+
+    A run whose gaps differ is cut at the wider ones, where words end.
+    """
     if not text:
         return set(), []
-    lower = text.lower()
-    return set(lower.split()), [m[0] for m in _SPACED.finditer(lower)]
+    lower, runs = text.lower(), []
+    for found in _SPACED.finditer(lower):
+        letters, gaps = _BLANKS.split(found[0]), _BLANKS.findall(found[0])
+        narrow, start = min(map(len, gaps)), 0
+        for i, gap in enumerate([*gaps, None], 1):
+            if gap is None or len(gap) > narrow:
+                if i - start > 2:
+                    runs.append("".join(letters[start:i]))
+                start = i
+    return set(lower.split()), runs
 
 
 @dataclass
@@ -184,7 +238,7 @@ class Model:
                     total += weight
                     count += 1
             for run in runs:
-                weight = weigh({channel.restore(run), channel.restore(_RUNS.sub(r"\1", run))})
+                weight = weigh(channel.words(run))
                 if weight:
                     total += weight
                     count += 1
@@ -236,7 +290,7 @@ def _learn_lexicon(
                 for text, label in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     found, runs = tokens(text)
                     words = {w for t in found for w in channel.readings(t)}
-                    words |= {channel.restore(r) for r in runs}
+                    words |= {w for r in runs for w in channel.words(r)}
                     seen[label].update({e for w in words for e in entries(w)})
                 names = list(seen[0].keys() | seen[1].keys())
                 yield pa.RecordBatch.from_arrays(

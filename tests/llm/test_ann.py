@@ -78,3 +78,43 @@ def test_forest_finds_neighbours_without_visiting_everything():
         right += mask[near].sum()
         seen += mask.mean()
     assert right >= 0.9 * 200 and seen < 0.35 * 20
+
+
+def compared(forest, x, leaves, every):
+    """Recall of ten neighbours, and the share of rows that a query is compared with."""
+    at, right, seen, queries = forest.leaves(x), 0, 0.0, range(0, len(x), every)
+    for i in queries:
+        order = np.zeros((len(forest.cuts), 1 << forest.depth), bool)
+        t, leaf = zip(*forest.visits(x[i], leaves), strict=True)
+        order[list(t), list(leaf)] = True
+        mask = order[np.arange(len(forest.cuts)), at].any(axis=1)
+        near = np.argpartition(((x - x[i]) ** 2).sum(axis=1), 11)[:11]
+        right += mask[near].sum() - 1
+        seen += mask.mean()
+    return right / (10 * len(queries)), seen / len(queries)
+
+
+def test_clustered_vectors_are_compared_with_few_rows():
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(500, 32))
+    x = (centres[rng.integers(0, 500, 50_000)] + 0.15 * rng.normal(size=(50_000, 32))).astype(np.float32)
+    forest = ann.Forest.grow(x)
+    recall, share = compared(forest, x, ann.leaves_for(forest, x, 10), 500)
+    assert recall >= 0.9 and share < 0.1
+
+
+def test_random_vectors_need_more_leaves():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(8000, 32)).astype(np.float32)
+    forest = ann.Forest.grow(x)
+    leaves = ann.leaves_for(forest, x, 10)
+    recall, share = compared(forest, x, leaves, 100)
+    assert recall >= 0.93 and share > 0.2
+    assert ann.leaves_for(forest, x, 10, goal=0.5) < leaves <= ann.leaves_for(forest, x, 10, goal=1.0)
+
+
+def test_leaves_of_tiny_samples():
+    one = np.ones((1, 4), np.float32)
+    assert ann.leaves_for(ann.Forest.grow(one), one, 10) == ann.TREES
+    few = np.random.default_rng(0).normal(size=(100, 4)).astype(np.float32)
+    assert 1 <= ann.leaves_for(ann.Forest.grow(few), few, 10) <= 2 * ann.TREES

@@ -3,7 +3,10 @@
 Trees are grown on a bounded sample: a node splits its vectors at the median of their projections onto
 the line between two random centres. Every vector then gets its leaf in every tree. A query walks all
 trees through one priority queue, nearest margins first, until it has visited ``leaves`` leaves; the
-vectors of these leaves are ranked by their exact distances in double precision.
+vectors of these leaves are ranked by their exact distances in double precision. How many leaves that
+takes depends on the data: some vectors of the sample ask the sample, whose true neighbours are known, and
+the fewest leaves that find the share ``RECALL`` of them are visited. Clustered vectors need few; random
+ones need most of the table, as nothing is near anything.
 
 Vectors that are equal are one entry with its smallest ids, as many as a query may return, so a vector
 that very many rows share is compared once. Leaves and queries meet by a shuffle on (tree, leaf); a leaf
@@ -33,8 +36,8 @@ from tidelog.session import stage
 # of the sample holds at least; vectors in a block of a leaf.
 SAMPLE, SAMPLE_BYTES = 1 << 16, 64 << 20
 TREES, DEPTH, LEAF, BLOCK = 16, 9, 32, 2048
-# Leaves that a query visits over all trees.
-LEAVES = 400
+# Share of the sample's true neighbours that a query's leaves must hold, and the vectors that ask.
+RECALL, ASKING = 0.965, 128
 
 
 @dataclass
@@ -95,6 +98,26 @@ class Forest:
         return out
 
 
+def leaves_for(forest: Forest, x: np.ndarray, k: int, goal: float = RECALL, asking: int = ASKING) -> int:
+    """The fewest leaves whose vectors hold ``goal`` of the ``k`` nearest of some rows of ``x``."""
+    at, trees = forest.leaves(x), len(forest.cuts)
+    whole, inside = trees << forest.depth, min(k, len(x) - 1)
+    if inside < 1 or not forest.depth:
+        return whole
+    firsts = []
+    for i in np.linspace(0, len(x) - 1, min(asking, len(x))).astype(int):
+        gap = ((x - x[i]) ** 2).sum(axis=1)
+        gap[i] = np.inf
+        near = np.argpartition(gap, inside - 1)[:inside]
+        order = np.full((trees, 1 << forest.depth), whole)
+        for n, (t, leaf) in enumerate(forest.visits(x[i], whole)):
+            order[t, leaf] = n
+        # The visit that finds a neighbour is that of the first of its leaves.
+        firsts.append(order[np.arange(trees), at[near]].min(axis=1))
+    found = np.sort(np.concatenate(firsts))
+    return int(found[min(len(found) - 1, int(np.ceil(goal * len(found))) - 1)]) + 1
+
+
 def _direction(x: np.ndarray, rows: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """The line between two centres that a few rounds of two-means find; random if there are none."""
     if len(rows) >= 2:
@@ -131,12 +154,13 @@ def nearest(
     id_col: str = "vec_id",
     vec_col: str = "embedding",
     trees: int = TREES,
-    leaves: int = LEAVES,
+    leaves: int | None = None,
     sample: int = SAMPLE,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` nearest other rows that were found.
 
     Queries are the rows whose id satisfies ``is_query``; ``score`` is the Euclidean distance.
+    ``leaves`` sets how many a query visits.
     """
     spark = vectors.sparkSession
     ship_package(spark)
@@ -163,7 +187,9 @@ def nearest(
     grown = np.concatenate(
         [_matrix(chunk, length) for chunk in some.column("v").chunks]
     ).astype(np.float32)
-    shared = spark.sparkContext.broadcast(Forest.grow(grown, trees))
+    forest = Forest.grow(grown, trees)
+    leaves = leaves_for(forest, grown, k) if leaves is None else leaves
+    shared = spark.sparkContext.broadcast(forest)
 
     def place_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = shared.value

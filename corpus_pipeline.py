@@ -14,6 +14,7 @@ from tidelog.llm import bpe, decontamination, language_id, line_dedup, minhash
 from tidelog.llm.batches import document_key
 from tidelog.llm.queries import table, vocabulary_path
 from tidelog.operators.lookup import lookup_join
+from tidelog.operators.numbering import number_in_order
 from tidelog.session import stage
 
 # A text that fits every learned language worse than chance is rejected, as is ``und``.
@@ -44,18 +45,25 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8 or more.
 
-    A document is an id with its text. Where ids stand for several texts, hashes of both take the ids'
-    place, and each group keeps its smallest id. Rows without an id all stay.
+    A document is an id with its text. Where ids stand for several texts, numbers of documents, told
+    apart by 128 bits of both, take the ids' place, and each group keeps its smallest id. Rows without an
+    id all stay.
     """
-    k1 = document_key(docs, "doc_id", "text")[0]
+    k1, k2 = document_key(docs, "doc_id", "text")
     named = docs["doc_id"].isNotNull()
     texts = docs.select(docs["doc_id"].alias("id"), k1.alias("k")).where("id IS NOT NULL")
     clashes = texts.groupBy("id").agg(F.min("k").alias("a"), F.max("k").alias("b")).where("a <> b")
     clash = not clashes.isEmpty()
     keyed = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("id"),
-        docs["text"].alias("text"), (F.when(named, k1) if clash else docs["doc_id"]).alias("key"),
+        docs["text"].alias("text"), docs["doc_id"].alias("key"), k1, k2,
     )
+    if clash:
+        names = docs.where(named).select(k1, k2).distinct()
+        names = stage(number_in_order(names, [], ["k1", "k2"], "key"), "documents")
+        keyed = lookup_join(keyed.drop("key").where("id IS NOT NULL"), names, ["k1", "k2"]).unionByName(
+            keyed.where("id IS NULL").withColumn("key", F.lit(None).cast("long"))
+        )
     found = minhash.near_duplicates(keyed, "key", shingle_words=5, percent=80)
     if clash:
         members = found.where("key IS NOT NULL").select("key", "component_id").distinct().join(

@@ -77,3 +77,17 @@ def test_query(spark, path, reference):
         ids = packed(reference, texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(ids) // 4, sha256(ids).hexdigest())
         assert r.decoded_sha256 == sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_spans_are_decoded_by_offsets(spark, edges):
+    """Any span of a text's bytes, from the tokens that hold it alone."""
+    rnd, path = random.Random(0), queries.vocabulary_path()
+    rows = bpe.encode_texts(edges, path, offsets=True).collect()
+    texts = [(t or "").encode("utf-8", "replace") for _, t in EDGES]
+    decoded = sorted(bpe.decode(r.ids, path) for r in rows)
+    assert decoded == sorted(texts) and all(len(r.ends) == 8 * r.n_tokens for r in rows)
+    for r in rows:
+        whole = bpe.decode(bytes(r.ids), path)
+        for _ in range(20):
+            a, b = sorted(rnd.randint(0, len(whole)) for _ in range(2))
+            assert bpe.decode_span(bytes(r.ids), bytes(r.ends), a, b, path) == whole[a:b]

@@ -368,19 +368,35 @@ def token_ends(ids: bytes, path: str) -> np.ndarray:
     return np.cumsum([len(pieces[i]) for i in np.frombuffer(ids, "<u4").tolist()], dtype=np.int64)
 
 
+def decode_span(ids: bytes, ends: bytes, start: int, stop: int, path: str) -> bytes:
+    """The text's bytes from ``start`` to before ``stop``, from the tokens that hold them alone."""
+    at = np.frombuffer(ends, "<u8")
+    first, last = np.searchsorted(at, start, "right"), np.searchsorted(at, stop, "left")
+    begin = int(at[first - 1]) if first else 0
+    return decode(ids[4 * first:4 * (last + 1)], path)[max(0, start - begin):max(0, stop - begin)]
+
+
 def encode_texts(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False
 ) -> DataFrame:
-    """The id column with ``n_tokens`` and ``ids`` (packed little-endian 32-bit integers)."""
+    """The id column with ``n_tokens`` and ``ids`` (packed little-endian 32-bit integers).
+
+    With ``offsets`` also ``ends``: where each token ends in the text's bytes, packed as little-endian
+    64-bit integers, by which :func:`decode_span` decodes any part of a text.
+    """
 
     def make():
         def step(texts):
             ids = encode(texts, path)
-            return {"n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+            out = {"n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+            if offsets:
+                out["ends"] = [token_ends(x, path).astype("<u8").tobytes() for x in ids]
+            return out
 
         return step
 
-    return map_texts(docs, [id_col], text_col, "n_tokens long, ids binary", make)
+    schema = "n_tokens long, ids binary" + (", ends binary" if offsets else "")
+    return map_texts(docs, [id_col], text_col, schema, make)
 
 
 def round_trip(

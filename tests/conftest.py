@@ -36,7 +36,7 @@ def message(i, **over):
         rgmid=f"rmid1:{i:018d}",
         correlation_id=f"corr-{i}",
         application_message_id=f"app-{i}",
-        destination="spark/streaming",
+        destination="orders/new",
         sender_ts=START + timedelta(seconds=i),
         receive_ts=START + timedelta(seconds=i + 1),
         expiration=0,
@@ -44,7 +44,7 @@ def message(i, **over):
         priority=1,
         redelivered=False,
         is_text=True,
-        text_body="Hello Spark!",
+        text_body="a plain body",
         user_props={},
     )
     row.update(over)
@@ -61,13 +61,13 @@ def hundred(spark):
     """100 messages: 91 with text, 5 with an attachment, 4 with content; five user properties."""
     def one(i):
         props = {
-            "custom-string": "custom-value",
-            "custom-boolean": "true",
-            "null-custom-property": None,
-            "empty-custom-property": "",
-            "custom-sequence": str(i),
+            "colour": "amber",
+            "checked": "true",
+            "absent": None,
+            "blank": "",
+            "ordinal": str(i),
         }
-        body = "Hello Spark!"
+        body = "a plain body"
         if i <= 90:
             return message(i, user_props=props)
         if i <= 95:

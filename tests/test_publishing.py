@@ -165,7 +165,7 @@ def test_round_trip_keeps_headers(spark):
         assert back.sequence_number == (8 if include else None)
         assert back.redelivered is False
         assert back.user_props == ({"JMSXGroupID": "k", "a": "b"} if include else {"JMSXGroupID": "k"})
-        assert bytes(back.attachment) == b"Hello Spark!"
+        assert bytes(back.attachment) == b"a plain body"
         assert back.application_message_id == back.correlation_id == "rmid1:" + "7".zfill(18)
 
 
@@ -189,7 +189,7 @@ def test_report_counts_by_row(hundred):
     bound = pub.bind_columns(rows, message_id="constant", keep=("batch_id",))
     report = pub.publish_report(pub.publish_validate(bound)).collect()
     assert sorted(tuple(r) for r in report) == [
-        (0, "spark/streaming", 50, 49, 1), (1, "spark/streaming", 50, 50, 0)]
+        (0, "orders/new", 50, 49, 1), (1, "orders/new", 50, 50, 0)]
 
 
 def test_unknown_mode_is_refused():

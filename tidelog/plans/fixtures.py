@@ -67,11 +67,11 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "content": F.when(hundred.between(96, 98), F.concat(F.lit("cnt:"), F.col("props"))),
         "user_props": F.map_concat(
             F.create_map(
-                F.lit("custom-string"), F.lit("custom-value"),
-                F.lit("custom-boolean"), F.lit("true"),
-                F.lit("null-custom-property"), F.lit(None).cast("string"),
-                F.lit("empty-custom-property"), F.lit(""),
-                F.lit("custom-sequence"), e.cast("string"),
+                F.lit("colour"), F.lit("amber"),
+                F.lit("checked"), F.lit("true"),
+                F.lit("absent"), F.lit(None).cast("string"),
+                F.lit("blank"), F.lit(""),
+                F.lit("ordinal"), e.cast("string"),
             ),
             F.when(key.isNotNull(), F.create_map(F.lit(PARTITION_KEY_PROPERTY), key)).otherwise(none),
             F.when(

@@ -26,10 +26,10 @@ MSG = f"""msg AS (
   FROM events)"""
 
 HDR = f"""hdr AS (
-  SELECT e, 'custom-string' AS name, 'custom-value' AS val FROM msg
-  UNION ALL SELECT e, 'custom-boolean', 'true' FROM msg
-  UNION ALL SELECT e, 'empty-custom-property', '' FROM msg
-  UNION ALL SELECT e, 'custom-sequence', CAST(e AS VARCHAR) FROM msg
+  SELECT e, 'colour' AS name, 'amber' AS val FROM msg
+  UNION ALL SELECT e, 'checked', 'true' FROM msg
+  UNION ALL SELECT e, 'blank', '' FROM msg
+  UNION ALL SELECT e, 'ordinal', CAST(e AS VARCHAR) FROM msg
   UNION ALL SELECT e, 'JMSXGroupID', pkey FROM msg WHERE pkey IS NOT NULL
   UNION ALL SELECT e, '{PREFIX}sequenceNumber', CAST(e AS VARCHAR) FROM msg WHERE e % 4 <> 0
   UNION ALL SELECT e, '{PREFIX}expiration', '0' FROM msg

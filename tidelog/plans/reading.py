@@ -88,7 +88,7 @@ def message_id_select(spark: SparkSession, sf_dir: str) -> DataFrame:
         chosen(m.MESSAGE_ID).alias("message_id"),
         chosen(m.CORRELATION_ID).alias("correlation_id"),
         chosen(m.APPLICATION_MESSAGE_ID).alias("application_message_id"),
-        chosen("custom-sequence").alias("by_property"),
+        chosen("ordinal").alias("by_property"),
         chosen("JMSXGroupID").alias("by_key"),
     )
 
@@ -100,13 +100,13 @@ def message_id_select(spark: SparkSession, sf_dir: str) -> DataFrame:
   UNION ALL SELECT 'APPLICATION_MESSAGE_ID', 'OK' FROM msg
   UNION ALL SELECT 'JMSXGroupID', CASE WHEN pkey IS NULL THEN 'MISSING' WHEN pkey = '' THEN 'EMPTY'
     ELSE 'OK' END FROM msg
-  UNION ALL SELECT 'null-custom-property', 'EMPTY' FROM msg
+  UNION ALL SELECT 'absent', 'EMPTY' FROM msg
   UNION ALL SELECT 'no-such-property', 'MISSING' FROM msg)
   SELECT indicator, status, count(*) AS messages FROM s GROUP BY 1, 2""")
 def offset_indicator_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     indicators = (
         m.MESSAGE_ID, m.CORRELATION_ID, m.APPLICATION_MESSAGE_ID, "JMSXGroupID",
-        "null-custom-property", "no-such-property",
+        "absent", "no-such-property",
     )
     each = F.explode(
         F.array(*[F.struct(F.lit(i).alias("indicator"), m.id_status(i).alias("status"))

@@ -179,7 +179,7 @@ def _read_again(rows: DataFrame) -> DataFrame:
     return rows.select(
         "Id", F.hex("Payload").alias("payload_hex"), "PartitionKey", "Topic",
         F.unix_millis("TimeStamp").alias("time_ms"), header("mq_priority").alias("priority"),
-        header("mq_sequenceNumber").alias("sequence"), header("custom-boolean").alias("flag"),
+        header("mq_sequenceNumber").alias("sequence"), header("checked").alias("flag"),
     )
 
 

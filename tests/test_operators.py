@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from tests.conftest import frame, message
+from tidelog.functions import messages as m
 from tidelog.operators import batching, checkpoints, delivery
 from tidelog.operators.lookup import pick_by, stored_bytes
 from tidelog.operators.ordering import number_rows, previous_value
@@ -203,3 +204,25 @@ def test_checkpoint_per_consumer(spark):
 def test_last_value_is_the_whole_newest_message(hundred):
     row = checkpoints.last_value(hundred).select("spool_seq", "content").collect()
     assert [(r.spool_seq, bytes(r.content)) for r in row] == [(99, b"a plain body")]
+
+
+def test_keys_have_one_consumer_and_few_move_with_another(spark):
+    rows = [message(i, user_props={"JMSXGroupID": f"k{i % 700}"}) for i in range(1400)]
+    rows += [message(1400, user_props={}), message(1401, user_props={"JMSXGroupID": ""}), message(1402, user_props=None)]
+    log = frame(spark, rows)
+
+    def owners(n):
+        got = batching.assign_by_key(log, n).select(m.partition_key().alias("k"), "spool_seq", "consumer").collect()
+        assert all(0 <= r.consumer < n for r in got) and len(got) == 1403
+        assert all(r.consumer == r.spool_seq % n for r in got if r.k == "")
+        by_key = {}
+        for r in got:
+            if r.k:
+                by_key.setdefault(r.k, set()).add(r.consumer)
+        assert all(len(c) == 1 for c in by_key.values())
+        return {k: min(c) for k, c in by_key.items()}
+
+    seven, eight = owners(7), owners(8)
+    moved = {k for k in seven if seven[k] != eight[k]}
+    assert all(eight[k] == 7 for k in moved) and 0.5 * 700 / 8 < len(moved) < 1.6 * 700 / 8
+    assert all(sum(c == i for c in seven.values()) > 50 for i in range(7)) and set(owners(1).values()) == {0}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.messages import partition_key
 from tidelog.operators.lookup import pick_by
 from tidelog.operators.ordering import BLOCK, number_rows
 
@@ -28,6 +29,28 @@ def assign_consumer(df: DataFrame, partitions: int = 1, order: str = "spool_seq"
     return df.withColumn("consumer", F.pmod(F.col(order), F.lit(n)).cast("int"))
 
 
+def assign_by_key(
+    df: DataFrame, partitions: int, key: Column | None = None, order: str = "spool_seq"
+) -> DataFrame:
+    """Add ``consumer``: one for all messages of a partition key, so that their order is kept.
+
+    Each consumer draws a number for the key, and the highest one has it. With another consumer only the
+    keys that it draws highest move, about one of ``partitions + 1``; without the last one only its keys
+    do. Messages without a key are dealt in turn. Nothing shuffles; a key is never split, so a hot key is
+    its consumer's load.
+    """
+    n = consumer_count(df, partitions)
+    name = partition_key() if key is None else key
+    draws = [
+        F.struct(F.md5(F.concat(name, F.lit(f"#{c}")).cast("binary")).alias("draw"), F.lit(c).alias("c"))
+        for c in range(n)
+    ]
+    highest = (F.greatest(*draws) if n > 1 else draws[0])["c"]
+    in_turn = F.pmod(F.col(order), F.lit(n)).cast("int")
+    named = F.coalesce(name != "", F.lit(False))
+    return df.withColumn("consumer", F.when(named, highest).otherwise(in_turn))
+
+
 def plan_batches(
     df: DataFrame, partitions: int = 1, batch_size: int = 0, order: str = "spool_seq"
 ) -> DataFrame:

@@ -227,3 +227,15 @@ def skip_repeat_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unacked(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivered = planned(spark, sf_dir).select(F.col("rgmid").alias("Id"), "consumer", "batch")
     return delivery.unacked(delivered, fx.acks(spark, sf_dir))
+
+
+@query("consumers_by_key", f"""WITH {MSG}, draws AS (
+    SELECT pkey, c, row_number() OVER (PARTITION BY pkey ORDER BY md5(pkey || '#' || CAST(c AS VARCHAR)) DESC)
+      AS place
+    FROM (SELECT DISTINCT pkey FROM msg WHERE pkey <> ''), (SELECT unnest(range(5)) AS c))
+  SELECT rgmid AS Id, CAST(coalesce(c, e % 5) AS INTEGER) AS consumer
+  FROM msg LEFT JOIN draws ON draws.pkey = msg.pkey AND place = 1""")
+def consumers_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five consumers, each with its own partition keys; messages without a key in turn."""
+    dealt = batching.assign_by_key(fx.raw_messages(spark, sf_dir), 5)
+    return dealt.select(F.col("rgmid").alias("Id"), "consumer")

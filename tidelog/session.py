@@ -76,11 +76,12 @@ def scratch(spark: SparkSession) -> Iterator[Scratch]:
         _SCOPE.reset(token)
         for path in own.paths:
             if path not in own.kept:
-                _remove(spark, path)
+                remove(spark, path)
             elif outer is not None:
                 outer.paths.append(path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this library's own making; one that is not there is no error."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -14,12 +14,15 @@ from tidelog.functions.messages import payload
 from tidelog.functions.offsets import encode_offset, migrate_offsets
 from tidelog.operators.checkpoints import consumer_checkpoint, last_value
 from tidelog.operators.delivery import dedup_by_id, has_id
-from tidelog.operators.lookup import pick_by
+from tidelog.operators.lookup import lookup_join, pick_by
+from tidelog.operators.seen import SEEN, SEGMENTS, id_bucket, maybe_seen, merge_bits, seen_bits
 from tidelog.schema import CHECKPOINT
+from tidelog.session import stage
 from tidelog.sinks.publish import Publisher, publish, publish_stream
 from tidelog.sources.spool import read_queue
 from tidelog.streaming.batches import (
     batch_path,
+    drop_batch,
     for_each_batch,
     query_id,
     read_batches,
@@ -109,6 +112,11 @@ def probe_batches(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWr
 
 
 STATE_TOPIC = "state/"
+# Where `dedup_append` keeps its bits, below its rows; the folder its rows of a bucket are in.
+SEEN_FOLDER, BUCKET, BUCKETS = "_seen/bits", "id_bucket", 16
+SEEN_VERSION = T.StructType([
+    *SEEN.fields, T.StructField("segments", T.IntegerType()), T.StructField("buckets", T.IntegerType())
+])
 
 
 def commit_publish(
@@ -216,20 +224,50 @@ def dedup_append(
     checkpoint: str,
     message_id: str = "Id",
     order: str = "delivery",
+    buckets: int = BUCKETS,
+    segments: int = SEGMENTS,
 ) -> DataStreamWriter:
     """Append the first delivery to arrive of every id, however late a repeat comes.
 
     Repeats inside a micro-batch fall to :func:`dedup_by_id`, which folds a hot id on the map side,
-    where a stateful ``dropDuplicates`` would send all of it to one task. Then both sides of the
-    anti join against earlier batches hold an id once. Only the id column of those is read.
+    where a stateful ``dropDuplicates`` would send all of it to one task. Ids of earlier batches are
+    known by bits (:mod:`tidelog.operators.seen`), ``segments`` times 4 KiB whatever was written. Only
+    ids that these leave in doubt are looked for among those written, in the buckets they fall in, of
+    which only the id column is read; so a batch without repeats reads nearly nothing of earlier ones.
+    With many more than 2,000 ids a segment more of them are in doubt: results stay, reads grow. An
+    output keeps the numbers of segments and buckets that it began with.
+
+    A batch's bits are stored before its rows. If it is lost in between they say too much, never too
+    little. Rows move once, by bucket, which are alike in size as every id is there once.
     """
     def handle(rows: DataFrame, query: str, batch_id: int) -> None:
-        once = dedup_by_id(rows, message_id, order)
-        before = read_batches(rows.sparkSession, path, rows.schema).where(
-            (F.col("query") != query) | (F.col("batch_id") < batch_id)
+        spark = rows.sparkSession
+        ids = stage(
+            rows.where(has_id(message_id)).select(F.col(message_id).alias("_id")).distinct(), "ids"
         )
-        seen = before.select(F.col(message_id).alias("_seen")).where(has_id("_seen"))
-        fresh = once.join(seen, once[message_id] == seen["_seen"], "left_anti")
-        write_batch(fresh, path, query, batch_id)
+        earlier = (F.col("query") != query) | (F.col("batch_id") < batch_id)
+        versions = read_batches(spark, f"{path}/{SEEN_FOLDER}", SEEN_VERSION).where(earlier)
+        began = versions.select("segments", "buckets").first() or (segments, buckets)
+        known = stage(merge_bits(versions), "known")
+        both = merge_bits(known.unionByName(seen_bits(ids, "_id", began[0])))
+        numbers = {n: F.lit(v) for n, v in zip(("segments", "buckets"), began, strict=True)}
+        write_batch(both.withColumns(numbers), f"{path}/{SEEN_FOLDER}", query, batch_id)
+
+        doubtful = maybe_seen(ids, known, "_id", began[0])
+        doubtful = stage(doubtful.withColumn("_bucket", id_bucket("_id", "_id", began[1])), "doubtful")
+        hit = [r[0] for r in doubtful.select("_bucket").distinct().collect()]
+        fresh = dedup_by_id(rows, message_id, order)
+        if hit:
+            stored = T.StructType([*rows.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+            before = read_batches(spark, path, stored).where(earlier & F.col(BUCKET).isin(hit))
+            seen = before.select(F.col(message_id).alias("_seen"))
+            repeats = stage(
+                doubtful.join(seen, doubtful["_id"] == seen["_seen"], "left_semi").select("_id"),
+                "repeats",
+            )
+            fresh = lookup_join(fresh, repeats, fresh[message_id] == repeats["_id"], "left_anti")
+        placed = fresh.withColumn(BUCKET, id_bucket(message_id, order, began[1]))
+        write_batch(placed.repartition(BUCKET), path, query, batch_id, BUCKET)
+        drop_batch(spark, f"{path}/{SEEN_FOLDER}", query, batch_id - 2)
 
     return for_each_batch(stream, checkpoint, handle)

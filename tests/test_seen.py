@@ -9,7 +9,7 @@ from tidelog.operators.delivery import dedup_by_id
 from tidelog.session import stage, workspace
 from tidelog.sources.spool import open_queue
 from tidelog.streaming import jobs as p
-from tidelog.streaming.batches import read_batches
+from tidelog.streaming.batches import read_batches, write_batch
 
 from tests.test_streams import store
 
@@ -144,3 +144,16 @@ def test_earlier_rows_are_read_only_for_doubtful_ids(spark, hundred, monkeypatch
     plan = stored.where(F.col(p.BUCKET).isin([bucket])).select("Id")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(id_bucket" in text and "ReadSchema: struct<Id:string>" in text
+
+
+def test_rows_without_bits_are_refused(spark, hundred):
+    path, out = workspace(spark, "spool"), workspace(spark, "once")
+    store(hundred, path)
+    stream = deliveries(spark, path)
+    rows = spark.createDataFrame([], stream.schema).union(
+        spark.range(3).select(*[
+            F.lit("i1" if f.name == "Id" else None).cast(f.dataType).alias(f.name) for f in stream.schema
+        ]))
+    write_batch(rows, out, "another", 0)
+    with pytest.raises(Exception, match="without bits"):
+        appended(spark, stream, out)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators.delivery import has_id
-from tidelog.operators.lookup import lookup_join
+from tidelog.operators.lookup import BROADCAST_BYTES
 
 # Bits of one of Spark's bitmaps, and how many of them an id sets.
 SEGMENT_BITS, BITS_AN_ID = 32_768, 3
@@ -50,10 +50,13 @@ def maybe_seen(
 ) -> DataFrame:
     """The rows whose id may be among those that set ``bits``; the others surely are not.
 
-    ``bits`` is a stored table with one row a segment.
+    ``bits`` has one row a segment, so its size is bounded by their number: it is broadcast if that many
+    fit.
     """
     known = bits.select(F.col("segment").alias("_segment"), F.col("bits").alias("_bits"))
-    met = lookup_join(ids, known, _segment(message_id, segments) == known["_segment"], "inner")
+    if segments * SEGMENT_BITS // 8 <= BROADCAST_BYTES:
+        known = F.broadcast(known)
+    met = ids.join(known, _segment(message_id, segments) == F.col("_segment"))
     for place in _places(message_id):
         byte = F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))
         value = F.conv(F.hex(byte), 16, 10).cast("int")

@@ -238,8 +238,11 @@ def dedup_append(
     output keeps the numbers of segments and buckets that it began with.
 
     A batch's bits are stored before its rows. If it is lost in between they say too much, never too
-    little. Rows move once, by bucket, which are alike in size as every id is there once.
+    little. Rows move once, by bucket, which are alike in size as every id is there once. A folder whose
+    rows have no bits, as other writers leave it, is refused.
     """
+    began: list[int] = []
+
     def handle(rows: DataFrame, query: str, batch_id: int) -> None:
         spark = rows.sparkSession
         ids = stage(
@@ -247,15 +250,20 @@ def dedup_append(
         )
         earlier = (F.col("query") != query) | (F.col("batch_id") < batch_id)
         versions = read_batches(spark, f"{path}/{SEEN_FOLDER}", SEEN_VERSION).where(earlier)
-        began = versions.select("segments", "buckets").first() or (segments, buckets)
-        known = stage(merge_bits(versions), "known")
-        both = merge_bits(known.unionByName(seen_bits(ids, "_id", began[0])))
+        if not began:
+            numbers = versions.select("segments", "buckets").first()
+            stored = read_batches(spark, path, rows.schema).where(earlier & has_id(message_id))
+            if numbers is None and not stored.isEmpty():
+                raise ValueError(f"{path} holds rows without bits of their ids: append elsewhere")
+            began.extend(numbers or (segments, buckets))
+        known = merge_bits(versions)
+        both = merge_bits(versions.select(*SEEN.names).unionByName(seen_bits(ids, "_id", began[0])))
         numbers = {n: F.lit(v) for n, v in zip(("segments", "buckets"), began, strict=True)}
         write_batch(both.withColumns(numbers), f"{path}/{SEEN_FOLDER}", query, batch_id)
 
         doubtful = maybe_seen(ids, known, "_id", began[0])
-        doubtful = stage(doubtful.withColumn("_bucket", id_bucket("_id", "_id", began[1])), "doubtful")
-        hit = [r[0] for r in doubtful.select("_bucket").distinct().collect()]
+        hit = doubtful.select(id_bucket("_id", "_id", began[1])).distinct().collect()
+        hit = [r[0] for r in hit]  # as many as there are buckets, at most
         fresh = dedup_by_id(rows, message_id, order)
         if hit:
             stored = T.StructType([*rows.schema.fields, T.StructField(BUCKET, T.IntegerType())])

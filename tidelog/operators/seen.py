@@ -11,7 +11,7 @@ from tidelog.operators.lookup import BROADCAST_BYTES
 
 # Bits of one of Spark's bitmaps, and how many of them an id sets.
 SEGMENT_BITS, BITS_AN_ID = 32_768, 3
-# 4 MB of bits: one id in 200 is a false alarm at two million ids.
+# 4 MB of bits. By chance one new id in 10,000 is doubtful after 500,000 ids, one in 200 after two million.
 SEGMENTS = 1_024
 
 SEEN = T.StructType([

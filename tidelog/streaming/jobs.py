@@ -233,9 +233,10 @@ def dedup_append(
     where a stateful ``dropDuplicates`` would send all of it to one task. Ids of earlier batches are
     known by bits (:mod:`tidelog.operators.seen`), ``segments`` times 4 KiB whatever was written. Only
     ids that these leave in doubt are looked for among those written, in the buckets they fall in, of
-    which only the id column is read; so a batch without repeats reads nearly nothing of earlier ones.
-    With many more than 2,000 ids a segment more of them are in doubt: results stay, reads grow. An
-    output keeps the numbers of segments and buckets that it began with.
+    which only the id column is read. New ids are in doubt by chance too: one in 10,000 with 500 ids seen a
+    segment, one in 200 with 2,000, so a batch of thousands then asks for every bucket. Choose ``segments``
+    by the ids to come; results are the same with any. An output keeps the numbers of segments and
+    buckets that it began with.
 
     A batch's bits are stored before its rows. If it is lost in between they say too much, never too
     little. Rows move once, by bucket, which are alike in size as every id is there once. A folder whose

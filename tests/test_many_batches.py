@@ -21,6 +21,20 @@ def local(path):
     return Path(path.removeprefix("file:"))
 
 
+def test_both_halves_of_a_restarted_log_are_in_bounded_files(spark, monkeypatch):
+    made = []
+
+    def note(session, label):
+        made.append(workspace(session, label))
+        return made[-1]
+
+    monkeypatch.setattr(streams, "workspace", note)
+    monkeypatch.setattr(streams, "FILE_ROWS", 200)
+    assert streams.restart_exactly_once(spark, "/root/testdata/sf0.001").count() == 1000
+    rows = [pq.read_metadata(f).num_rows for f in local(made[0]).glob("*.parquet")]
+    assert sum(rows) == 1000 and max(rows) <= 200
+
+
 def commit_files(root, writer, batch, *sizes):
     staged = root / "_staging" / f"{writer}-{batch}"
     staged.mkdir(parents=True)

@@ -133,7 +133,7 @@ def restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, out, checkpoint = (workspace(spark, n) for n in ("log", "out", "checkpoint"))
     for start, stop in ((first, half), (half, last + 1)):
         inside = (F.col("spool_seq") >= start) & (F.col("spool_seq") < stop)
-        raw.where(inside).write.mode("append").parquet(path)
+        raw.where(inside).write.mode("append").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
         stream = open_queue(spark, path, partitions=PARTITIONS, batch_size=BATCH_SIZE)
         p.run_available(p.land_parquet(stream, out, checkpoint))
     return scalar_envelope(spark.read.schema(stream.schema).parquet(out))

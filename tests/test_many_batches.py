@@ -21,6 +21,20 @@ def local(path):
     return Path(path.removeprefix("file:"))
 
 
+def test_state_has_a_partition_per_core_at_most(spark, hundred):
+    path, checkpoint = workspace(spark, "spool"), workspace(spark, "cp")
+    store(hundred, path)
+    before = spark.conf.get(p.SHUFFLES)
+    spark.conf.set(p.SHUFFLES, "37")
+    try:
+        p.run_available(p.last_value_stream(stream_raw(spark, path, 2, 25), checkpoint, ["destination"]))
+        assert spark.conf.get(p.SHUFFLES) == "37"
+    finally:
+        spark.conf.set(p.SHUFFLES, before)
+    parts = [d for d in (local(checkpoint) / "state" / "0").iterdir() if d.name.isdigit()]
+    assert len(parts) == spark.sparkContext.defaultParallelism
+
+
 def test_both_halves_of_a_restarted_log_are_in_bounded_files(spark, monkeypatch):
     made = []
 

@@ -35,6 +35,16 @@ def test_state_has_a_partition_per_core_at_most(spark, hundred):
     assert len(parts) == spark.sparkContext.defaultParallelism
 
 
+def test_state_that_holds_the_messages_is_written_by_its_changes(spark, hundred):
+    path, out, checkpoint = (workspace(spark, n) for n in ("spool", "out", "cp"))
+    store(hundred, path)
+    stream = open_queue(spark, path, partitions=1, batch_size=25, keep=("spool_seq",))
+    twice = stream.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2)))).drop("n")
+    p.run_available(p.land_parquet(delivery.dedup_stream(twice), out, checkpoint), large_state=True)
+    assert sorted(r.spool_seq for r in spark.read.parquet(out).collect()) == list(range(100))
+    assert list((local(checkpoint) / "state").rglob("*.changelog"))
+
+
 def test_a_probe_for_emptiness_reads_to_the_end(spark, hundred, monkeypatch):
     path, out = workspace(spark, "spool"), workspace(spark, "out")
     store(hundred, path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.test_streams import store
 from tidelog.operators import delivery
-from tidelog.plans import streams
+from tidelog.plans import acks, streams
 from tidelog.session import workspace
 from tidelog.sources import logfiles
 from tidelog.sources.datasource import QueueStream
@@ -114,3 +114,15 @@ def test_order_of_units_follows_new_files(tmp_path):
         log.refresh()
         assert [u.low for u in log.units] == sorted(u.low for us in log._known.values() for u in us)
     assert [u.low for u in log.between(72, 73)] == [0, 70] and log.end() == 100
+
+
+def test_state_of_all_acknowledgements_is_written_by_its_changes(spark, monkeypatch):
+    asked = []
+
+    def landed(stream, large_state=False):
+        asked.append(large_state)
+        return stream
+
+    monkeypatch.setattr(acks, "landed", landed)
+    acks.unacked_stream(spark, "/root/testdata/sf0.001")
+    assert asked == [True]

@@ -81,4 +81,4 @@ def unacked_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         delivered, stream_parquet(spark, acks), f"{WITHIN} seconds", f"{DELAY} seconds",
         sent="receive_ts",
     )
-    return landed(missing.select("Id", "Topic"))
+    return landed(missing.select("Id", "Topic"), large_state=True)

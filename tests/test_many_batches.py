@@ -11,9 +11,10 @@ from tests.test_streams import store
 from tidelog.operators import delivery
 from tidelog.plans import acks, streams
 from tidelog.session import workspace
+from tidelog.sinks.publish import Publisher
 from tidelog.sources import logfiles
 from tidelog.sources.datasource import QueueStream
-from tidelog.sources.spool import open_queue, stream_raw
+from tidelog.sources.spool import open_queue, read_queue, stream_raw
 from tidelog.streaming import jobs as p
 
 
@@ -116,6 +117,17 @@ def test_order_of_units_follows_new_files(tmp_path):
     assert [u.low for u in log.between(72, 73)] == [0, 70] and log.end() == 100
 
 
+def test_messages_are_put_together_once_and_not_for_every_batch(spark, hundred, monkeypatch):
+    path, out = workspace(spark, "spool"), workspace(spark, "published")
+    store(hundred, path)
+    made, log_rows = [], Publisher.log_rows
+    monkeypatch.setattr(Publisher, "log_rows", lambda *a: made.append(1) or log_rows(*a))
+    stream = open_queue(spark, path, partitions=1, batch_size=25, include_headers=True)
+    p.run_available(p.foreach_batch_publish(stream, out, workspace(spark, "cp")))
+    assert len(made) == 1 and len(list(local(out).glob("commit=*"))) == 4
+    assert sorted(r.spool_seq for r in read_queue(spark, out).collect()) == list(range(100))
+
+
 def test_state_of_all_acknowledgements_is_written_by_its_changes(spark, monkeypatch):
     asked = []
 

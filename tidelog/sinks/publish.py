@@ -55,16 +55,13 @@ class Publisher:
     def rejects(self, df: DataFrame) -> DataFrame:
         return reject_report(self.checked(df))
 
-    def log_rows(self, df: DataFrame, counts: Observation | None = None) -> DataFrame:
+    def log_rows(self, df: DataFrame) -> DataFrame:
         """Every row as the log stores it: good ones as messages, bad ones with status and reason.
 
         Positions and ids are those of the place that rows get in the log, so they are null here.
-        ``counts`` observes what is written.
         """
         bound = bind_columns(df, self.topic, self.message_id, self.include_headers, self.keep)
         checked = publish_validate(bound, self.header_prefix)
-        if counts is not None:
-            checked = checked.observe(counts, *_counts())
         rows = publish_envelope(
             checked, self.header_prefix, keep=(*self.keep, "status", "reason")
         ).withColumn("_place", F.lit(None).cast("long"))
@@ -101,8 +98,20 @@ def publish(
     published, acknowledged and failed, counted while they were written.
     """
     register(df.sparkSession)
+    return publish_rows(publisher.log_rows(df), path, publisher, save_mode, writer, batch)
+
+
+def publish_rows(
+    rows: DataFrame,
+    path: str,
+    publisher: Publisher,
+    save_mode: str = "append",
+    writer: str | None = None,
+    batch: int | None = None,
+) -> dict[str, int]:
+    """:func:`publish` for rows that :meth:`Publisher.log_rows` made, in a session that knows the format."""
     counts = Observation()
-    out = publisher.log_rows(df, counts).write.format(FORMAT).mode(save_mode).options(
+    out = rows.observe(counts, *_counts()).write.format(FORMAT).mode(save_mode).options(
         path=path, strict=publisher.mode == "strict"
     )
     if batch is not None:

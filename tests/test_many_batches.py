@@ -17,6 +17,11 @@ from tidelog.sources.datasource import QueueStream
 from tidelog.sources.spool import open_queue, read_queue, stream_raw
 from tidelog.streaming import jobs as p
 
+CHECKPOINT_FILES = "spark.sql.streaming.checkpointFileManagerClass"
+BY_FILE_SYSTEM = (
+    "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+)
+
 
 def local(path):
     return Path(path.removeprefix("file:"))
@@ -128,6 +133,30 @@ def test_messages_are_put_together_once_and_not_for_every_batch(spark, hundred,
     assert sorted(r.spool_seq for r in read_queue(spark, out).collect()) == list(range(100))
 
 
+def test_checkpoint_files_on_local_disk_start_no_commands(spark, hundred, monkeypatch):
+    path = workspace(spark, "spool")
+    store(hundred, path)
+    used = []
+
+    def run():
+        def handle(rows, batch_id):
+            used.append(rows.sparkSession.conf.get(CHECKPOINT_FILES, None))
+
+        stream = open_queue(spark, path, partitions=1, batch_size=100)
+        p.run_available(stream.writeStream.option(
+            "checkpointLocation", workspace(spark, "cp")).foreachBatch(handle))
+
+    run()
+    assert spark.conf.get(CHECKPOINT_FILES, None) is None
+    own = BY_FILE_SYSTEM.replace("FileSystemBased", "FileContextBased")
+    spark.conf.set(CHECKPOINT_FILES, own)
+    try:
+        run()
+    finally:
+        spark.conf.unset(CHECKPOINT_FILES)
+    assert used == [BY_FILE_SYSTEM, own]
+
+
 def test_state_of_all_acknowledgements_is_written_by_its_changes(spark, monkeypatch):
     asked = []
 

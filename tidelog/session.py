@@ -28,6 +28,12 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/tidelog/{label}-{uuid.uuid4().hex}"
 
 
+def on_local_disk(spark: SparkSession) -> bool:
+    """Whether the shared folder is on a disk mounted here, and not on a file system of its own."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(workspace(spark, "place"))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

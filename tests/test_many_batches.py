@@ -133,6 +133,18 @@ def test_messages_are_put_together_once_and_not_for_every_batch(spark, hundred,
     assert sorted(r.spool_seq for r in read_queue(spark, out).collect()) == list(range(100))
 
 
+def test_an_unbounded_batch_has_a_task_per_span_of_rows(tmp_path, monkeypatch):
+    root = tmp_path / "log"
+    for batch in range(10):
+        commit_files(root, "w", batch, 60, 40)
+    monkeypatch.setattr(logfiles, "SPAN_ROWS", 250)
+    stream = QueueStream(str(root), ["spool_seq"], 0, 1, 0)
+    slices = stream.partitions({"position": 0}, stream.latestOffset())
+    assert len(slices) >= 4 and max(s.high - s.low for s in slices) <= 250
+    read = [stream.read(s) for s in slices]
+    assert [i for s in read for b in s for i in b.column("spool_seq").to_pylist()] == list(range(1000))
+
+
 def test_checkpoint_files_on_local_disk_start_no_commands(spark, hundred, monkeypatch):
     path = workspace(spark, "spool")
     store(hundred, path)

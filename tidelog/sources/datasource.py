@@ -185,9 +185,7 @@ class QueueStream(DataSourceStreamReader):
         if self.size:
             ends = [e for e in log.cuts(low, self.size, self.consumers) if e < high]
         else:
-            units = log.between(low, high)
-            step = -(-len(units) // self.consumers)
-            ends = [u.low for u in units[step::step] if low < u.low < high]
+            ends = [e for e in log.spans(low, high, self.consumers) if low < e < high]
         edges = sorted({low, *ends, high})
         return [Slice(log.between(a, b), a, b) for a, b in zip(edges, edges[1:], strict=False)]
 

@@ -34,6 +34,8 @@ STAGING, NOTE, RECORD = "_staging", "_next.json", "_commit.json"
 _NAME = re.compile(rf"^(\d{{{PLACE_DIGITS}}})-(\d+)-")
 # Rows of a row group that the writer makes: what a bounded read decodes beyond its own rows.
 GROUP_ROWS = 10_000
+# Rows that a task of an unbounded batch reads, if files or row groups are not longer.
+SPAN_ROWS = 100_000
 
 
 def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
@@ -180,6 +182,20 @@ class Log:
         return [u for u in reaching if u.high >= low]
 
 
+    def spans(self, low: int, high: int, consumers: int) -> list[int]:
+        """Where the tasks of an unbounded batch begin: each consumer's share of the units, in parts of about
+        ``SPAN_ROWS`` at most, so that more rows are more tasks and not longer ones."""
+        units = self.between(low, high)
+        share = -(-len(units) // consumers)
+        begins, rows = [], 0
+        for i, unit in enumerate(units):
+            if not i % share or rows + unit.rows > SPAN_ROWS:
+                begins.append(unit.low)
+                rows = 0
+            rows += unit.rows
+        return begins
+
+
 def _leaf(group: pq.RowGroupMetaData, at: int) -> pq.ColumnChunkMetaData:
     """The chunk of a top-level column of scalars; columns before it may be nested."""
     for i in range(at, group.num_columns):

@@ -169,6 +169,23 @@ def test_checkpoint_files_on_local_disk_start_no_commands(spark, hundred, monkey
     assert used == [BY_FILE_SYSTEM, own]
 
 
+def test_checkpoints_are_not_gathered_on_the_driver_for_every_batch(spark, hundred):
+    path, out = workspace(spark, "spool"), workspace(spark, "out")
+    keys = F.when(F.col("spool_seq") % 2 == 0, F.concat(F.lit("k"), F.col("spool_seq") % 10))
+    props = F.when(keys.isNotNull(), F.create_map(F.lit("JMSXGroupID"), keys)).otherwise(F.col("user_props"))
+    store(hundred.withColumn("user_props", props), path)
+    # A key may read like a message's id; a message without a key still meets no checkpoint.
+    done = spark.createDataFrame(
+        [("k2", f"rmid1:{41:018d}"), ("c-0", f"rmid1:{20:018d}"), (f"rmid1:{31:018d}", f"rmid1:{99:018d}")],
+        "partitionId string, messageIDs string",
+    )
+    stream = open_queue(spark, path, partitions=1, batch_size=25, checkpoints=done, keep=("spool_seq",))
+    assert "broadcast" not in stream._jdf.queryExecution().logical().toString()
+    p.run_available(p.land_parquet(stream, out, workspace(spark, "cp")))
+    want = [i for i in range(100) if (i > 20 if i % 2 else i % 10 != 2 or i > 41)]
+    assert sorted(r.spool_seq for r in spark.read.parquet(out).collect()) == want
+
+
 def test_state_of_all_acknowledgements_is_written_by_its_changes(spark, monkeypatch):
     asked = []
 

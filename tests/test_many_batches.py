@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,6 +114,73 @@ def test_a_published_log_is_listed_only_when_a_batch_needs_more(tmp_path, monkey
     assert ends[15:] == [1070, 1100]
 
 
+def positions_file(path, positions):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    pq.write_table(pa.table({"spool_seq": pa.array(positions, pa.int64())}), path)
+
+
+def listings(monkeypatch):
+    """Notes every listing of a log, whose folders' times count at once."""
+    listed, refresh = [], logfiles.Log.refresh
+    monkeypatch.setattr(logfiles.Log, "refresh", lambda log: listed.append(1) or refresh(log))
+    monkeypatch.setattr(logfiles, "SETTLED", 0, raising=False)
+    return listed
+
+
+def take(stream, ends, batches):
+    for _ in range(batches):
+        start, end = {"position": ends[-1] if ends else 0}, stream.latestOffset()
+        stream.partitions(start, end)
+        ends.append(end["position"])
+
+
+def test_a_log_with_its_own_positions_is_listed_when_its_folders_changed(tmp_path, monkeypatch):
+    listed, ends = listings(monkeypatch), []
+    for i in range(10):
+        positions_file(tmp_path / f"part={i % 2}" / f"{i}.parquet", range(i * 100, i * 100 + 100))
+    stream = QueueStream(str(tmp_path), ["spool_seq"], 10, 2, 0)
+    take(stream, ends, 40)
+    assert ends == list(range(20, 801, 20)) and len(listed) <= 3
+    # A file below one of the folders is found before the stream has passed its positions, a new folder's too.
+    positions_file(tmp_path / "part=1" / "new.parquet", range(990, 1010))
+    positions_file(tmp_path / "part=9" / "new.parquet", range(1010, 1030))
+    take(stream, ends, 11)
+    assert ends[-1] == 1010 and len(listed) <= 8
+    positions_file(tmp_path / "part=0" / "late.parquet", range(500, 510))
+    with pytest.raises(ValueError, match="late.parquet holds position 500"):
+        take(stream, ends, 3)
+
+
+def test_times_of_folders_count_only_once_they_stand(tmp_path, monkeypatch):
+    clock = [100.0]
+    monkeypatch.setattr(logfiles.time, "monotonic", lambda: clock[0])
+    positions_file(tmp_path / "a.parquet", range(100))
+    log = logfiles.Log(str(tmp_path))
+    log.refresh()
+    assert not log.unchanged()
+    clock[0] += logfiles.SETTLED
+    assert not log.unchanged()  # the last listing is as young as the folder's time
+    log.refresh()
+    assert log.unchanged()
+    positions_file(tmp_path / "b.parquet", range(100, 200))
+    assert not log.unchanged()
+
+
+def test_rows_behind_the_last_wanted_are_not_decoded(tmp_path, monkeypatch):
+    path = tmp_path / "a.parquet"
+    positions_file(path, [*range(3999, -1, -1), *range(4000, 8000)])
+    decoded, messages = [], logfiles._messages
+    monkeypatch.setattr(
+        logfiles, "_messages", lambda batch, *a: decoded.append(batch.num_rows) or messages(batch, *a)
+    )
+    unit = logfiles.Unit(str(path), 0, 8000, 0, 7999)
+    for low, high, most in ((3000, 4000, 1024), (0, 1000, 4096), (4000, 4010, 5120), (8000, 9000, 0)):
+        decoded.clear()
+        got = logfiles.read_between(str(tmp_path), [unit], low, high, ["spool_seq"])
+        seen = sorted(i for b in got for i in b.column("spool_seq").to_pylist())
+        assert seen == list(range(low, min(high, 8000))) and sum(decoded) <= most
+
+
 def test_order_of_units_follows_new_files(tmp_path):
     log = logfiles.Log(str(tmp_path))
     for name, positions in (("b", range(50, 60)), ("a", range(0, 100, 3)), ("c", range(70, 75))):

@@ -166,8 +166,9 @@ class QueueStream(DataSourceStreamReader):
         if self.at is None:
             self.at = self.start
         ahead = self.at + self.size * self.consumers
-        if self.size and self.log and self.published and ahead <= self.log.end():
-            log = self.log  # a whole batch is known, and nothing can come before its end
+        whole = self.size and self.log and ahead <= self.log.end()
+        if whole and (self.published or self.log.unchanged()):
+            log = self.log  # a whole batch is known, and nothing came or can come before its end
         else:
             log = self._refreshed()
             self.published = log.grows_at_its_end()

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+import time
 import uuid
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -36,6 +37,10 @@ _NAME = re.compile(rf"^(\d{{{PLACE_DIGITS}}})-(\d+)-")
 GROUP_ROWS = 10_000
 # Rows that a task of an unbounded batch reads, if files or row groups are not longer.
 SPAN_ROWS = 100_000
+# Rows decoded at once, at most and at least.
+READ_ROWS, LEAST_READ_ROWS = 1 << 13, 1 << 10
+# Seconds that the times of folders must have stood before a listing surely shows all that came with them.
+SETTLED = 2.0
 
 
 def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
@@ -83,19 +88,47 @@ class Log:
         self.fs, self.root = open_folder(path)
         self._known: dict[str, list[Unit]] = {}
         self._ordered: tuple[int, list[Unit], list[int]] = (0, [], [])
+        self._folders = [self.root]
+        # Times of the folders, since when they stand, and when the last listing began.
+        self._times: dict[str, int] | None = None
+        self._since = self._listed = float("-inf")
 
     def refresh(self) -> list[Unit]:
         """Look for new files; returns their units."""
+        times, began = self._folder_times(), time.monotonic()
+        if times is None or times != self._times:
+            self._times, self._since = times, began
+        self._listed = began
         found = pafs.FileSelector(self.root, recursive=True, allow_not_found=True)
-        new = []
+        new, folders = [], [self.root]
         for info in self.fs.get_file_info(found):
             inside = info.path[len(self.root.rstrip("/")) + 1:]
-            hidden = any(p.startswith((".", "_")) for p in inside.split("/"))
-            if info.is_file and inside.endswith(".parquet") and not hidden and info.path not in self._known:
+            if any(p.startswith((".", "_")) for p in inside.split("/")):
+                continue
+            if info.type == pafs.FileType.Directory:
+                folders.append(info.path)
+            elif info.is_file and inside.endswith(".parquet") and info.path not in self._known:
                 self._known[info.path] = self._units(info.path)
                 new += self._known[info.path]
+        self._folders = folders
         return new
 
+    def unchanged(self) -> bool:
+        """Whether the folders' times tell that the last listing still shows all files.
+
+        A file that comes changes its folder's time, but not within a tick of the clock behind it: a listing
+        counts once it began well after these times were first seen. Local disks only; others are listed.
+        """
+        times = self._folder_times()
+        return times is not None and times == self._times and self._listed - self._since >= SETTLED
+
+    def _folder_times(self) -> dict[str, int] | None:
+        if not isinstance(self.fs, pafs.LocalFileSystem):
+            return None
+        infos = self.fs.get_file_info(self._folders)
+        gone = any(i.type != pafs.FileType.Directory for i in infos)
+        return None if gone else {i.path: i.mtime_ns for i in infos}
+
     def _units(self, path: str) -> list[Unit]:
         if named := _NAME.match(path.rsplit("/", 1)[-1]):
             first, rows = int(named[1]), int(named[2])
@@ -220,13 +253,28 @@ def read_between(
                 if unit.group is None and (at >= high or at + rows <= low):
                     at += rows
                     continue
-                for batch in file.iter_batches(1 << 13, [g], list(dict.fromkeys(stored))):
-                    if unit.group is None and at >= high:
-                        break
-                    got = _messages(batch, at if unit.group is None else None, low, high, schema)
-                    at += batch.num_rows
+                wanted = _last_wanted(file, g, low, high) if unit.group is not None else min(rows, high - at)
+                step, decoded = min(max(high - low, LEAST_READ_ROWS), READ_ROWS), 0
+                # One thread, as a consumer is one task; the rows behind the last wanted are not decoded.
+                for batch in file.iter_batches(
+                    step, [g], list(dict.fromkeys(stored)), use_threads=False
+                ) if wanted else ():
+                    first = at + decoded if unit.group is None else None
+                    got = _messages(batch, first, low, high, schema)
+                    decoded += batch.num_rows
                     if got.num_rows:
                         yield got
+                    if decoded >= wanted:
+                        break
+                at += rows
+
+
+def _last_wanted(file: pq.ParquetFile, group: int, low: int, high: int) -> int:
+    """How many rows of a row group there are up to the last with a position that is wanted."""
+    place = file.read_row_group(group, [POSITION], use_threads=False).column(POSITION)
+    wanted = pc.and_(pc.greater_equal(place, low), pc.less(place, high))
+    inside = np.flatnonzero(pc.fill_null(wanted, False).to_numpy())
+    return int(inside[-1]) + 1 if len(inside) else 0
 
 
 def _messages(

@@ -181,6 +181,27 @@ def test_rows_behind_the_last_wanted_are_not_decoded(tmp_path, monkeypatch):
         assert seen == list(range(low, min(high, 8000))) and sum(decoded) <= most
 
 
+def test_counts_of_batches_are_planned_once(spark, hundred, monkeypatch):
+    path, asked = workspace(spark, "spool"), []
+    store(hundred, path)
+
+    def handle(rows, batch_id):
+        asked.append(rows.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+
+    def start(**options):
+        stream = open_queue(spark, path, partitions=1, batch_size=100)
+        p.run_available(stream.writeStream.option(
+            "checkpointLocation", workspace(spark, "cp")).foreachBatch(handle), **options)
+
+    start()
+    start(adaptive=False)
+    assert asked == ["true", "false"] and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    options = []
+    monkeypatch.setattr(p, "run_available", lambda writer, **o: options.append(o))
+    streams.queue_stream_batches(spark, "/root/testdata/sf0.001")
+    assert options == [{"adaptive": False}]
+
+
 def test_order_of_units_follows_new_files(tmp_path):
     log = logfiles.Log(str(tmp_path))
     for name, positions in (("b", range(50, 60)), ("a", range(0, 100, 3)), ("c", range(70, 75))):

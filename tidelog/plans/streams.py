@@ -88,7 +88,7 @@ def queue_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queue_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = workspace(spark, "batches")
     stream = opened(spark, sf_dir)
-    p.run_available(p.count_batches(stream, out, workspace(spark, "checkpoint")))
+    p.run_available(p.count_batches(stream, out, workspace(spark, "checkpoint")), adaptive=False)
     counts = T.StructType([T.StructField("messages", T.LongType())])
     return read_batches(spark, out, counts).drop("query")
 

@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tests.test_streams import store
 from tidelog.operators import delivery
@@ -285,3 +286,15 @@ def test_state_of_all_acknowledgements_is_written_by_its_changes(spark, monkeypa
     monkeypatch.setattr(acks, "landed", landed)
     acks.unacked_stream(spark, "/root/testdata/sf0.001")
     assert asked == [True]
+
+
+def test_acknowledgements_are_read_in_step_with_their_messages(spark, monkeypatch):
+    started, start = [], DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda *a, **o: started.append(start(*a, **o)) or started[-1])
+    for module in (streams, acks):
+        monkeypatch.setattr(module, "BATCH_SIZE", 25, raising=False)
+    rows = acks.unacked_stream(spark, "/root/testdata/sf0.001").collect()
+    assert len({r.Id for r in rows}) == len(rows) > 15
+    batches = [b for b in started[0].recentProgress if b["numInputRows"]]
+    assert max(s["numInputRows"] for b in batches for s in b["sources"]) == 25 * streams.PARTITIONS
+    assert max(b["stateOperators"][0]["numRowsTotal"] for b in batches) < 600

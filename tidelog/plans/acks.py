@@ -11,9 +11,10 @@ from tidelog.operators.intervals import intervals_of, merge_intervals, outside_i
 from tidelog.plans import fixtures as fx
 from tidelog.plans.oracle import MSG
 from tidelog.plans.registry import query
-from tidelog.plans.streams import landed, opened
+from tidelog.plans.streams import BATCH_SIZE, FILE_ROWS, PARTITIONS, landed, opened
+from tidelog.schema import RAW_MESSAGE
 from tidelog.session import workspace
-from tidelog.sources.spool import stream_parquet
+from tidelog.sources.spool import stream_raw
 
 # Out of order: every 97th message is never acknowledged, and eleven of every thousand are open.
 ACKED = "e % 97 <> 0 AND e % 1000 NOT BETWEEN 300 AND 310"
@@ -69,16 +70,26 @@ WITHIN, DELAY = 3600, 60
   WHERE (e % 97 = 0 OR e % 89 = 0)
     AND receive_us // 1000 + {WITHIN * 1000} < until // 1000 - {DELAY * 1000}""")
 def unacked_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages and acknowledgements as two streams; each 89th acknowledgement comes too late."""
-    acks, sent = workspace(spark, "acks"), F.col("receive_ts")
+    """Messages and acknowledgements as two streams; each 89th acknowledgement comes too late.
+
+    Acknowledgements are a log as well, in the order of their messages and read in batches of as many. So
+    they keep ahead of the messages, by little: none is late whose message is not, and the join's state,
+    which every batch searches, holds those of the time that is open and not of the whole log.
+    """
+    path, sent = workspace(spark, "acks"), F.col("receive_ts")
     late = F.when(F.pmod("spool_seq", F.lit(89)) == 0, F.lit(WITHIN + 1)).otherwise(F.lit(2)).cast("long")
+    held = {
+        "spool_seq": F.col("spool_seq"), "rgmid": F.col("rgmid"),
+        "receive_ts": F.timestamp_micros(F.unix_micros(sent) + late * 1_000_000),
+    }
     fx.raw_messages(spark, sf_dir).where(F.pmod("spool_seq", F.lit(97)) != 0).select(
-        F.col("rgmid").alias("Id"),
-        F.timestamp_micros(F.unix_micros(sent) + late * 1_000_000).alias("acked_at"),
-    ).write.parquet(acks)
+        [held.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RAW_MESSAGE.fields]
+    ).write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    acks = stream_raw(spark, path, PARTITIONS, BATCH_SIZE, ["rgmid", "receive_ts"]).select(
+        F.col("rgmid").alias("Id"), F.col("receive_ts").alias("acked_at")
+    )
     delivered = opened(spark, sf_dir, keep=("receive_ts",))
     missing = delivery.unacked_stream(
-        delivered, stream_parquet(spark, acks), f"{WITHIN} seconds", f"{DELAY} seconds",
-        sent="receive_ts",
+        delivered, acks, f"{WITHIN} seconds", f"{DELAY} seconds", sent="receive_ts",
     )
     return landed(missing.select("Id", "Topic"), large_state=True)

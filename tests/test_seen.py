@@ -157,3 +157,39 @@ def test_rows_without_bits_are_refused(spark, hundred):
     write_batch(rows, out, "another", 0)
     with pytest.raises(Exception, match="without bits"):
         appended(spark, stream, out)
+
+
+def test_bits_that_hold_enough_ids_are_put_aside(spark, hundred, monkeypatch):
+    """However many ids come, few of one set of bits are set; ids in those put aside are still known."""
+    path, out, checkpoint = (workspace(spark, n) for n in ("spool", "once", "cp"))
+    store(hundred, path)
+    want = appended(spark, deliveries(spark, path), workspace(spark, "other"))
+    monkeypatch.setattr(p, "SEGMENT_IDS", 10, raising=False)
+    real, failed = p.write_batch, []
+
+    def flaky(rows, folder, query, batch_id, *by):
+        if folder == out and batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost")
+        real(rows, folder, query, batch_id, *by)
+
+    monkeypatch.setattr(p, "write_batch", flaky)
+    stream = deliveries(spark, path)
+    with pytest.raises(Exception, match="lost"):
+        appended(spark, stream, out, checkpoint, segments=1)
+    assert appended(spark, stream, out, checkpoint, segments=1) == want
+    full = spark.read.parquet(f"{out}/{p.FULL_FOLDER}").select("batch_id", "bits", "ids").collect()
+    assert sorted(r.batch_id for r in full) == [1, 2, 3]
+    assert all(sum(b.bit_count() for b in r.bits) <= r.ids * seen.BITS_AN_ID <= 25 * 8 for r in full)
+
+
+def test_bits_of_three_an_id_still_know_their_ids(spark, monkeypatch):
+    monkeypatch.setattr(seen, "BITS_AN_ID", 3)
+    bits = stage(seen.seen_bits(ids(spark, 0, 500), segments=2), "bits")
+    monkeypatch.undo()
+    old = bits.withColumn("bits_an_id", F.lit(None).cast("int"))
+    new = stage(seen.seen_bits(ids(spark, 500, 1_000), segments=2), "bits").withColumn(
+        "bits_an_id", F.lit(seen.BITS_AN_ID))
+    for few in (False, True):
+        known = seen.maybe_seen(ids(spark, 0, 1_000), old.unionByName(new), segments=2, few_ids=few)
+        assert known.distinct().count() == 1_000

@@ -9,10 +9,11 @@ from pyspark.sql import types as T
 from tidelog.operators.delivery import has_id
 from tidelog.operators.lookup import BROADCAST_BYTES
 
-# Bits of one of Spark's bitmaps, and how many of them an id sets.
-SEGMENT_BITS, BITS_AN_ID = 32_768, 3
-# 4 MB of bits. By chance one new id in 10,000 is doubtful after 500,000 ids, one in 200 after two million.
-SEGMENTS = 1_024
+# Bits of one of Spark's bitmaps, and how many of them an id sets; bits stored without that number have three.
+SEGMENT_BITS, BITS_AN_ID, ONCE_BITS_AN_ID = 32_768, 8, 3
+# 4 MB of bits, and how many ids may be in a segment before other bits begin: by chance one new id in 30
+# million is doubtful for each such set of bits.
+SEGMENTS, SEGMENT_IDS = 1_024, 500
 
 SEEN = T.StructType([
     T.StructField("segment", T.LongType()),
@@ -20,22 +21,24 @@ SEEN = T.StructType([
 ])
 
 
-def _segment(message_id: str, segments: int) -> Column:
-    return F.pmod(F.xxhash64(message_id), F.lit(segments)).cast("long")
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _places(message_id: str) -> list[Column]:
-    return [
-        F.pmod(F.xxhash64(message_id, F.lit(n)), F.lit(SEGMENT_BITS)).cast("long")
-        for n in range(BITS_AN_ID)
-    ]
+# As SQL text: a column made call by call costs more than a batch's ids to look up.
+def _segment(message_id: str, segments: int) -> str:
+    return f"pmod(xxhash64({_quoted(message_id)}), {segments})"
+
+
+def _places(message_id: str) -> list[str]:
+    return [f"pmod(xxhash64({_quoted(message_id)}, {n}), {SEGMENT_BITS})" for n in range(BITS_AN_ID)]
 
 
 def seen_bits(ids: DataFrame, message_id: str = "Id", segments: int = SEGMENTS) -> DataFrame:
     """The bits that the ids of a table set, a bitmap for each segment any id falls in."""
     places = ids.where(has_id(message_id)).select(
-        _segment(message_id, segments).alias("segment"),
-        F.explode(F.array(*_places(message_id))).alias("_place"),
+        F.expr(f"CAST({_segment(message_id, segments)} AS BIGINT) AS segment"),
+        F.expr(f"explode(array({', '.join(_places(message_id))})) AS _place"),
     )
     return places.groupBy("segment").agg(F.bitmap_construct_agg("_place").alias("bits"))
 
@@ -46,22 +49,30 @@ def merge_bits(bits: DataFrame) -> DataFrame:
 
 
 def maybe_seen(
-    ids: DataFrame, bits: DataFrame, message_id: str = "Id", segments: int = SEGMENTS
+    ids: DataFrame, bits: DataFrame, message_id: str = "Id", segments: int = SEGMENTS,
+    few_ids: bool = False,
 ) -> DataFrame:
     """The rows whose id may be among those that set ``bits``; the others surely are not.
 
     ``bits`` has one row a segment, so its size is bounded by their number: it is broadcast if that many
-    fit.
+    fit. It may hold several sets of bits, with ``bits_an_id`` if they differ in that; a row then comes out
+    for each that may know it. ``few_ids`` broadcasts the ids instead.
     """
-    known = bits.select(F.col("segment").alias("_segment"), F.col("bits").alias("_bits"))
-    if segments * SEGMENT_BITS // 8 <= BROADCAST_BYTES:
-        known = F.broadcast(known)
-    met = ids.join(known, _segment(message_id, segments) == F.col("_segment"))
-    for place in _places(message_id):
-        byte = F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))
-        value = F.conv(F.hex(byte), 16, 10).cast("int")
-        met = met.where(F.getbit(value, F.pmod(place, F.lit(8)).cast("int")) == 1)
-    return met.drop("_segment", "_bits")
+    per_id = f"coalesce(bits_an_id, {ONCE_BITS_AN_ID})" if "bits_an_id" in bits.columns else BITS_AN_ID
+    known = bits.selectExpr("segment AS _segment", "bits AS _bits", f"{per_id} AS _per_id")
+    same = F.expr(f"_segment = {_segment(message_id, segments)}")
+    if few_ids:
+        met = known.join(F.broadcast(ids), same)
+    else:
+        if segments * SEGMENT_BITS // 8 <= BROADCAST_BYTES:
+            known = F.broadcast(known)
+        met = ids.join(known, same)
+    set_bits = [
+        f"(_per_id <= {n} OR getbit(CAST(conv(hex(substring(_bits, CAST(floor({place} / 8) + 1 AS INT), 1)), "
+        f"16, 10) AS INT), CAST(pmod({place}, 8) AS INT)) = 1)"
+        for n, place in enumerate(_places(message_id))
+    ]
+    return met.where(" AND ".join(set_bits)).select(*ids.columns)
 
 
 def id_bucket(message_id: str, order: str, buckets: int) -> Column:

@@ -298,3 +298,18 @@ def test_acknowledgements_are_read_in_step_with_their_messages(spark, monkeypatc
     batches = [b for b in started[0].recentProgress if b["numInputRows"]]
     assert max(s["numInputRows"] for b in batches for s in b["sources"]) == 25 * streams.PARTITIONS
     assert max(b["stateOperators"][0]["numRowsTotal"] for b in batches) < 600
+
+
+@pytest.mark.parametrize("run", [
+    streams.queue_stream_resume,
+])
+def test_bounded_batches_that_shuffle_are_planned_once(spark, monkeypatch, run):
+    planned, run_available = [], p.run_available
+
+    def noted(writer, **options):
+        planned.append(options.get("adaptive", True))
+        run_available(writer, **options)
+
+    monkeypatch.setattr(p, "run_available", noted)
+    assert run(spark, "/root/testdata/sf0.001").count() > 0
+    assert planned[-1] is False

@@ -301,7 +301,7 @@ def test_acknowledgements_are_read_in_step_with_their_messages(spark, monkeypatc
 
 
 @pytest.mark.parametrize("run", [
-    streams.queue_stream_resume,
+    streams.queue_stream_resume, streams.commit_publish,
 ])
 def test_bounded_batches_that_shuffle_are_planned_once(spark, monkeypatch, run):
     planned, run_available = [], p.run_available

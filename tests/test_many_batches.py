@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tests.test_streams import store
 from tidelog.operators import delivery
-from tidelog.plans import acks, streams
+from tidelog.plans import acks, published, streams
 from tidelog.session import workspace
 from tidelog.sinks.publish import Publisher
 from tidelog.sources import logfiles
@@ -301,7 +301,7 @@ def test_acknowledgements_are_read_in_step_with_their_messages(spark, monkeypatc
 
 
 @pytest.mark.parametrize("run", [
-    streams.queue_stream_resume, streams.commit_publish,
+    streams.queue_stream_resume, streams.commit_publish, published.published_bounded_read,
 ])
 def test_bounded_batches_that_shuffle_are_planned_once(spark, monkeypatch, run):
     planned, run_available = [], p.run_available
